@@ -14,12 +14,22 @@ from rampline.operators.dedup import DEFAULT_SPREAD, first_seen
 from rampline.operators.rules import NON_NUMERIC_VALUE, PAYLOAD_RULES, READING_RULES, any_fault, route
 
 
+# How the JSON parser spells bare non-finite tokens in a text field.
+NON_FINITE_TOKENS = ('"NaN"', '"Infinity"', '"-Infinity"')
+
+
+def value_text(snapshot: Column) -> Column:
+    """The value as it was sent, without the quotes the parser adds to a bare NaN."""
+    text = snapshot["sensor_value"]
+    return F.when(text.isin(*NON_FINITE_TOKENS), F.btrim(text, F.lit('"'))).otherwise(text)
+
+
 def reading_columns(snapshot: Column) -> dict[str, Column]:
     """Typed columns of one element of ``snapshots``; what cannot be cast is null."""
     text = {name: snapshot[name].try_cast("string") for name in ("hardware_name", "sensor_name", "sensor_type")}
     return {
         **text,
-        "sensor_value": snapshot["sensor_value"].try_cast("double"),
+        "sensor_value": value_text(snapshot).try_cast("double"),
         "polled_at": read_poll_time(snapshot["timestamp"]),
     }
 
@@ -54,7 +64,7 @@ def explode_readings(payloads: DataFrame, keep_text: bool = False) -> DataFrame:
     snapshot = F.col("snapshot")
     typed = reading_columns(snapshot)
     if keep_text:
-        typed["sensor_value_text"] = snapshot["sensor_value"]
+        typed["sensor_value_text"] = value_text(snapshot)
     return lifted.select(*inherited, *(column.alias(name) for name, column in typed.items()))
 
 

@@ -1,0 +1,158 @@
+import uuid
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from rampline.naming import Layout
+from rampline.sources.landing import landing_lines
+from rampline.streaming import stages
+from rampline.streaming.sinks import append_stream, drain, replace_table
+from rampline.streaming.stages import Pipeline, run_bronze, run_gold, run_silver
+from tests.fixtures import land, payload, snapshot
+from tests.test_silver import EXAMPLE
+
+
+@pytest.fixture(params=["managed", "external"])
+def pipeline(request, spark, tmp_path):
+    tag = f"t{uuid.uuid4().hex[:8]}"
+    tables = None if request.param == "managed" else str(tmp_path / "tables")
+    made = Pipeline(
+        layout=Layout(root=str(tmp_path / "volumes"), table_root=tables),
+        **{f"{part}_schema": f"{tag}_{part}" for part in ("bronze", "silver", "gold", "ops")},
+    )
+    yield made
+    for part in ("bronze", "silver", "gold", "ops"):
+        spark.sql(f"DROP SCHEMA IF EXISTS {tag}_{part} CASCADE")
+
+
+def _run(spark, pipeline, run_id):
+    run_bronze(spark, pipeline, run_id)
+    run_silver(spark, pipeline)
+    run_gold(spark, pipeline, "box")
+
+
+def _counts(spark, pipeline):
+    names = (
+        pipeline.bronze(),
+        pipeline.silver(pipeline.fact_table),
+        pipeline.silver(pipeline.tests_table),
+        pipeline.silver(pipeline.files_table),
+        pipeline.quarantine(pipeline.incoming_quarantine),
+        pipeline.quarantine(pipeline.outgoing_quarantine),
+        pipeline.mart(),
+    )
+    return [spark.table(name).count() for name in names]
+
+
+def test_pipeline_twice_then_more(spark, pipeline):
+    land(spark, pipeline.landing_path, *EXAMPLE)
+    for run in ("run-1", "run-2"):
+        _run(spark, pipeline, run)
+        assert _counts(spark, pipeline) == [3, 2, 1, 1, 2, 1, 2], run
+    incoming = spark.table(pipeline.quarantine(pipeline.incoming_quarantine))
+    assert {reason for row in incoming.collect() for reason in row["quarantine"]} == {
+        "null_metadata_device_id",
+        "empty_snapshots",
+    }
+    outgoing = spark.table(pipeline.quarantine(pipeline.outgoing_quarantine))
+    assert outgoing.first()["quarantine"] == ["null_sensor_value"]
+    flags = sorted(row[0] for row in spark.table(pipeline.mart()).select("thermal_rampup_phase").collect())
+    assert flags == [False, True]
+
+    # one reading delivered again, one new reading, one new test
+    land(spark, pipeline.landing_path, payload(snapshot("40.0", "20260102_030400000"), snapshot("9", "20260102_030401000")), day="2026-01-03")
+    land(spark, pipeline.landing_path, payload(test_id="t2", device="else"), "{broken", day="2026-01-03")
+    _run(spark, pipeline, "run-3")
+    assert _counts(spark, pipeline) == [6, 4, 2, 3, 3, 1, 3]
+    bronze = spark.table(pipeline.bronze())
+    assert {row[0]: row[1] for row in bronze.groupBy("execution_id").count().collect()} == {"run-1": 3, "run-3": 3}
+
+
+def test_small_batches_give_the_same_tables(spark, pipeline):
+    for day in range(1, 5):
+        land(spark, pipeline.landing_path, payload(snapshot("1"), snapshot("2", f"20260102_03040{day}000")), day=f"2026-02-0{day}")
+    run_bronze(spark, pipeline, "run", max_files=1)
+    run_silver(spark, pipeline, max_files=1)
+    run_gold(spark, pipeline, "box")
+    assert _counts(spark, pipeline) == [4, 5, 1, 4, 0, 0, 5]
+
+
+def test_new_top_level_field_becomes_a_column(spark, pipeline):
+    land(spark, pipeline.landing_path, payload())
+    run_bronze(spark, pipeline, "run-1", infer_schema=True)
+    land(spark, pipeline.landing_path, {**payload(test_id="t2"), "site": {"room": 7}}, day="2026-01-03")
+    run_bronze(spark, pipeline, "run-2", infer_schema=True)
+    bronze = spark.table(pipeline.bronze())
+    assert {row[0]: row[1] for row in bronze.select("metadata.test_id", "site.room").collect()} == {"t1": None, "t2": 7}
+    assert bronze.filter("rescued_data IS NOT NULL").count() == 0
+    land(spark, pipeline.landing_path, {**payload(test_id="t3"), "site": {"room": 8}}, day="2026-01-04")
+    run_bronze(spark, pipeline, "run-3")  # remembers what was inferred
+    run_silver(spark, pipeline)
+    assert spark.table(pipeline.silver(pipeline.fact_table)).count() == 3
+
+
+def test_failing_sink_stops_the_rest_and_is_raised(spark, tmp_path):
+    land(spark, str(tmp_path / "in"), payload())
+    lines = landing_lines(spark, str(tmp_path / "in"))
+    bad = lines.withColumn("value", F.raise_error(F.lit("planted")))
+    tag = uuid.uuid4().hex[:8]
+
+    def starter(df, name):
+        return lambda: append_stream(df, f"{name}_{tag}", str(tmp_path / f"cp_{name}"))
+
+    endless = lambda: (
+        spark.readStream.format("rate").load().writeStream.format("noop")
+        .option("checkpointLocation", str(tmp_path / "cp_rate")).start()
+    )
+    with pytest.raises(StreamingQueryException, match="planted"):
+        drain([endless, starter(lines, "good"), starter(bad, "bad")])
+    assert spark.streams.active == []
+
+    def cannot_start():
+        raise RuntimeError("no start")
+
+    with pytest.raises(RuntimeError, match="no start"):
+        drain([endless, cannot_start])
+    assert spark.streams.active == []
+
+    drain([starter(lines, "good"), starter(lines, "bad")])  # both recover from their checkpoints
+    assert spark.table(f"good_{tag}").count() == spark.table(f"bad_{tag}").count() == 1
+
+
+def test_failed_silver_sink_catches_up_on_the_next_run(spark, pipeline, monkeypatch):
+    land(spark, pipeline.landing_path, *EXAMPLE)
+    run_bronze(spark, pipeline, "run")
+    real = stages.append_stream
+
+    def fails_for_fact(df, table, *rest):
+        if table.endswith(pipeline.fact_table):
+            raise RuntimeError("planted")
+        return real(df, table, *rest)
+
+    monkeypatch.setattr(stages, "append_stream", fails_for_fact)
+    with pytest.raises(RuntimeError, match="planted"):
+        run_silver(spark, pipeline)
+    monkeypatch.undo()
+    run_silver(spark, pipeline)
+    run_gold(spark, pipeline, "box")
+    assert _counts(spark, pipeline) == [3, 2, 1, 1, 2, 1, 2]
+
+
+def test_replaced_table_swaps_whole_versions(spark, tmp_path):
+    name, path = f"swap_{uuid.uuid4().hex[:8]}", str(tmp_path / "swap")
+    for rows in (3, 5, 2):
+        replace_table(spark.range(rows).withColumn("v", F.parse_json(F.lit("1"))), name, path)
+        assert spark.table(name).count() == rows
+    with pytest.raises(Exception, match="planted"):
+        replace_table(spark.range(9).withColumn("v", F.raise_error(F.lit("planted")).cast("string")), name, path)
+    assert spark.table(name).count() == 2
+    replace_table(spark.range(4).withColumn("w", F.lit(1)), name, path)
+    assert spark.table(name).columns == ["id", "w"] and spark.table(name).count() == 4
+
+
+def test_state_paths_differ_per_table(pipeline):
+    state = pipeline.state
+    paths = {kind(table) for kind in (state.checkpoint, state.schema) for table in ("a", "b")}
+    assert len(paths) == 4
+    assert all(path.startswith(f"{state.volume}/_pipeline_state/") for path in paths)
