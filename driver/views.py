@@ -80,6 +80,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _on_all_cores(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores; a large table is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hardware_parts(user: Column) -> tuple[Column, Column]:
     names, identifiers = zip(*HARDWARE, strict=True)
     return _pick(user, names), _pick(user, identifiers)
@@ -164,7 +170,7 @@ def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("landing/ingest_date="), F.to_date("ts"), F.lit("/part-"), F.col("copy"), F.lit("-"), user % 4, F.lit(".json")
     )
     opening = '"metadata":{'
-    base = events(spark, sf_dir).withColumn("line", line).withColumn("copy", F.explode(copies))
+    base = _on_all_cores(events(spark, sf_dir)).withColumn("line", line).withColumn("copy", F.explode(copies))
     keyed = base.withColumn(
         "line",
         F.when(planted("extra_key"), F.concat(F.lit('{"collector":"c1",'), F.expr("substring(line, 2)")))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Identifier prefixes used by the hardware monitor, by class.
-# Classes that are polled: processors, two makes of graphics card, memory.
+# First step of the identifier path, per class. Classes that are
+# polled: processors, two makes of graphics card, memory.
 HARDWARE_CLASSES = {
-    "cpu": "^/(amd|intel|generic)?cpu(/|$)",
-    "gpu_amd": "^/(gpu-amd|atigpu)(/|$)",
-    "gpu_nvidia": "^/(gpu-nvidia|nvidiagpu)(/|$)",
-    "memory": "^/(v?ram|memory)(/|$)",
+    "cpu": ("cpu", "amdcpu", "intelcpu", "genericcpu"),
+    "gpu_amd": ("gpu-amd", "atigpu"),
+    "gpu_nvidia": ("gpu-nvidia", "nvidiagpu"),
+    "memory": ("ram", "vram", "memory"),
 }
 
 
@@ -19,17 +19,21 @@ def hardware_label(name: Column, identifier: Column) -> Column:
 
 
 def identifier_of(label: Column) -> Column:
-    """The path after the last blank, null where there is none."""
-    return F.nullif(F.regexp_extract(label, r" (/\S*)$", 1), F.lit(""))
+    """The path behind the name, null where there is none."""
+    return F.when(label.contains(" /"), F.concat(F.lit("/"), F.substring_index(label, " /", -1)))
 
 
 def model_of(label: Column) -> Column:
-    return F.regexp_replace(label, r" /\S*$", "")
+    """The name before the path."""
+    path = F.coalesce(F.length(identifier_of(label)) + 1, F.lit(0))
+    return F.left(label, F.length(label) - path)
 
 
 def class_of(identifier: Column) -> Column:
     """Name of the hardware class, null for classes that are not polled."""
-    return F.coalesce(*(F.when(identifier.rlike(p), F.lit(name)) for name, p in HARDWARE_CLASSES.items()))
+    pairs = [(step, name) for name, steps in HARDWARE_CLASSES.items() for step in steps]
+    classes = F.create_map(*(F.lit(part) for pair in pairs for part in pair))
+    return F.try_element_at(classes, F.split_part(identifier, F.lit("/"), F.lit(2)))
 
 
 def of_class(readings: DataFrame, *classes: str) -> DataFrame:

@@ -2,33 +2,80 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import VariantType
 
 # How many tasks the copies of one key are spread over before the final pass.
 DEFAULT_SPREAD = 64
+# Repeated keys that one task remembers while it combines copies.
+REMEMBERED_KEYS = 100_000
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], spread: int = DEFAULT_SPREAD) -> DataFrame:
     """First arrival wins, across runs when ``df`` is a stream.
 
-    A stream has no map-side combine for deduplication: every copy of a key is
-    shuffled to the task that owns it, so a key holding a third of the rows would
-    stall the whole batch. The copies are therefore first reduced per (key, slice
-    of input tasks), which spreads a hot key over ``spread`` tasks and leaves at
-    most ``spread`` rows of it for the pass on the key alone. Which slice a row
-    falls into never changes the result. Unique data pays one more entry of state
-    per key; ``spread=1`` leaves the extra pass out. A batch combines before its
-    shuffle anyway and needs no slices.
+    A batch combines the copies of a key before it shuffles. A stream does not:
+    every copy travels to the task that owns the key, so a key holding a third of
+    the rows would stall the whole batch. Copies are therefore reduced first, in
+    one of two ways that both leave the result as it is:
+
+    * :func:`combine_copies`, which keeps no state and shuffles nothing;
+    * for rows with a variant, a pass of its own per (key, slice of the input
+      tasks), which leaves at most ``spread`` rows of a key. It costs a state
+      entry per key and slice, so it is for dimensions, not for facts.
     """
     keys = list(keys)
-    if df.isStreaming and spread > 1:
-        sliced = df.withColumn("_slice", F.spark_partition_id() % spread)
-        df = sliced.dropDuplicates([*keys, "_slice"]).drop("_slice")
+    if df.isStreaming:
+        if any(isinstance(field.dataType, VariantType) for field in df.schema):
+            sliced = df.withColumn("_slice", F.spark_partition_id() % spread)
+            df = sliced.dropDuplicates([*keys, "_slice"]).drop("_slice")
+        else:
+            df = combine_copies(df, keys)
     return df.dropDuplicates(keys)
 
 
+def combine_copies(df: DataFrame, keys: Sequence[str], remember: int = REMEMBERED_KEYS) -> DataFrame:
+    """Drop copies that meet in one task: a map-side combine for streams.
+
+    Each Arrow batch keeps the first row of every key. Keys that were repeated
+    are remembered, and later batches of the task drop them altogether, so a hot
+    key leaves a task about once. Memory is bounded by ``remember``; whatever
+    slips through is left to the deduplication behind. Batches without repeated
+    keys are passed on untouched.
+    """
+    keys = list(keys)
+
+    def combine(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        hot = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            index = pa.array(np.arange(rows.num_rows))
+            groups = (
+                rows.select(keys)
+                .append_column("_row", index)
+                .group_by(keys, use_threads=False)
+                .aggregate([("_row", "min"), ("_row", "count")])
+            )
+            kept = groups
+            if hot is not None:
+                kept = groups.join(hot, keys, join_type="left anti", use_threads=False)
+            repeated = kept.filter(pc.greater(kept["_row_count"], 1)).select(keys)
+            if repeated.num_rows:
+                hot = repeated if hot is None else pa.concat_tables([hot, repeated])
+                hot = hot.slice(max(0, hot.num_rows - remember)).combine_chunks()
+            if kept.num_rows < rows.num_rows:
+                rows = rows.take(kept["_row_min"].sort())
+            yield from rows.to_batches()
+
+    return df.mapInArrow(combine, df.schema)
+
+
 def lowest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The row that sorts lowest per key; a repeatable choice for batches.
 

@@ -47,8 +47,7 @@ def device_mart(
     small = fits_broadcast(wanted, limit)
     times = fact.select("test_id", "polled_at")
     if small:
-        ids = wanted.select("test_id").distinct()
-        times = times.join(F.broadcast(ids), "test_id", "left_semi")
+        times = times.join(F.broadcast(wanted.select("test_id")), "test_id", "left_semi")
     described = wanted.join(test_starts(times), "test_id")
     mart = fact_join(fact, described, "test_id", small, slices)
     flag = warming_up(F.col("polled_at"), F.col("started_at"), rampup).alias("thermal_rampup_phase")

@@ -2,13 +2,16 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rampline.operators.dedup import first_seen, lowest_by
+from rampline.operators.dedup import combine_copies, first_seen, lowest_by
 
 KEYS = ["k", "at"]
 
 
-def _run(spark, source, out, spread):
-    stream = first_seen(spark.readStream.schema("k string, at long, v double").parquet(source), KEYS, spread)
+def _run(spark, source, out, variant):
+    stream = spark.readStream.schema("k string, at long, v double").parquet(source)
+    if variant:
+        stream = stream.withColumn("more", F.parse_json(F.lit("{}")))
+    stream = first_seen(stream, KEYS, 4).select("k", "at", "v")
     query = (
         stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/cp")
         .trigger(availableNow=True).start(f"{out}/data")
@@ -27,16 +30,16 @@ def _rows(spark, start, stop):
     )
 
 
-@pytest.mark.parametrize("spread", [1, 4])
-def test_stream_keeps_one_row_per_key_across_runs(spark, tmp_path, spread):
+@pytest.mark.parametrize("variant", [False, True])
+def test_stream_keeps_one_row_per_key_across_runs(spark, tmp_path, variant):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     _rows(spark, 0, 600).write.mode("append").parquet(source)
-    first = _run(spark, source, out, spread).toPandas()
+    first = _run(spark, source, out, variant).toPandas()
     assert not first.duplicated(KEYS).any()
 
     _rows(spark, 300, 900).write.mode("append").parquet(source)
-    _run(spark, source, out, spread)
-    again = _run(spark, source, out, spread).toPandas()  # nothing new: nothing changes
+    _run(spark, source, out, variant)
+    again = _run(spark, source, out, variant).toPandas()  # nothing new: nothing changes
     assert not again.duplicated(KEYS).any()
     everything = _rows(spark, 0, 900).toPandas()
     assert set(map(tuple, again[KEYS].values)) == set(map(tuple, everything[KEYS].values))
@@ -44,23 +47,59 @@ def test_stream_keeps_one_row_per_key_across_runs(spark, tmp_path, spread):
     assert len(kept) == len(first) and (kept["v_then"] == kept["v_now"]).all()
 
 
-def test_hot_key_is_reduced_before_the_last_shuffle(spark, tmp_path):
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    _rows(spark, 0, 6000).write.parquet(source)
-    stream = first_seen(spark.readStream.schema("k string, at long, v double").parquet(source), KEYS, 4)
+def _dedupe_operators(spark, source, out, schema, spread):
+    stream = first_seen(spark.readStream.schema(schema).parquet(source), KEYS, spread)
     query = (
         stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/cp")
         .trigger(availableNow=True).start(f"{out}/data")
     )
     query.awaitTermination()
-    last, sliced = [operator for operator in query.lastProgress["stateOperators"] if operator["operatorName"] == "dedupe"]
-    # at most one row per key and slice is left for the pass on the key alone
+    return [operator for operator in query.lastProgress["stateOperators"] if operator["operatorName"] == "dedupe"]
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _rows(spark, 0, 6000).write.parquet(source)
+    (last,) = _dedupe_operators(spark, source, out, "k string, at long, v double", 4)
+    keys = spark.read.parquet(f"{out}/data").count()
+    assert last["numRowsTotal"] == keys
+    # six input files, so at most six rows of any key get through
+    assert last["customMetrics"]["numDroppedDuplicateRows"] <= 5 * keys
+
+
+def test_hot_key_with_a_variant_is_sliced(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _rows(spark, 0, 6000).withColumn("v", F.parse_json(F.lit("1"))).write.parquet(source)
+    last, sliced = _dedupe_operators(spark, source, out, "k string, at long, v variant", 4)
     keys = spark.read.parquet(f"{out}/data").count()
     assert last["numRowsTotal"] == keys
     assert last["customMetrics"]["numDroppedDuplicateRows"] <= 3 * keys
     assert sliced["customMetrics"]["numDroppedDuplicateRows"] >= 6000 - 4 * keys
 
 
+@pytest.mark.parametrize("remember", [1, 1000])
+def test_combining_keeps_the_first_row_of_every_key(spark, remember):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        i = F.col("id")
+        rows = spark.range(0, 2000, 1, 2).select(
+            F.when(i % 3 == 0, F.lit("hot")).when(i % 97 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), i % 301)).alias("k"),
+            F.timestamp_seconds(i % 2).alias("at"),
+            i.alias("v"),
+            F.spark_partition_id().alias("task"),
+        )
+        combined = combine_copies(rows, KEYS, remember).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    everything = rows.toPandas()
+    first = everything.sort_values("v").groupby(["task", *KEYS], dropna=False, as_index=False).first()
+    assert set(first["v"]) <= set(combined["v"]) <= set(everything["v"])
+    assert combined["v"].is_unique
+    if remember == 1000:
+        hot = combined[combined["k"] == "hot"]
+        assert len(hot) == 4  # two tasks, two times
+
+
 def test_lowest_by_matches_pandas(spark):
     rows = _rows(spark, 0, 500)
     picked = lowest_by(rows, KEYS, ["v"]).toPandas().sort_values(KEYS).reset_index(drop=True)
