@@ -435,7 +435,7 @@ def streamed(spark: SparkSession, sf_dir: str) -> Pipeline:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _streamed:
         folder = work_folder(spark, "medallion")
-        tag = f"medallion_{len(_streamed)}"
+        tag = f"medallion_{folder[-12:]}"
         layout = Layout(root=f"{folder}/volumes", table_root=f"{folder}/tables")
         names = {f"{part}_schema": f"{tag}_{part}" for part in ("bronze", "silver", "gold", "ops")}
         pipeline = Pipeline(layout=layout, **names)

@@ -25,6 +25,17 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _cell(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value + 0.0)
@@ -43,6 +54,10 @@ def compare(spark, db, sf_dir, build, sql) -> str | None:
     names = [column[0] for column in found.description]
     if sorted(got.columns) != sorted(names):
         return f"columns {sorted(got.columns)} != {sorted(names)}"
+    types = {column[0]: str(column[1]) for column in found.description}
+    wrong = {name: (kind, types[name]) for name, kind in got.dtypes if SQL_TYPES.get(kind) != types[name]}
+    if wrong:
+        return f"types differ: {wrong}"
     mine = bag(got.columns, [tuple(row) for row in got.collect()])
     theirs = bag(names, found.fetchall())
     if mine == theirs:
