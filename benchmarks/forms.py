@@ -92,7 +92,7 @@ def main() -> None:
     broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     report("mart, minima and sliced join", lambda: noop(device_mart(fact, tests, device, limit=0)))
-    report("mart, minima and unsliced join", lambda: noop(device_mart(fact, tests, device, limit=0, slices=1)))
+    report("mart, minima and unsliced join", lambda: noop(device_mart(fact, tests, device, limit=0, hot_share=1.0)))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
 
     layout = Layout(root=f"{folder}/volumes", table_root=f"{folder}/tables")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rampline import contracts
 from rampline.functions.variants import device_of
-from rampline.operators.joins import BROADCAST_BYTES, DEFAULT_SLICES, fact_join, fits_broadcast
+from rampline.operators.joins import BROADCAST_BYTES, HOT_SHARE, fact_join, fits_broadcast, hot_keys
 
 # Fixed value: a test counts as warming up for this long after its first reading.
 RAMPUP = timedelta(minutes=10)
@@ -34,21 +34,23 @@ def device_mart(
     device: str,
     rampup: timedelta = RAMPUP,
     limit: int = BROADCAST_BYTES,
-    slices: int = DEFAULT_SLICES,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Readings of the device's tests, joined to the tests, with the ramp-up flag.
 
     Two narrow passes over the fact instead of a window over whole tests: the
     first reduces two columns to one minimum per wanted test, the second joins
     that small result back. While the device's tests fit a broadcast, no fact row
-    is shuffled. Beyond it both passes shuffle on sliced keys.
+    is shuffled. Beyond it the second pass shuffles, with hot tests cut in slices.
     """
     wanted = tests_of_device(tests, device).select("test_id", "tested_at", "device_id", "testing_software")
+    readings = fact.select(*(name for name in contracts.MART_COLUMNS if name in contracts.FACT_COLUMNS))
     small = fits_broadcast(wanted, limit)
-    times = fact.select("test_id", "polled_at")
+    times = readings.select("test_id", "polled_at")
     if small:
         times = times.join(F.broadcast(wanted.select("test_id")), "test_id", "left_semi")
     described = wanted.join(test_starts(times), "test_id")
-    mart = fact_join(fact, described, "test_id", small, slices)
+    hot = None if small else hot_keys(readings, ["test_id"], hot_share)
+    mart = fact_join(readings, described, "test_id", small, hot)
     flag = warming_up(F.col("polled_at"), F.col("started_at"), rampup).alias("thermal_rampup_phase")
     return mart.select(*contracts.MART_COLUMNS[:-1], flag)

@@ -9,9 +9,8 @@ from pyspark.sql.types import AtomicType, NumericType, VariantType
 
 # A broadcast copy sits in every executor, so it stays well under their memory.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Slices per key in the shuffled join: a test with a third of all readings is
-# joined by this many tasks.
-DEFAULT_SLICES = 64
+# A key with a larger share of the fact than this is split in the shuffled join.
+HOT_SHARE = 0.001
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -25,29 +24,58 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
+def hot_keys(fact: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys with more than ``share`` of the rows, and in how many slices to cut them.
+
+    A slice holds about ``share`` of the rows. There are fewer than ``1 / share``
+    such keys and ``2 / share`` slices whatever the data, which bounds what is
+    broadcast. Counts are combined before they are shuffled.
+    """
+    fair = max(1.0, fact.count() * share)
+    return (
+        fact.groupBy(*keys)
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > fair)
+        .select(*keys, F.ceil(F.col("_rows") / F.lit(fair)).alias("_slices"))
+    )
+
+
 def fact_join(
     fact: DataFrame,
     small: DataFrame,
     on: str | Sequence[str],
     broadcast: bool,
-    slices: int = DEFAULT_SLICES,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner equi-join on the columns ``on``.
 
     With ``broadcast`` the fact is not shuffled at all. Otherwise both sides are
-    shuffled on (key, slice): fact rows draw a slice from their content and their
-    input task, so copies are spread too; the small side is repeated once per
-    slice. Each fact row still meets each matching dimension row exactly once.
+    shuffled on (key, slice): rows of a hot key draw one of its slices from their
+    content and their input task, so copies are spread too, and the small side is
+    repeated once per slice of a hot key only. Each fact row still meets each
+    matching dimension row exactly once. ``hot`` is what :func:`hot_keys` says
+    about the fact unless given.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if broadcast:
         return fact.join(F.broadcast(small), keys)
-    cut = fact.withColumn("_slice", F.pmod(F.xxhash64(F.spark_partition_id(), *_hashable(fact)), F.lit(slices)))
-    numbers = F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<bigint>")
-    repeated = small.withColumn("_slice", F.explode(numbers))
+    split = F.broadcast(hot_keys(fact, keys) if hot is None else hot)
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    draw = F.xxhash64(F.spark_partition_id(), *_hashable(fact))
+    cut = fact.join(split, keys, "left").withColumn("_slice", F.pmod(draw, slices)).drop("_slices")
+    repeated = (
+        small.join(split, keys, "left")
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
+        .drop("_slices")
+    )
     return cut.join(repeated, [*keys, "_slice"]).drop("_slice")
 
 
 def _hashable(df: DataFrame) -> list[str]:
     """Columns of simple types; variants and maps cannot be hashed."""
-    return [field.name for field in df.schema if isinstance(field.dataType, (AtomicType, NumericType)) and not isinstance(field.dataType, VariantType)]
+    simple = (AtomicType, NumericType)
+    return [
+        field.name
+        for field in df.schema
+        if isinstance(field.dataType, simple) and not isinstance(field.dataType, VariantType)
+    ]

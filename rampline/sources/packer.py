@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rampline.functions.timestamps import write_poll_time, write_test_date
-from rampline.operators.joins import fact_join, fits_broadcast
+from rampline.operators.joins import fact_join, fits_broadcast, hot_keys
 
 # Fixed value: most readings one payload may hold.
 PAYLOAD_LIMIT = 200_000
@@ -67,7 +67,9 @@ def pack(readings: DataFrame, tests: DataFrame, limit: int = PAYLOAD_LIMIT) -> D
         test_id=F.col("test_id"),
         test_date=write_test_date(F.col("tested_at")),
     )
-    described = fact_join(chunks, tests, "test_id", fits_broadcast(tests))
+    small = fits_broadcast(tests)
+    hot = None if small else hot_keys(flat, ["test_id"])
+    described = fact_join(chunks, tests, "test_id", small, hot)
     return described.select(payload_json(metadata, F.col("snapshots")).alias("value"))
 
 
