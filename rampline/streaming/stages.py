@@ -71,7 +71,9 @@ def attach(spark: SparkSession, pipeline: Pipeline, schema: str, table: str) ->
     if path is not None and not spark.catalog.tableExists(name):
         try:
             spark.read.format(pipeline.fmt).load(path)
-        except AnalysisException:
+        except AnalysisException as unread:
+            if unread.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return name  # nothing written yet
         spark.sql(f"CREATE TABLE {name} USING {pipeline.fmt} LOCATION '{path}'")
     return name
