@@ -73,7 +73,8 @@ def build_parser() -> argparse.ArgumentParser:
             options.add_argument("--max-bytes", help="most input per micro-batch, such as 64g")
             options.add_argument("--max-files", type=int, help="most files per micro-batch")
         if stage == "bronze":
-            options.add_argument("--infer-schema", action="store_true")
+            options.add_argument("--infer-schema", action="store_true", help="add new top-level fields as columns")
+            options.add_argument("--infer-since", help="look only at files modified after, such as 2026-01-02T00:00:00")
         if stage == "gold":
             options.add_argument("--device", default=DEFAULT_DEVICE)
             options.add_argument("--mart-table", default=DEFAULT_MART)
@@ -95,7 +96,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = get_session()
     pipeline = pipeline_of(args)
     if args.stage == "bronze":
-        run_bronze(spark, pipeline, args.pipeline_run_id, args.infer_schema, args.max_bytes, args.max_files)
+        run_bronze(
+            spark,
+            pipeline,
+            args.pipeline_run_id,
+            infer_schema=args.infer_schema,
+            infer_since=args.infer_since,
+            max_bytes=args.max_bytes,
+            max_files=args.max_files,
+        )
     elif args.stage == "silver":
         run_silver(spark, pipeline, max_bytes=args.max_bytes, max_files=args.max_files)
     else:

@@ -27,16 +27,25 @@ def load_schema(spark: SparkSession, location: str) -> StructType:
     return StructType.fromJson(json.loads(newest)) if newest else landing_schema()
 
 
-def infer_landing_schema(spark: SparkSession, path: str, location: str, sampling_ratio: float = 1.0) -> StructType:
+def infer_landing_schema(spark: SparkSession, path: str, location: str, since: str | None = None) -> StructType:
     """Widen the kept schema by the top-level fields found in the landing files.
 
     Hinted fields keep the type they have in the contract: the reading value
     stays text and the testing software stays a variant, whatever the files
     suggest. A field seen before keeps its type. Unknown fields inside
     ``metadata`` are not added, they keep going to the rescue column.
+
+    All landing files are read, or those modified after ``since`` (a timestamp in
+    the session's zone), which is what a scheduled run wants.
     """
     known = load_schema(spark, location)
-    found = spark.read.option("samplingRatio", sampling_ratio).json(path).schema
+    reader = spark.read if since is None else spark.read.option("modifiedAfter", since)
+    try:
+        found = reader.json(path).schema
+    except AnalysisException as empty:
+        if empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return known
     added = [field for field in found if field.name not in {*known.fieldNames(), "ingest_date", "_corrupt_record"}]
     if not added:
         return known

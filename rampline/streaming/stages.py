@@ -102,6 +102,7 @@ def run_bronze(
     pipeline: Pipeline,
     run_id: str,
     infer_schema: bool = False,
+    infer_since: str | None = None,
     max_bytes: str | None = None,
     max_files: int | None = None,
 ) -> None:
@@ -109,7 +110,7 @@ def run_bronze(
     table = attach(spark, pipeline, pipeline.bronze_schema, pipeline.bronze_table)
     location = pipeline.state.schema(pipeline.bronze_table)
     if infer_schema:
-        schema = infer_landing_schema(spark, pipeline.landing_path, location)
+        schema = infer_landing_schema(spark, pipeline.landing_path, location, infer_since)
     else:
         schema = load_schema(spark, location)
     add_new_columns(spark, table, schema)

@@ -20,3 +20,10 @@ def test_schema_is_kept_and_widened(spark, tmp_path):
     land(spark, path, {**payload(), "later": True}, day="2026-01-04")
     infer_landing_schema(spark, path, location)
     assert load_schema(spark, location).fieldNames() == ["metadata", "snapshots", "run", "site", "later"]
+
+
+def test_only_files_after_a_time_are_read(spark, tmp_path):
+    path, location = str(tmp_path / "in"), str(tmp_path / "schema")
+    land(spark, path, {**payload(), "site": "a"})
+    assert infer_landing_schema(spark, path, location, since="2999-01-01T00:00:00") == landing_schema()
+    assert "site" in infer_landing_schema(spark, path, location, since="2000-01-01T00:00:00").fieldNames()
