@@ -85,7 +85,7 @@ if __name__ == "__main__":
     db = connect(sf_dir)
     sqls = oracle_sql()
     for name, build in queries().items():
-        if wanted and name not in wanted:
+        if name not in sqls or wanted and name not in wanted:
             continue
         began = time.time()
         try:

@@ -4,7 +4,9 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from driver.oracles import ORACLES
+from driver.queries import all_queries
 from tests.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -18,12 +20,12 @@ def db():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, db, name):
-    assert compare(spark, db, SF_DIR, queries()[name], oracle_sql()[name]) is None
+    assert compare(spark, db, SF_DIR, all_queries()[name], ORACLES[name]) is None
 
 
 def test_entry(spark):
