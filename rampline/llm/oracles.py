@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rampline.llm import quality
+from rampline.llm import mixing, quality
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -55,6 +55,60 @@ FROM based
 """
 
 
+def _op5() -> str:
+    weights = ", ".join(f"{w}.0::DOUBLE" for w in mixing.WEIGHTS)
+    most = f"{mixing.MOST_PASSES}.0::DOUBLE"
+    return rf"""
+WITH sized AS (
+  SELECT doc_id, source, len({WORDS})::BIGINT AS size,
+    ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), coalesce(text, ''))), 1, 15))::BIGINT AS hash
+  FROM documents
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighted AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS nr FROM totals
+), cycled AS (
+  SELECT *, ([{weights}])[((nr - 1) % {len(mixing.WEIGHTS)} + 1)::INT] AS weight FROM weighted
+), shared AS (
+  SELECT *, row_number() OVER filled AS rank,
+    (sum(source_size) OVER ()::DOUBLE - {most} * coalesce(sum(source_size) OVER (filled ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+      / sum(weight) OVER (filled ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unit
+  FROM cycled WINDOW filled AS (ORDER BY source_size / weight, nr)
+), targets AS (
+  SELECT source, source_size, least({most} * source_size, weight * coalesce(
+    min_by(unit, rank) FILTER (unit * weight <= {most} * source_size) OVER (), 0.0)) AS target
+  FROM shared
+), planned AS (
+  SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS passes FROM targets
+), running AS (
+  SELECT s.doc_id, s.size, p.source_size, p.target, p.passes,
+    greatest(0.0, p.target - p.passes * p.source_size) AS rest,
+    sum(s.size) OVER (PARTITION BY s.source ORDER BY s.hash ROWS UNBOUNDED PRECEDING)::BIGINT - s.size AS before
+  FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+  size * (passes + CASE WHEN before + size / 2 <= rest THEN 1 ELSE 0 END) AS taken
+FROM running
+"""
+
+
 ORACLES = {
     "op8_quality_rules": _op8(),
+    "op5_source_mix": _op5(),
+    "op2_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, n, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents)
+), owners AS (
+  SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), judged AS (
+  SELECT doc_id, n, line, coalesce(owner <> doc_id, false) AS dropped FROM lines LEFT JOIN owners USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (dropped)) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""",
 }

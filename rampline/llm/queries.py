@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rampline.llm import quality
+from rampline.llm import lines, mixing, quality, sharding
 from rampline.llm.common import table
 
 
@@ -12,6 +12,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measured(table(spark, sf_dir, "documents")).drop("broken")
 
 
+def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assigned(table(spark, sf_dir, "documents"), 8)
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op5_source_mix": op5_source_mix,
+    "op7_jump_shards": op7_jump_shards,
     "op8_quality_rules": op8_quality_rules,
 }
