@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rampline.llm import lines, mixing, quality, sharding
+from rampline.llm import embeddings, lines, lm, mixing, packing, quality, sharding, simhash, token_counts
 from rampline.llm.common import table
 
 
@@ -24,9 +25,36 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"))
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the ranks are the vocabulary of byte_bpe_50k.json and give its ids
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary).drop("ids")
+
+
+def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components_of(table(spark, sf_dir, "documents"))
+
+
+def op10_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.linked(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_line_dedup": op2_line_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op4_curve_packing": op4_curve_packing,
     "op5_source_mix": op5_source_mix,
+    "op6_simhash_groups": op6_simhash_groups,
     "op7_jump_shards": op7_jump_shards,
     "op8_quality_rules": op8_quality_rules,
+    "op10_embedding_groups": op10_embedding_groups,
 }
