@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rampline.llm import embeddings, lines, lm, mixing, packing, quality, sharding, simhash, token_counts
+from rampline.llm import embeddings, lines, lm, mixing, packing, quality, sharding, simhash, suffixes, token_counts
 from rampline.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components_of(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(table(spark, sf_dir, "documents")).drop("begins", "ends")
+
+
 def op10_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.linked(table(spark, sf_dir, "embeddings"))
 
@@ -56,5 +60,6 @@ QUERIES = {
     "op6_simhash_groups": op6_simhash_groups,
     "op7_jump_shards": op7_jump_shards,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_embedding_groups": op10_embedding_groups,
 }
