@@ -76,3 +76,22 @@ def test_no_vectors(spark):
     assert found(spark, [(1, None, 0), (None, [0.0], 0)]) == brute([(1, None, 0), (None, [0.0], 0)])
     extra = spark.createDataFrame([(1, [1.0], 5, 6)], "vec_id long, embedding array<float>, rep int, list int")
     assert [tuple(r) for r in embeddings.linked(extra).collect()] == [(1, 0, 1, True)]
+
+
+def test_recall_against_brute_force(spark):
+    """Pairs right at the limit, the hardest to find, among many unrelated vectors."""
+    random = np.random.default_rng(11)
+    x = random.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = random.normal(size=(1500, 64))
+    aside -= (aside * x[:1500]).sum(1, keepdims=True) * x[:1500]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = random.uniform(0.9, 0.93, (1500, 1))
+    both = np.concatenate([x, cosine * x[:1500] + np.sqrt(1 - cosine**2) * aside]).astype(np.float32)
+    exact = both.astype(float)
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+    links = (exact @ exact.T >= 0.9).sum(1) - 1
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(both)]
+    got = {r.vec_id: r.n_links for r in embeddings.linked(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i] <= links[i] for i in range(len(both)))
+    assert sum(got.values()) >= 0.95 * links.sum()
