@@ -110,5 +110,52 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (dropped)) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op9_suffix_dedup": r"""
+WITH hexed AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), strings AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM hexed WHERE n >= 50)
+), least AS (
+  SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap
+  FROM strings JOIN least USING (s) WHERE first < doc_id
+), spans AS (
+  SELECT doc_id, min(i) AS b, max(i) + 50 AS e FROM (
+    SELECT *, count(*) FILTER (gap IS NULL OR gap > 50) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+  ) GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS before FROM spans
+), cut AS (
+  SELECT doc_id, sum(e - b)::BIGINT AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, (2 * before + 1)::BIGINT, (2 * (b - before))::BIGINT), '' ORDER BY b) AS kept, max(e) AS last
+  FROM pieces JOIN hexed USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, (2 * last + 1)::BIGINT) END)) AS kept_sha256
+FROM hexed LEFT JOIN cut USING (doc_id)
+""",
+    "op10_embedding_groups": r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), valid AS (
+  SELECT vec_id, v FROM vectors
+  WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM vectors
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), component AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a
+), counts AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN counts USING (vec_id)
 """,
 }
