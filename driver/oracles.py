@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from driver.queries import BATCH_ID, DEVICE
-from driver.views import DEVICES, HARDWARE, INSTRUCTION_SETS, PAYLOAD_FAULTS, READING_FAULTS, RUN_ID, SENSOR_TYPES
+from driver.views import AUDIT_FAULTS, DEVICES, HARDWARE, INSTRUCTION_SETS, LINE_FORMS, PAYLOAD_FAULTS, READING_FAULTS, RUN_ID, SENSOR_TYPES
 
 
 def _has(name: str) -> str:
@@ -32,15 +32,19 @@ shape AS (
     'landing/ingest_date=' || upload_date || '/part-' || copy || '-' || (user_id % 4) || '.json' AS source_file,
     {_has("extra_key")} AS extra_top,
     {_has("extra_metadata_key")} AND NOT {_has("extra_key")} AND NOT {_has("null_metadata")} AS extra_meta,
-    {_has("broken_line")} AND NOT {_has("extra_key")} AND NOT {_has("extra_metadata_key")} AS broken
+    {_has("broken_line")} AND NOT {_has("extra_key")} AND NOT {_has("extra_metadata_key")} AS broken,
+    NOT {_has("extra_key")} AND NOT {_has("extra_metadata_key")} AND NOT {_has("broken_line")}
+      AND NOT {_has("wrong_shape")} AND NOT {_has("no_snapshots")} AND NOT {_has("empty_snapshots")} AS free
   FROM ev
 ),
 found AS (
   SELECT *,
     broken OR {_has("null_metadata")} AS no_metadata,
-    extra_top OR extra_meta AS rescued,
-    broken OR {_has("wrong_shape")} AS corrupt,
-    CASE WHEN broken OR {_has("wrong_shape")} OR {_has("no_snapshots")} THEN NULL
+    {_has("extra_reading_key")} AND free AS extra_reading,
+    NOT broken AND {_has("wrong_shape")} OR {_has("wrong_element")} AND NOT {_has("extra_reading_key")} AND free AS mistyped,
+    extra_top OR extra_meta OR extra_reading OR mistyped AS rescued,
+    broken AS corrupt,
+    CASE WHEN broken OR {_has("wrong_shape")} OR {_has("no_snapshots")} OR mistyped THEN NULL
          WHEN {_has("empty_snapshots")} THEN 0 ELSE 2 END AS n_snapshots
   FROM shape
 ),
@@ -150,6 +154,20 @@ ratios AS (
   SELECT *, watts / mhz AS watts_per_mhz FROM averaged WHERE watts IS NOT NULL AND mhz <> 0
 )"""
 
+# Every field is known here, so only values of the wrong type are left to rescue.
+_EVOLVED = f"""{_PAYLOADS},
+wider AS (
+  SELECT CASE WHEN copy = 2 AND NOT broken THEN event_id % 7 END AS site,
+    CASE WHEN copy = 2 AND NOT no_metadata THEN 'r1' END AS rack,
+    CASE WHEN copy = 2 AND n_snapshots > 0 THEN CAST(3 AS BIGINT) END AS phase,
+    mistyped, trim(replace(',' || reasons || ',',
+      CASE WHEN mistyped THEN ' ' ELSE ',rescued_data_present,' END, ','), ',') AS reasons
+  FROM judged
+)"""
+_LACKING = ", ".join(
+    f"CASE WHEN event_id % {modulus} = 0 THEN 'null_{name}' END" for name, modulus in AUDIT_FAULTS.items()
+)
+
 ORACLES = {
     "landing_parse": f"""WITH {_PAYLOADS}
         SELECT coalesce(test_id, '(none)') AS test_id, count(*) AS payloads, count(device_id) AS with_device,
@@ -157,8 +175,20 @@ ORACLES = {
         FROM judged GROUP BY 1""",
     "rescued_keys": f"""WITH {_PAYLOADS}
         SELECT upload_date AS adls_upload_date,
-          CASE WHEN extra_top THEN 'collector' ELSE 'metadata.firmware' END AS unexpected_key, count(*) AS payloads
-        FROM judged WHERE rescued GROUP BY 1, 2""",
+          CASE WHEN extra_top THEN 'collector' WHEN extra_meta THEN 'metadata.firmware' ELSE 'snapshots.unit' END
+            AS unexpected_key, count(*) AS payloads
+        FROM judged WHERE extra_top OR extra_meta OR extra_reading GROUP BY 1, 2""",
+    "rescued_reading_keys": f"""WITH {_PAYLOADS}
+        SELECT event_id, copy, 'snapshots.unit' AS unexpected_keys, 'W' AS kept_unit FROM judged WHERE extra_reading""",
+    "rescued_types": f"""WITH {_PAYLOADS}
+        SELECT event_id, copy, true AS readable FROM judged WHERE mistyped AND NOT extra_top AND NOT extra_meta""",
+    "line_forms": f"""WITH {_PAYLOADS},
+        formed AS (
+          SELECT *, CASE WHEN event_id % {LINE_FORMS["array"]} = 0 AND NOT broken THEN 2 ELSE 1 END AS times FROM judged)
+        SELECT coalesce(test_id, '(none)') AS test_id, sum(times)::BIGINT AS payloads,
+          (count(*) FILTER (WHERE corrupt))::BIGINT AS corrupt,
+          CAST(coalesce(sum(times * n_snapshots), 0) AS BIGINT) AS readings
+        FROM formed GROUP BY 1""",
     "corrupt_records": f"""WITH {_PAYLOADS}
         SELECT upload_date AS adls_upload_date, count(*) FILTER (WHERE corrupt) AS corrupt, count(*) AS payloads
         FROM judged GROUP BY 1""",
@@ -169,6 +199,10 @@ ORACLES = {
         SELECT 'collector' AS column_name, 'string' AS column_type FROM judged WHERE extra_top HAVING count(*) > 0""",
     "payload_reasons": f"""WITH {_PAYLOADS}
         SELECT event_id, copy, reasons FROM judged WHERE reasons <> ''""",
+    "audit_reasons": f"""WITH {_PAYLOADS},
+        lacking AS (
+          SELECT event_id, copy, concat_ws(',', nullif(reasons, ''), {_LACKING}) AS reasons FROM judged)
+        SELECT * FROM lacking WHERE reasons <> ''""",
     "payload_split_counts": f"""WITH {_PAYLOADS}
         SELECT upload_date AS adls_upload_date, CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS side,
           count(*) AS payloads FROM judged GROUP BY 1, 2""",
@@ -282,4 +316,18 @@ ORACLES = {
     "medallion_fact": f"""WITH {_READINGS}
         SELECT test_id, hardware_name, sensor_name, sensor_type, polled_at, sensor_value FROM fact""",
     "medallion_mart": f"""WITH {_READINGS}, {_mart("'10' MINUTE")} {_MART_ROWS}""",
+    "medallion_files": f"""WITH {_READINGS}
+        SELECT DISTINCT upload_date AS adls_upload_date,
+          CASE WHEN source_file LIKE '%part-1-%' THEN 'run-1' ELSE 'run-2' END AS execution_id
+        FROM readings WHERE reasons = ''""",
+    "medallion_tests": f"""WITH {_READINGS}
+        SELECT test_id, tested_at, device_id, 'device_' || (user_id % {DEVICES}) AS testing_software,
+          'monitor' AS underlying_system FROM tests""",
+    "medallion_quarantine": f"""WITH {_READINGS}
+        SELECT 'incoming' AS side, reasons, count(*) AS rows FROM judged WHERE reasons <> '' GROUP BY 2
+        UNION ALL SELECT 'outgoing', reasons, count(*) FROM readings WHERE reasons <> '' GROUP BY 2""",
+    "evolved_bronze": f"""WITH {_EVOLVED}
+        SELECT site, rack, phase, mistyped AS rescued, count(*) AS payloads FROM wider GROUP BY ALL""",
+    "evolved_quarantine": f"""WITH {_EVOLVED}
+        SELECT site, rack, reasons, count(*) AS payloads FROM wider WHERE reasons <> '' GROUP BY ALL""",
 }

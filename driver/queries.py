@@ -95,6 +95,48 @@ def rescued_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def rescued_reading_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose readings have a key that the schema does not know, with the line that was kept."""
+    keys = F.from_json(F.get_json_object("rescued_data", "$.keys"), "array<string>")
+    kept = F.get_json_object(F.get_json_object("rescued_data", "$.line"), "$.snapshots[0].unit")
+    return (
+        views.bronze(spark, sf_dir)
+        .filter(F.exists(keys, lambda key: key.startswith("snapshots.")))
+        .select("event_id", "copy", F.array_join(keys, ",").alias("unexpected_keys"), kept.alias("kept_unit"))
+    )
+
+
+@query
+def rescued_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept because a value has the wrong type, not because of a key."""
+    keys = F.from_json(F.get_json_object("rescued_data", "$.keys"), "array<string>")
+    return (
+        views.bronze(spark, sf_dir)
+        .filter(F.col("rescued_data").isNotNull() & (F.size(keys) == 0))
+        .select("event_id", "copy", F.col("corrupt_record").isNull().alias("readable"))
+    )
+
+
+@query
+def line_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank lines between payloads, and arrays of payloads on a line."""
+    lines = views.payload_lines(spark, sf_dir)
+    doubled = F.concat(F.lit("["), "value", F.lit(", "), "value", F.lit("]"))
+    formed = F.when(F.col("event_id") % views.LINE_FORMS["array"] == 0, doubled).otherwise(F.col("value"))
+    blank = F.when(F.col("event_id") % views.LINE_FORMS["blank"] == 0, F.lit(" \t"))
+    given = lines.select(F.explode(F.array_compact(F.array(formed, blank))).alias("value"))
+    return (
+        parse_payloads(given)
+        .groupBy(_label("metadata.test_id").alias("test_id"))
+        .agg(
+            F.count("*").alias("payloads"),
+            F.count("corrupt_record").alias("corrupt"),
+            F.coalesce(F.sum(F.size("snapshots")), F.lit(0)).alias("readings"),
+        )
+    )
+
+
 @query
 def corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
@@ -137,6 +179,17 @@ def payload_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("event_id", "copy", _joined())
 
 
+@query
+def audit_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that lack one of the columns that say where they came from."""
+    bronze = views.bronze(spark, sf_dir)
+    lacking = {
+        name: F.when(F.col("event_id") % modulus != 0, F.col(name)) for name, modulus in views.AUDIT_FAULTS.items()
+    }
+    rejected = route(bronze.withColumns(lacking), PAYLOAD_RULES).rejected
+    return rejected.select("event_id", "copy", _joined())
+
+
 @query
 def payload_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted, rejected = route(views.bronze(spark, sf_dir), PAYLOAD_RULES)
@@ -425,30 +478,77 @@ def efficiency_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ----------------------------------------------------------------------
 
 _streamed: dict[tuple[str, str], Pipeline] = {}
+_evolved: dict[tuple[str, str], Pipeline] = {}
+
+
+def _pipeline(spark: SparkSession, purpose: str) -> Pipeline:
+    folder = work_folder(spark, purpose)
+    tag = f"{purpose}_{folder[-12:]}"
+    layout = Layout(root=f"{folder}/volumes", table_root=f"{folder}/tables")
+    names = {f"{part}_schema": f"{tag}_{part}" for part in ("bronze", "silver", "gold", "ops")}
+    return Pipeline(layout=layout, **names)
+
+
+def _deliver(lines: DataFrame, pipeline: Pipeline) -> None:
+    write_landing(lines, pipeline.landing_path, F.col("adls_upload_date"), per_file=0)
 
 
 def streamed(spark: SparkSession, sf_dir: str) -> Pipeline:
-    """Land all payloads and run the three streaming stages twice.
+    """Land and run the streaming stages three times.
 
-    The second run finds nothing new and must change nothing.
+    The second delivery repeats every fifth payload of the first; the third run
+    finds nothing new and must change nothing. Fields that the schema does not
+    know are rescued here, not added.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _streamed:
-        folder = work_folder(spark, "medallion")
-        tag = f"medallion_{folder[-12:]}"
-        layout = Layout(root=f"{folder}/volumes", table_root=f"{folder}/tables")
-        names = {f"{part}_schema": f"{tag}_{part}" for part in ("bronze", "silver", "gold", "ops")}
-        pipeline = Pipeline(layout=layout, **names)
+    if key not in _streamed or not views.KEEP_TABLES:
+        pipeline = _pipeline(spark, "medallion")
         lines = views.payload_lines(spark, sf_dir)
-        write_landing(lines, pipeline.landing_path, F.col("adls_upload_date"), per_file=0)
-        for attempt in (1, 2):
-            run_bronze(spark, pipeline, f"run-{attempt}")
+        for attempt, delivery in enumerate((F.col("copy") == 1, F.col("copy") == 2, None), 1):
+            if delivery is not None:
+                _deliver(lines.filter(delivery), pipeline)
+            run_bronze(spark, pipeline, f"run-{attempt}", infer_schema=False)
             run_silver(spark, pipeline)
         run_gold(spark, pipeline, DEVICE, RAMPUP)
         _streamed[key] = pipeline
     return _streamed[key]
 
 
+def evolved(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """Two deliveries, the second with fields at every level that the first does not have."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _evolved or not views.KEEP_TABLES:
+        pipeline = _pipeline(spark, "evolution")
+        lines = views.payload_lines(spark, sf_dir)
+        site = F.concat(F.lit('{"site":'), F.col("event_id") % 7, F.lit(","), F.expr("substring(value, 2)"))
+        wider = F.replace(site, F.lit('"metadata":{'), F.lit('"metadata":{"rack":"r1",'))
+        wider = F.replace(wider, F.lit('"snapshots":[{'), F.lit('"snapshots":[{"phase":3,'))
+        for attempt, delivery in enumerate((lines.filter("copy = 1"), lines.filter("copy = 2").withColumn("value", wider)), 1):
+            _deliver(delivery, pipeline)
+            run_bronze(spark, pipeline, f"run-{attempt}")
+            run_silver(spark, pipeline)
+        _evolved[key] = pipeline
+    return _evolved[key]
+
+
+@query
+def evolved_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New fields of payloads, of their metadata and of their readings, as bronze columns."""
+    table = spark.table(evolved(spark, sf_dir).bronze())
+    return table.groupBy(
+        "site", F.col("metadata.rack").alias("rack"), F.get("snapshots", 0)["phase"].alias("phase"),
+        F.col("rescued_data").isNotNull().alias("rescued"),
+    ).agg(F.count("*").alias("payloads"))
+
+
+@query
+def evolved_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fields of rejected payloads, in their envelope."""
+    pipeline = evolved(spark, sf_dir)
+    row = spark.table(pipeline.quarantine(pipeline.incoming_quarantine)).select("quarantined_rows.*", _joined())
+    return row.groupBy("site", F.col("metadata.rack").alias("rack"), "reasons").agg(F.count("*").alias("payloads"))
+
+
 @query
 def medallion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pipeline = streamed(spark, sf_dir)
@@ -478,3 +578,28 @@ def medallion_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def medallion_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_mart(spark.table(streamed(spark, sf_dir).mart()))
+
+
+@query
+def medallion_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and runs of the files that brought an accepted reading; the day comes from the path."""
+    pipeline = streamed(spark, sf_dir)
+    return spark.table(pipeline.silver(pipeline.files_table)).select("adls_upload_date", "execution_id").distinct()
+
+
+@query
+def medallion_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pipeline = streamed(spark, sf_dir)
+    tests = spark.table(pipeline.silver(pipeline.tests_table))
+    return tests.withColumn("testing_software", device_of(F.col("testing_software")))
+
+
+@query
+def medallion_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons in both streamed quarantine tables."""
+    pipeline = streamed(spark, sf_dir)
+    sides = [
+        spark.table(pipeline.quarantine(name)).select(_joined(), F.lit(side).alias("side"))
+        for side, name in (("incoming", pipeline.incoming_quarantine), ("outgoing", pipeline.outgoing_quarantine))
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("side", "reasons").agg(F.count("*").alias("rows"))

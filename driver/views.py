@@ -42,7 +42,13 @@ PAYLOAD_FAULTS = {
     "null_test_date": 173,
     "wrong_shape": 179,
     "null_metadata": 181,
+    "extra_reading_key": 191,
+    "wrong_element": 193,
 }
+# Which events lack which audit column, where a query plants it.
+AUDIT_FAULTS = {"source_file": 211, "execution_id": 223, "dbx_ingest_date": 227, "adls_upload_date": 229}
+# Events followed by a blank line, and events whose line is an array of two.
+LINE_FORMS = {"blank": 197, "array": 199}
 
 # Sensor type per event type, hardware per user modulo 5.
 SENSOR_TYPES = {
@@ -169,13 +175,15 @@ def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = F.concat(
         F.lit("landing/ingest_date="), F.to_date("ts"), F.lit("/part-"), F.col("copy"), F.lit("-"), user % 4, F.lit(".json")
     )
-    opening = '"metadata":{'
+    opening, readings = '"metadata":{', '"snapshots":[{'
     base = _on_all_cores(events(spark, sf_dir)).withColumn("line", line).withColumn("copy", F.explode(copies))
     keyed = base.withColumn(
         "line",
         F.when(planted("extra_key"), F.concat(F.lit('{"collector":"c1",'), F.expr("substring(line, 2)")))
         .when(planted("extra_metadata_key"), F.replace("line", F.lit(opening), F.lit(opening + '"firmware":"f1",')))
         .when(planted("broken_line"), F.concat(F.lit("{"), "line"))
+        .when(planted("extra_reading_key"), F.replace("line", F.lit(readings), F.lit(readings + '"unit":"W",')))
+        .when(planted("wrong_element"), F.replace("line", F.lit(readings), F.lit('"snapshots":[5,{')))
         .otherwise(F.col("line")),
     )
     return keyed.select(
@@ -190,6 +198,7 @@ def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _bronze_tables: dict[tuple[str, str], str] = {}
+KEEP_TABLES = True  # off where every query is to pay for its own tables
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +209,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     parser and parse the line again.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _bronze_tables:
+    if key not in _bronze_tables or not KEEP_TABLES:
         folder = work_folder(spark, "bronze")
         parse_payloads(payload_lines(spark, sf_dir)).write.parquet(folder)
         _bronze_tables[key] = folder

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from datetime import timedelta
 
 from rampline.naming import Layout
+from rampline.operators.dedup import DEFAULT_SPREAD
+from rampline.operators.joins import BROADCAST_BYTES
 from rampline.session import get_session
 from rampline.streaming.stages import Pipeline, run_bronze, run_gold, run_silver
 
@@ -70,12 +72,21 @@ def build_parser() -> argparse.ArgumentParser:
         options.add_argument("--table-root", help="where external tables are kept; managed tables if unset")
         options.add_argument("--format", default="parquet")
         if stage != "gold":
-            options.add_argument("--max-bytes", help="most input per micro-batch, such as 64g")
+            options.add_argument("--max-bytes", help="most input per micro-batch, 64g unless given")
             options.add_argument("--max-files", type=int, help="most files per micro-batch")
         if stage == "bronze":
-            options.add_argument("--infer-schema", action="store_true", help="add new top-level fields as columns")
+            options.add_argument(
+                "--infer-schema",
+                action=argparse.BooleanOptionalAction,
+                default=True,
+                help="add new fields as columns; needs external tables",
+            )
             options.add_argument("--infer-since", help="look only at files modified after, such as 2026-01-02T00:00:00")
+        if stage == "silver":
+            options.add_argument("--strict-numbers", action="store_true", help="name values that are no numbers")
+            options.add_argument("--spread", type=int, default=DEFAULT_SPREAD, help="slices of copies of a dimension row")
         if stage == "gold":
+            options.add_argument("--broadcast-bytes", type=int, default=BROADCAST_BYTES, help="most that is broadcast")
             options.add_argument("--device", default=DEFAULT_DEVICE)
             options.add_argument("--mart-table", default=DEFAULT_MART)
             options.add_argument("--rampup-minutes", type=float, default=10.0)
@@ -106,9 +117,16 @@ def main(argv: Sequence[str] | None = None) -> None:
             max_files=args.max_files,
         )
     elif args.stage == "silver":
-        run_silver(spark, pipeline, max_bytes=args.max_bytes, max_files=args.max_files)
+        run_silver(
+            spark,
+            pipeline,
+            spread=args.spread,
+            max_bytes=args.max_bytes,
+            max_files=args.max_files,
+            strict_numbers=args.strict_numbers,
+        )
     else:
-        run_gold(spark, pipeline, args.device, timedelta(minutes=args.rampup_minutes))
+        run_gold(spark, pipeline, args.device, timedelta(minutes=args.rampup_minutes), args.broadcast_bytes)
 
 
 if __name__ == "__main__":

@@ -9,8 +9,10 @@ from pyspark.sql.types import VariantType
 
 # How many tasks the copies of one key are spread over before the final pass.
 DEFAULT_SPREAD = 64
-# Repeated keys that one task remembers while it combines copies.
-REMEMBERED_KEYS = 100_000
+# Repeated keys that one task remembers while it combines copies. Only a key with a large
+# share of the rows has to be combined, and there cannot be many of those; a short memory
+# keeps the lookup cheaper than the batch it is for.
+REMEMBERED_KEYS = 256
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], spread: int = DEFAULT_SPREAD) -> DataFrame:
@@ -40,8 +42,8 @@ def combine_copies(df: DataFrame, keys: Sequence[str], remember: int = REMEMBERE
     """Drop copies that meet in one task: a map-side combine for streams.
 
     Each Arrow batch keeps the first row of every key. Keys that were repeated
-    are remembered, and later batches of the task drop them altogether, so a hot
-    key leaves a task about once. Memory is bounded by ``remember``; whatever
+    most often are remembered, and later batches of the task drop them altogether,
+    so a hot key leaves a task about once. Memory is bounded by ``remember``; whatever
     slips through is left to the deduplication behind. Batches without repeated
     keys are passed on untouched.
     """
@@ -65,9 +67,11 @@ def combine_copies(df: DataFrame, keys: Sequence[str], remember: int = REMEMBERE
             kept = groups
             if hot is not None:
                 kept = groups.join(hot, keys, join_type="left anti", use_threads=False)
-            repeated = kept.filter(pc.greater(kept["_row_count"], 1)).select(keys)
+            repeated = kept.filter(pc.greater(kept["_row_count"], 1))
             if repeated.num_rows:
-                hot = repeated if hot is None else pa.concat_tables([hot, repeated])
+                # the most repeated come last, where the memory is cut
+                most = repeated.sort_by("_row_count").slice(max(0, repeated.num_rows - remember)).select(keys)
+                hot = most if hot is None else pa.concat_tables([hot, most])
                 hot = hot.slice(max(0, hot.num_rows - remember)).combine_chunks()
             if kept.num_rows < rows.num_rows:
                 rows = rows.take(kept["_row_min"].sort())
@@ -80,7 +84,9 @@ def lowest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str])
     """The row that sorts lowest per key; a repeatable choice for batches.
 
     An aggregate, not a ranking window: copies are combined before the shuffle
-    and no task ever holds or sorts all the rows of a key.
+    and no task ever holds all the rows of a key. As the row kept is a struct,
+    which Spark aggregates by sorting, each task sorts its input by key before
+    and once more after the shuffle.
     """
     payload = [name for name in df.columns if name not in set(keys)]
     if not payload:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rampline import contracts
 from rampline.functions.variants import device_of
-from rampline.operators.joins import BROADCAST_BYTES, HOT_SHARE, fact_join, fits_broadcast, hot_keys
+from rampline.operators.joins import BROADCAST_BYTES, HOT_SHARE, fact_join, fits_broadcast, slices_of
+from rampline.session import work_folder
 
 # Fixed value: a test counts as warming up for this long after its first reading.
 RAMPUP = timedelta(minutes=10)
@@ -47,10 +48,19 @@ def device_mart(
     readings = fact.select(*(name for name in contracts.MART_COLUMNS if name in contracts.FACT_COLUMNS))
     small = fits_broadcast(wanted, limit)
     times = readings.select("test_id", "polled_at")
+    ids = wanted.select("test_id")
     if small:
-        times = times.join(F.broadcast(wanted.select("test_id")), "test_id", "left_semi")
-    described = wanted.join(test_starts(times), "test_id")
-    hot = None if small else hot_keys(readings, ["test_id"], hot_share)
+        starts, hot = test_starts(times.join(F.broadcast(ids), "test_id", "left_semi")), None
+    else:
+        # one pass for the minima, the rows per test and their total
+        counted = times.join(ids, "test_id", "left_semi").groupBy("test_id")
+        counted = counted.agg(F.min("polled_at").alias("started_at"), F.count("*").alias("_rows"))
+        folder = work_folder(fact.sparkSession, "starts")
+        counted.write.parquet(folder)
+        counted = fact.sparkSession.read.schema(counted.schema).parquet(folder)
+        total = counted.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+        starts, hot = counted.drop("_rows"), slices_of(counted, ["test_id"], total * hot_share)
+    described = wanted.join(starts, "test_id")
     mart = fact_join(readings, described, "test_id", small, hot)
     flag = warming_up(F.col("polled_at"), F.col("started_at"), rampup).alias("thermal_rampup_phase")
     return mart.select(*contracts.MART_COLUMNS[:-1], flag)

@@ -14,8 +14,13 @@ HOT_SHARE = 0.001
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the in-memory size, from an aggregate over every row."""
-    width = F.octet_length(F.to_json(F.struct(*df.columns))) + F.lit(32)
+    """Upper estimate of the in-memory size, from an aggregate over every row.
+
+    A row is its text with nulls written out, a word for each column, and what a
+    hash table adds.
+    """
+    text = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    width = F.octet_length(text) + F.lit(8 * len(df.columns) + 48)
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
@@ -31,13 +36,14 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) ->
     such keys and ``2 / share`` slices whatever the data, which bounds what is
     broadcast. Counts are combined before they are shuffled.
     """
-    fair = max(1.0, fact.count() * share)
-    return (
-        fact.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > fair)
-        .select(*keys, F.ceil(F.col("_rows") / F.lit(fair)).alias("_slices"))
-    )
+    counted = fact.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return slices_of(counted, keys, fact.count() * share)
+
+
+def slices_of(counted: DataFrame, keys: Sequence[str], fair: float) -> DataFrame:
+    """Keys with more than ``fair`` of the counted ``_rows``, and in how many slices to cut them."""
+    fair = max(1.0, fair)
+    return counted.filter(F.col("_rows") > fair).select(*keys, F.ceil(F.col("_rows") / F.lit(fair)).alias("_slices"))
 
 
 def fact_join(
@@ -46,8 +52,9 @@ def fact_join(
     on: str | Sequence[str],
     broadcast: bool,
     hot: DataFrame | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner equi-join on the columns ``on``.
+    """Inner, or left, equi-join on the columns ``on``.
 
     With ``broadcast`` the fact is not shuffled at all. Otherwise both sides are
     shuffled on (key, slice): rows of a hot key draw one of its slices from their
@@ -58,7 +65,7 @@ def fact_join(
     """
     keys = [on] if isinstance(on, str) else list(on)
     if broadcast:
-        return fact.join(F.broadcast(small), keys)
+        return fact.join(F.broadcast(small), keys, how)
     split = F.broadcast(hot_keys(fact, keys) if hot is None else hot)
     slices = F.coalesce(F.col("_slices"), F.lit(1))
     draw = F.xxhash64(F.spark_partition_id(), *_hashable(fact))
@@ -68,7 +75,7 @@ def fact_join(
         .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
         .drop("_slices")
     )
-    return cut.join(repeated, [*keys, "_slice"]).drop("_slice")
+    return cut.join(repeated.hint("merge"), [*keys, "_slice"], how).drop("_slice")
 
 
 def _hashable(df: DataFrame) -> list[str]:

@@ -53,19 +53,23 @@ def explode_readings(payloads: DataFrame, keep_text: bool = False) -> DataFrame:
     """One typed row per reading.
 
     The payload's leaf columns are picked before the explode, so that the scan
-    reads only the leaves that the rest of the query uses. ``keep_text`` adds
-    the value as it was sent.
+    reads only the leaves that the rest of the query uses. Readings are typed
+    inside the array: a filter on a typed column cannot move below the explode
+    and parse the text again. ``keep_text`` adds the value as it was sent.
     """
     inherited = payload_columns()
+
+    def typed(snapshot: Column) -> Column:
+        columns = reading_columns(snapshot)
+        if keep_text:
+            columns["sensor_value_text"] = value_text(snapshot)
+        return F.struct(*(column.alias(name) for name, column in columns.items()))
+
     lifted = payloads.select(
         *(column.alias(name) for name, column in inherited.items()),
-        F.explode("snapshots").alias("snapshot"),
+        F.explode(F.transform("snapshots", typed)).alias("snapshot"),
     )
-    snapshot = F.col("snapshot")
-    typed = reading_columns(snapshot)
-    if keep_text:
-        typed["sensor_value_text"] = value_text(snapshot)
-    return lifted.select(*inherited, *(column.alias(name) for name, column in typed.items()))
+    return lifted.select(*inherited, "snapshot.*")
 
 
 def envelope(rejected: DataFrame, batch_id: str) -> DataFrame:

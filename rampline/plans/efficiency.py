@@ -8,11 +8,15 @@ columns ``hardware_name, sensor_name, metric, core, core_type``, where
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rampline.functions.variants import TEST_ATTRIBUTES, attribute
 from rampline.operators.joins import fact_join, fits_broadcast
+from rampline.plans.percentiles import exact_percentiles
+from rampline.session import work_folder
 
 _MAPPING_KEY = ["hardware_name", "sensor_name"]
 
@@ -62,18 +66,22 @@ def core_ratios(mart: DataFrame, mapping: DataFrame, bucket: str = "1 minute") -
 
 
 def efficiency_summary(ratios: DataFrame, percentiles: Sequence[float] = (0.05, 0.5, 0.95)) -> DataFrame:
-    """Distribution of the ratio per core type and instruction set.
-
-    Percentiles come from a mergeable sketch, so a core type with most of the
-    rows is never gathered in one task.
-    """
+    """Distribution of the ratio per core type and instruction set; percentiles are exact."""
+    keys = ["core_type", "instruction_set"]
+    folder = work_folder(ratios.sparkSession, "ratios")
+    narrow = ratios.select(*keys, "watts_per_mhz")
+    narrow.write.parquet(folder)
+    narrow = ratios.sparkSession.read.schema(narrow.schema).parquet(folder)
     ratio = F.col("watts_per_mhz")
-    return ratios.groupBy("core_type", "instruction_set").agg(
-        F.count("*").alias("buckets"),
-        F.avg(ratio).alias("mean_ratio"),
-        F.stddev_samp(ratio).alias("stddev_ratio"),
-        *(F.percentile_approx(ratio, p, 10_000).alias(f"p{round(p * 100):02d}_ratio") for p in percentiles),
+    summary = narrow.groupBy(*keys).agg(
+        F.count("*").alias("buckets"), F.avg(ratio).alias("mean_ratio"), F.stddev_samp(ratio).alias("stddev_ratio")
+    )
+    found = exact_percentiles(narrow, keys, "watts_per_mhz", percentiles)
+    named = found.groupBy(*keys).agg(
+        *(F.max(F.when(F.col("share") == p, F.col("value"))).alias(f"p{round(p * 100):02d}_ratio") for p in percentiles)
     )
+    same = reduce(and_, (summary[key].eqNullSafe(named[key]) for key in keys))
+    return summary.join(named, same).select(*(summary[name] for name in summary.columns), *named.columns[len(keys) :])
 
 
 def efficiency_comparison(ratios: DataFrame, first: str, second: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,6 +18,10 @@ STREAM_STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# A struct of which a file has none of the wanted fields is null. Spark would else read some
+# other field to tell whether it was there, and may pick one inside a variant, which fails.
+WIDENED_STRUCTS = ("spark.sql.legacy.parquet.returnNullStructIfAllFieldsMissing", "true")
+
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -34,6 +37,7 @@ def configure(spark: SparkSession) -> SparkSession:
     size the state will reach, not for the first increment.
     """
     spark.conf.set(*TIME_ZONE)
+    spark.conf.set(*WIDENED_STRUCTS)
     for key, value in {**STREAM_STATE, **ADAPTIVE}.items():
         spark.conf.set(key, value)
     return spark
@@ -46,12 +50,8 @@ def get_session(app_name: str = "Sensor telemetry pipeline") -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
-    Lies under the folder the cluster names in ``spark.checkpoint.dir``. Only a
-    local session, whose executors share this machine, may do without one.
+    Lies under the folder the cluster names in ``spark.checkpoint.dir``, else in
+    the session's table storage.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        shared = tempfile.gettempdir()
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/rampline-{purpose}-{uuid.uuid4().hex}"

@@ -1,14 +1,16 @@
-"""Optional schema inference: new top-level fields become bronze columns."""
+"""Schema inference: new fields become bronze columns."""
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
-from rampline.contracts import landing_schema
+from rampline.contracts import RESCUED_COLUMN, landing_schema
+from rampline.sources.landing import parse_payloads
 
 
 def load_schema(spark: SparkSession, location: str) -> StructType:
@@ -27,40 +29,74 @@ def load_schema(spark: SparkSession, location: str) -> StructType:
     return StructType.fromJson(json.loads(newest)) if newest else landing_schema()
 
 
+def widened(known: DataType, found: DataType) -> DataType:
+    """``known`` with the fields that only ``found`` has, at every level. What is known keeps its type."""
+    if isinstance(known, StructType) and isinstance(found, StructType):
+        seen = {field.name: field.dataType for field in found}
+        kept = [
+            StructField(field.name, widened(field.dataType, seen.get(field.name, field.dataType))) for field in known
+        ]
+        return StructType([*kept, *(field for field in found if field.name not in set(known.fieldNames()))])
+    if isinstance(known, ArrayType) and isinstance(found, ArrayType):
+        return ArrayType(widened(known.elementType, found.elementType))
+    return known
+
+
+def _declared(variant_schema: str | None) -> DataType | None:
+    """The type that describes a variant: numbers with a point as doubles, what has no one type as text."""
+    if variant_schema is None:
+        return None
+    declared = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", variant_schema.replace("OBJECT<", "STRUCT<"))
+    return DataType.fromDDL(re.sub(r"\b(VOID|VARIANT)\b", "STRING", declared))
+
+
 def infer_landing_schema(spark: SparkSession, path: str, location: str, since: str | None = None) -> StructType:
-    """Widen the kept schema by the top-level fields found in the landing files.
+    """Widen the kept schema by the fields found in the landing files.
 
-    Hinted fields keep the type they have in the contract: the reading value
-    stays text and the testing software stays a variant, whatever the files
-    suggest. A field seen before keeps its type. Unknown fields inside
-    ``metadata`` are not added, they keep going to the rescue column.
+    Only lines with keys that the kept schema does not know are looked at. Fields are added at the top, in ``metadata`` and in the readings. Hinted
+    fields keep the type they have in the contract: the reading value stays text
+    and the testing software stays a variant, whatever the files suggest. A field
+    seen before keeps its type.
 
     All landing files are read, or those modified after ``since`` (a timestamp in
     the session's zone), which is what a scheduled run wants.
     """
     known = load_schema(spark, location)
     reader = spark.read if since is None else spark.read.option("modifiedAfter", since)
-    try:
-        found = reader.json(path).schema
-    except AnalysisException as empty:
-        if empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
+    parsed = parse_payloads(reader.schema("value string, ingest_date date").text(path), known)
+    line = F.get_json_object(RESCUED_COLUMN, "$.line")
+    # a line of the wrong shape would turn the type of its field, and of all below it, into text
+    told = parsed.filter(F.get_json_object(RESCUED_COLUMN, "$.mistyped").isNull()).select(
+        F.schema_of_variant_agg(F.try_parse_json(line)).alias("found")
+    )
+    found = _declared(told.first()["found"])
+    if not isinstance(found, StructType):
         return known
-    added = [field for field in found if field.name not in {*known.fieldNames(), "ingest_date", "_corrupt_record"}]
-    if not added:
+    wider = widened(known, found)
+    if wider == known:
         return known
-    widened = StructType([*known.fields, *added])
-    spark.createDataFrame([(widened.json(),)], "value string").coalesce(1).write.mode("append").text(location)
-    return widened
+    spark.createDataFrame([(wider.json(),)], "value string").coalesce(1).write.mode("append").text(location)
+    return wider
 
 
-def add_new_columns(spark: SparkSession, table: str, schema: StructType) -> list[str]:
-    """Add the columns of ``schema`` that ``table`` lacks. Old rows read null."""
+def add_new_columns(
+    spark: SparkSession, table: str, schema: StructType, path: str | None = None, fmt: str = "parquet"
+) -> list[str]:
+    """Add the fields of ``schema`` that ``table`` lacks. Old rows read null.
+
+    An external table, at ``path``, is registered anew over the same files and so
+    takes new fields at every level; a managed one takes new columns only.
+    """
     if not spark.catalog.tableExists(table):
         return []
-    present = set(spark.table(table).columns)
-    added = [field for field in schema if field.name not in present]
-    if added:
+    present = spark.table(table).schema
+    added = [field for field in schema if field.name not in set(present.fieldNames())]
+    if path is not None:
+        wider = widened(present, schema)
+        if wider != widened(present, present):
+            spark.sql(f"DROP TABLE {table}")
+            spark.catalog.createTable(table, path, fmt, wider)
+    elif added:
         columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     return [field.name for field in added]

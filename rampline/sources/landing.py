@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, AtomicType, DataType, DateType, MapType, StringType, StructField, StructType
 
 from rampline.contracts import CORRUPT_COLUMN, RESCUED_COLUMN, landing_schema
 from rampline.operators.bronze import with_audit, with_upload_date
 
 _LINE_SCHEMA = StructType([StructField("value", StringType()), StructField("ingest_date", DateType())])
 
+# A file source skips files much older than the newest it has seen; landing must not.
+ANY_AGE = "36500d"
+# So much of a backlog makes one micro-batch unless told otherwise.
+BATCH_BYTES = 64 << 30
+_UNITS = {"k": 10, "m": 20, "g": 30, "t": 40}
+
+_TEXT_MAP = MapType(StringType(), StringType())
+
 
 def landing_lines(
     spark: SparkSession,
@@ -20,59 +28,152 @@ def landing_lines(
 ) -> DataFrame:
     """Raw lines with the date of their directory.
 
-    As a stream only files that no earlier run has seen are read. The limits
-    bound one micro-batch, so that a backlog is worked off in pieces.
+    As a stream only files that no earlier run has seen are read, however old
+    they are. The source remembers every file it has read, so landing
+    directories that are done with should be moved away. The limits bound one
+    micro-batch, so that a backlog is worked off in pieces.
     """
     reader = (spark.readStream if stream else spark.read).schema(_LINE_SCHEMA)
-    if stream and max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    if stream and max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    if stream:
+        reader = bounded(reader, max_bytes, max_files)
     return reader.text(path)
 
 
-def _unexpected_keys(document: Column, known: list[str]) -> Column:
-    """Keys of a JSON object that the schema does not name; empty for bad JSON."""
-    keys = F.array_except(F.json_object_keys(document), F.array(*map(F.lit, known)))
-    return F.coalesce(keys, F.array().cast("array<string>"))
+def byte_count(text: str | int) -> int:
+    """A number of bytes, which may be written as 64g."""
+    text = str(text).strip().lower()
+    unit = _UNITS.get(text[-1:], 0)
+    return int(text[:-1] if unit else text) << unit
+
+
+def bounded(reader, max_bytes: str | None = None, max_files: int | None = None):
+    """A stream reader that takes files of any age, so many at a time."""
+    reader = reader.option("maxFileAge", ANY_AGE)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None or max_files is None:
+        reader = reader.option("maxBytesPerTrigger", byte_count(max_bytes or BATCH_BYTES))
+    return reader
+
+
+def documents(lines: DataFrame) -> DataFrame:
+    """Lines as a JSON reader takes them: blank ones are none, an array is one for each element."""
+    text = F.btrim("value", F.lit(" \t\r\n"))
+    elements = F.transform(
+        F.from_json("value", ArrayType(StringType())), lambda element: F.coalesce(element, F.lit("null"))
+    )
+    each = F.when(text.startswith("["), F.coalesce(elements, F.array("value"))).otherwise(F.array("value"))
+    carried = [name for name in lines.columns if name != "value"]
+    return lines.filter(text != "").select(F.explode(each).alias("value"), *carried)
+
+
+def _surplus(keys: Column, known: list[str], prefix: str = "") -> Column:
+    """Keys that the schema does not name."""
+    surplus = F.array_except(F.coalesce(keys, _no_texts()), F.array(*map(F.lit, known)))
+    return F.transform(surplus, lambda key: F.concat(F.lit(prefix), key))
+
+
+
+def _typed(text: Column, kind: DataType) -> Column:
+    if isinstance(kind, StringType):
+        return text
+    return text.try_cast(kind) if isinstance(kind, AtomicType) else F.from_json(text, kind)
+
+
+def _misfit(maps: Column, field: StructField) -> Column:
+    """The name of a field of readings, where one of them has a value that is not of its type."""
+
+    def misfit(reading: Column) -> Column:
+        text = F.try_element_at(reading, F.lit(field.name))
+        return text.isNotNull() & _typed(text, field.dataType).isNull()
+
+    return F.when(F.exists(maps, misfit), F.lit(f"snapshots.{field.name}"))
 
 
 def parse_payloads(lines: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Replace ``value`` by typed payload columns, rescued keys and corrupt text.
 
-    * A line that is not valid JSON, or whose shape contradicts the schema, is
-      kept whole in ``corrupt_record``.
-    * A line with keys the schema does not know, at the top or in ``metadata``,
-      is kept whole in ``rescued_data`` next to the list of those keys. Keys
-      inside single readings are not looked at. Lines holding a bare ``NaN``
-      token parse, but their keys cannot be listed and count as expected.
+    * A line that is not a JSON object is kept whole in ``corrupt_record``.
+    * A line that is one, but of which something would be lost, is kept whole
+      in ``rescued_data``: keys that the schema does not know, at the top, in
+      ``metadata`` or in any reading, are listed next to it; so are fields of
+      readings that do not have the type of the schema. Other values of the
+      wrong type have no key to list, their line is kept all the same.
+
+    Readings are parsed as maps of text, so their keys are known from the same
+    pass. Strict JSON functions list the other keys; only for lines they refuse,
+    such as those holding a bare ``NaN`` token, is the line parsed once more.
     """
     schema = schema or landing_schema()
-    parsed = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType())])
+    reading = schema["snapshots"].dataType.elementType
+    fields = [
+        StructField("snapshots", ArrayType(_TEXT_MAP)) if field.name == "snapshots" else field for field in schema
+    ]
+    parsed = StructType([*fields, StructField(CORRUPT_COLUMN, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     line = F.col("value")
-
-    metadata_keys = _unexpected_keys(F.get_json_object(line, "$.metadata"), schema["metadata"].dataType.fieldNames())
+    loose = F.from_json(line, _TEXT_MAP)
+    inner = F.from_json(F.try_element_at(loose, F.lit("metadata")), _TEXT_MAP)
+    carried = [name for name in lines.columns if name != "value"]
+    keyed = documents(lines).select(
+        *carried,
+        "value",
+        F.from_json(line, parsed, options).alias("_payload"),
+        F.coalesce(F.json_object_keys(line), F.map_keys(loose)).alias("_keys"),
+        F.coalesce(F.json_object_keys(F.get_json_object(line, "$.metadata")), F.map_keys(inner)).alias("_inner_keys"),
+    )
+    maps = F.col("_payload.snapshots")
+    reading_keys = F.array_distinct(
+        F.flatten(F.transform(F.coalesce(maps, F.array().cast("array<map<string,string>>")), _keys_of))
+    )
+    misfits = [_misfit(maps, field) for field in reading if not isinstance(field.dataType, StringType)]
     unexpected = F.concat(
-        _unexpected_keys(line, schema.fieldNames()),
-        F.transform(metadata_keys, lambda key: F.concat(F.lit("metadata."), key)),
+        _surplus(F.col("_keys"), schema.fieldNames()),
+        _surplus(F.col("_inner_keys"), schema["metadata"].dataType.fieldNames(), "metadata."),
+        _surplus(reading_keys, reading.fieldNames(), "snapshots."),
+        F.array_compact(F.array(F.lit(None).cast("string"), *misfits)),
     )
-    carried = [name for name in lines.columns if name != "value"]
-    keyed = lines.select(
-        *carried, "value", F.from_json(line, parsed, options).alias("_payload"), unexpected.alias("_unexpected")
+    is_object = F.col("_keys").isNotNull()
+    broken = F.coalesce(F.col(f"_payload.{CORRUPT_COLUMN}"), F.when(F.col("_payload").isNull(), F.col("value")))
+    judged = keyed.select(
+        "*",
+        F.when(is_object, unexpected).alias("_unexpected"),
+        F.when(~is_object, F.coalesce(broken, F.col("value"))).alias("_corrupt"),
+        (is_object & broken.isNotNull()).alias("_mistyped"),
     )
     rescued = F.when(
-        F.size("_unexpected") > 0,
-        F.to_json(F.struct(F.col("_unexpected").alias("keys"), F.col("value").alias("line"))),
+        F.col("_mistyped") | (F.size("_unexpected") > 0),
+        F.to_json(
+            F.struct(
+                F.col("_unexpected").alias("keys"),
+                F.when(F.col("_mistyped"), F.lit(True)).alias("mistyped"),
+                F.col("value").alias("line"),
+            )
+        ),
     )
-    return keyed.select(
-        *(F.col(f"_payload.{name}").alias(name) for name in schema.fieldNames()),
+
+    def read(m: Column) -> Column:
+        texts = [_typed(F.try_element_at(m, F.lit(f.name)), f.dataType).alias(f.name) for f in reading]
+        return F.when(m.isNotNull(), F.struct(*texts))
+
+    columns = {name: F.col(f"_payload.{name}") for name in schema.fieldNames()}
+    columns["snapshots"] = F.transform(maps, read)
+    return judged.select(
+        *(column.alias(name) for name, column in columns.items()),
         *carried,
         rescued.alias(RESCUED_COLUMN),
-        F.col(f"_payload.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN),
+        F.col("_corrupt").alias(CORRUPT_COLUMN),
     )
 
 
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _keys_of(reading: Column) -> Column:
+    return F.coalesce(F.map_keys(reading), _no_texts())
+
+
 def to_bronze(lines: DataFrame, run_id: str, schema: StructType | None = None) -> DataFrame:
     """Bronze rows from landing lines. Audit columns are taken from the file scan.
 

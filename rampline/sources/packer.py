@@ -32,7 +32,9 @@ def pack(readings: DataFrame, tests: DataFrame, limit: int = PAYLOAD_LIMIT) -> D
     """Payload lines of at most ``limit`` readings of one test, in poll order.
 
     ``readings`` has the fact columns and is unique on the fact key, ``tests``
-    the test columns, one row per test. The readings are range-partitioned by
+    the test columns, one row per test. Readings of a test without a row there
+    are packed with nothing but its id, so that validation names what they lack.
+    The readings are range-partitioned by
     test and time, which cuts a long test into many tasks, and sorted there on
     every column, so a rerun of a task numbers its rows alike. Every run of ``limit`` consecutive rows of a task
     then closes a payload per test in it: no payload can exceed the limit, no
@@ -69,7 +71,7 @@ def pack(readings: DataFrame, tests: DataFrame, limit: int = PAYLOAD_LIMIT) -> D
     )
     small = fits_broadcast(tests)
     hot = None if small else hot_keys(flat, ["test_id"])
-    described = fact_join(chunks, tests, "test_id", small, hot)
+    described = fact_join(chunks, tests, "test_id", small, hot, "left")
     return described.select(payload_json(metadata, F.col("snapshots")).alias("value"))
 
 

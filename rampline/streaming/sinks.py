@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -47,7 +48,8 @@ def drain(starters: Iterable[Callable[[], StreamingQuery]]) -> None:
             waiting = [query for query in waiting if not query.awaitTermination(_POLL_SECONDS)]
     except BaseException:
         for query in started:
-            query.stop()
+            with suppress(Exception):  # the others have to stop, and the first failure is the one to tell
+                query.stop()
         raise
 
 

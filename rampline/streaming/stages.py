@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from rampline.naming import Layout, StatePaths
 from rampline.operators.dedup import DEFAULT_SPREAD
 from rampline.operators.gold import RAMPUP, device_mart
+from rampline.operators.joins import BROADCAST_BYTES
 from rampline.operators.silver import clean, normalize_cleaned
 from rampline.sources.inference import add_new_columns, infer_landing_schema, load_schema
-from rampline.sources.landing import landing_lines, to_bronze
+from rampline.sources.landing import bounded, landing_lines, to_bronze
 from rampline.streaming.sinks import append_stream, drain, replace_table
 
 logger = logging.getLogger(__name__)
@@ -101,19 +102,25 @@ def run_bronze(
     spark: SparkSession,
     pipeline: Pipeline,
     run_id: str,
-    infer_schema: bool = False,
+    infer_schema: bool = True,
     infer_since: str | None = None,
     max_bytes: str | None = None,
     max_files: int | None = None,
 ) -> None:
-    """Append the payloads that landed since the last run."""
+    """Append the payloads that landed since the last run.
+
+    New fields widen the table if it is external. The fields of a managed table
+    are fixed below the top, and those of its quarantine even there, so with
+    managed tables new fields stay in ``rescued_data``.
+    """
     table = attach(spark, pipeline, pipeline.bronze_schema, pipeline.bronze_table)
+    path = pipeline.layout.table_path(pipeline.bronze_schema, pipeline.bronze_table)
     location = pipeline.state.schema(pipeline.bronze_table)
-    if infer_schema:
+    if infer_schema and path is not None:
         schema = infer_landing_schema(spark, pipeline.landing_path, location, infer_since)
     else:
         schema = load_schema(spark, location)
-    add_new_columns(spark, table, schema)
+    add_new_columns(spark, table, schema, path, pipeline.fmt)
     lines = landing_lines(spark, pipeline.landing_path, max_bytes=max_bytes, max_files=max_files)
     rows = to_bronze(lines, run_id, schema)
     drain([_append(spark, pipeline, rows, pipeline.bronze_schema, pipeline.bronze_table, pipeline.bronze_table)])
@@ -130,11 +137,7 @@ def run_silver(
 ) -> None:
     """Validate the new bronze rows into the silver and quarantine tables."""
     source = attach(spark, pipeline, pipeline.bronze_schema, pipeline.bronze_table)
-    reader = spark.readStream
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = bounded(spark.readStream, max_bytes, max_files)
     cleaned = clean(reader.table(source), str(uuid.uuid4()), strict_numbers)
     tables = normalize_cleaned(cleaned, spread)
 
@@ -143,6 +146,8 @@ def run_silver(
         (cleaned.incoming_quarantine, pipeline.incoming_quarantine),
         (cleaned.outgoing_quarantine, pipeline.outgoing_quarantine),
     ):
+        path = pipeline.layout.table_path(pipeline.ops_schema, table)
+        add_new_columns(spark, attach(spark, pipeline, pipeline.ops_schema, table), df.schema, path, pipeline.fmt)
         # quarantine state is keyed by the full table name, silver state by the bare one
         starters.append(_append(spark, pipeline, df, pipeline.ops_schema, table, pipeline.quarantine(table)))
     for df, table in (
@@ -155,11 +160,17 @@ def run_silver(
     logger.info("validated new rows of %s", source)
 
 
-def run_gold(spark: SparkSession, pipeline: Pipeline, device: str, rampup: timedelta = RAMPUP) -> None:
+def run_gold(
+    spark: SparkSession,
+    pipeline: Pipeline,
+    device: str,
+    rampup: timedelta = RAMPUP,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> None:
     """Rebuild the mart of one device."""
     fact = spark.table(attach(spark, pipeline, pipeline.silver_schema, pipeline.fact_table))
     tests = spark.table(attach(spark, pipeline, pipeline.silver_schema, pipeline.tests_table))
     create_schema(spark, pipeline, pipeline.gold_schema)
     path = pipeline.layout.table_path(pipeline.gold_schema, pipeline.mart_table)
-    replace_table(device_mart(fact, tests, device, rampup), pipeline.mart(), path, pipeline.fmt)
+    replace_table(device_mart(fact, tests, device, rampup, broadcast_bytes), pipeline.mart(), path, pipeline.fmt)
     logger.info("rebuilt %s for device %s", pipeline.mart(), device)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rampline.plans import efficiency
+from rampline.plans import efficiency, percentiles
 
 
 def _mart(spark):
@@ -83,3 +83,17 @@ def test_idle_clock_has_no_ratio(spark):
         "sensor_value", F.when(F.col("sensor_name").startswith("clock"), 0.0).otherwise(F.col("sensor_value"))
     )
     assert efficiency.core_ratios(mart, _mapping(spark)).count() == 0
+
+
+def test_percentiles_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(percentiles, "BUCKETS", 16)
+    rows = [(g, float(v)) for g in ("a", None) for v in np.random.default_rng(len(str(g))).lognormal(0, 3, 3000)]
+    rows += [("ties", 1.5)] * 40 + [("one", -2.0), ("null", None), ("a", None)]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    shares = (0.0, 0.05, 0.5, 0.95, 1.0)
+    found = percentiles.exact_percentiles(frame, ["g"], "v", shares).collect()
+    for group in ("a", None, "ties", "one"):
+        own = np.sort([v for g, v in rows if g == group and v is not None])
+        want = {p: own[max(1, int(np.ceil(p * len(own)))) - 1] for p in shares}
+        assert {r.share: r.value for r in found if r.g == group} == want
+    assert not [r for r in found if r.g == "null"]

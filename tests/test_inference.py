@@ -1,4 +1,4 @@
-from pyspark.sql.types import StringType, VariantType
+from pyspark.sql.types import LongType, StringType, VariantType
 
 from rampline.contracts import landing_schema
 from rampline.sources.inference import infer_landing_schema, load_schema
@@ -8,7 +8,7 @@ from tests.fixtures import land, payload, snapshot
 def test_schema_is_kept_and_widened(spark, tmp_path):
     path, location = str(tmp_path / "in"), str(tmp_path / "schema")
     assert load_schema(spark, location) == landing_schema()
-    land(spark, path, payload(snapshot(1.5), firmware="x"), "{broken")
+    land(spark, path, payload(snapshot(1.5)), "{broken", {**payload(), "snapshots": "none"})
     assert infer_landing_schema(spark, path, location) == landing_schema()
 
     land(spark, path, {**payload(), "site": "a", "run": 3}, day="2026-01-03")
@@ -27,3 +27,12 @@ def test_only_files_after_a_time_are_read(spark, tmp_path):
     land(spark, path, {**payload(), "site": "a"})
     assert infer_landing_schema(spark, path, location, since="2999-01-01T00:00:00") == landing_schema()
     assert "site" in infer_landing_schema(spark, path, location, since="2000-01-01T00:00:00").fieldNames()
+
+
+def test_nested_fields_are_added(spark, tmp_path):
+    path, location = str(tmp_path / "in"), str(tmp_path / "schema")
+    land(spark, path, payload(snapshot(phase=2), rack={"row": "r", "at": 1.5}), {**payload(), "snapshots": ["none"]})
+    found = infer_landing_schema(spark, path, location)
+    assert found["snapshots"].dataType.elementType["phase"].dataType == LongType()
+    assert found["metadata"].dataType["rack"].dataType.fieldNames() == ["at", "row"]
+    assert infer_landing_schema(spark, path, location) == found

@@ -1,8 +1,10 @@
 import json
+import os
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, VariantType
+from pyspark.sql.types import DateType, StructType, VariantType
 
+from rampline.contracts import LANDING_DDL
 from rampline.operators.silver import clean
 from rampline.sources.landing import landing_lines, to_bronze
 from tests.fixtures import land, payload, snapshot, without
@@ -42,10 +44,13 @@ def test_malformed_lines_are_kept_whole(spark, tmp_path):
     assert all(row["rescued_data"] is None for row in rows)
 
 
-def test_wrong_shapes_are_corrupt(spark, tmp_path):
-    land(spark, str(tmp_path), {**payload(), "snapshots": "none"}, {**payload(), "metadata": "none"})
+def test_wrong_shapes_are_rescued(spark, tmp_path):
+    documents = [{**payload(), "snapshots": "none"}, {**payload(), "metadata": "none"}]
+    land(spark, str(tmp_path), *documents)
     rows = _bronze(spark, str(tmp_path)).collect()
-    assert all(row["corrupt_record"] is not None for row in rows)
+    assert all(row["corrupt_record"] is None for row in rows)
+    kept = [json.loads(json.loads(row["rescued_data"])["line"]) for row in rows]
+    assert sorted(kept, key=str) == sorted(documents, key=str)
     assert sorted((row["metadata"] is None, row["snapshots"] is None) for row in rows) == [(False, True), (True, False)]
 
 
@@ -60,7 +65,7 @@ def test_unexpected_keys_are_rescued(spark, tmp_path):
         "top": ["extra"],
         "inner": ["metadata.firmware"],
         "both": ["extra", "metadata.firmware"],
-        "nested": None,
+        "nested": ["snapshots.more"],
         "none": None,
     }
 
@@ -95,7 +100,59 @@ def test_missing_parts_are_null(spark, tmp_path):
 def test_json_is_parsed_once(spark, tmp_path):
     land(spark, str(tmp_path), payload())
     plan = _bronze(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json(") == 1
+    assert plan.count("from_json(StructField(metadata") == 1
+
+
+def test_unexpected_keys_beside_a_bare_nan_are_rescued(spark, tmp_path):
+    odd = {**payload(snapshot(float("nan"), more=1), firmware="f"), "extra": 1}
+    land(spark, str(tmp_path), json.dumps(odd))
+    assert _keys(_bronze(spark, str(tmp_path)).first()) == ["extra", "metadata.firmware", "snapshots.more"]
+
+
+def test_one_wrong_element_keeps_the_line(spark, tmp_path):
+    document = payload()
+    document["snapshots"].insert(0, 5)
+    land(spark, str(tmp_path), document)
+    row = _bronze(spark, str(tmp_path)).first()
+    assert row["corrupt_record"] is None and json.loads(json.loads(row["rescued_data"])["line"]) == document
+
+
+def test_fields_of_the_wrong_type_are_rescued(spark, tmp_path):
+    schema = StructType.fromDDL(LANDING_DDL.replace("sensor_value: string", "sensor_value: string, phase: int") + ", site int")
+    right, wrong = payload(snapshot(phase=3), test_id="right"), payload(snapshot(phase="x"), test_id="wrong")
+    top = {**payload(test_id="top"), "site": "five"}
+    land(spark, str(tmp_path), {**right, "site": 5}, wrong, top)
+    rows = to_bronze(landing_lines(spark, str(tmp_path), stream=False), "run-1", schema).collect()
+    found = {row["metadata"]["test_id"]: (row["snapshots"][0]["phase"], row["site"], _keys(row)) for row in rows}
+    assert found == {"right": (3, 5, None), "wrong": (None, None, ["snapshots.phase"]), "top": (None, None, [])}
+
+
+def test_blank_lines_and_arrays(spark, tmp_path):
+    first, second = payload(test_id="a"), payload(test_id="b")
+    land(spark, str(tmp_path), json.dumps([first, second]), " \t", "[]", "[7]", "[null]", "[broken", payload(test_id="c"))
+    rows = _bronze(spark, str(tmp_path)).collect()
+    assert sorted(row["metadata"]["test_id"] for row in rows if row["metadata"]) == ["a", "b", "c"]
+    assert sorted(row["corrupt_record"] for row in rows if row["corrupt_record"]) == ["7", "[broken", "null"]
+    assert len(rows) == 6
+
+
+def test_old_files_are_not_skipped(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run():
+        stream = to_bronze(landing_lines(spark, path), "run-1")
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+        writer.trigger(availableNow=True).start(out).awaitTermination()
+        return spark.read.parquet(out).count()
+
+    land(spark, path, payload(test_id="a"))
+    assert run() == 1
+    before = set((tmp_path / "in").rglob("*.*"))
+    land(spark, path, payload(test_id="late"), day="2025-12-01")
+    for file in set((tmp_path / "in").rglob("*.*")) - before:
+        if file.is_file():
+            os.utime(file, (1_000_000_000, 1_000_000_000))
+    assert run() == 2
 
 
 def test_stream_reads_the_same(spark, tmp_path):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rampline.operators.silver import clean, normalize_cleaned
 from rampline.sources.landing import landing_lines, to_bronze
+from rampline.sources import packer
 from rampline.sources.packer import pack, write_landing
 from tests.test_gold import _tests
 
@@ -58,3 +59,13 @@ def test_upload_date_defaults_to_today(spark, tmp_path):
     write_landing(spark.createDataFrame([("{}",)], "value string"), str(tmp_path / "in"))
     dated = landing_lines(spark, str(tmp_path / "in"), stream=False)
     assert dated.select(F.col("ingest_date") == F.current_date()).first()[0]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_readings_without_a_test_are_packed(spark, monkeypatch, limit):
+    monkeypatch.setattr(packer, "fits_broadcast", lambda tests: limit > 0)
+    lines = pack(_fact(spark, 50), _dimension(spark).filter("test_id <> 't0'"), 7)
+    found = [json.loads(row[0]) for row in lines.collect()]
+    assert sum(len(line["snapshots"]) for line in found) == 50
+    lacking = {line["metadata"]["device_id"] for line in found if line["metadata"]["test_id"] == "t0"}
+    assert lacking == {None}
