@@ -7,6 +7,12 @@ the perfect binary Golay code [23,12,7]: a word within two bits of a codeword ha
 codeword only; a word three bits away has also the five codewords at distance four. Any two
 words one bit apart then share a codeword, whichever way their nearest ones fall.
 
+Near copies of whole documents, which differ in more bits, are found alike: by eight keys of
+a fuzzy segment and a few equal bits each, from fingerprints of word pairs, and compared by
+a wide fingerprint of their five-word shingles. Two documents right at the limit have a key
+in common with a probability of about nine in ten, closer ones nearly always; what is looked
+at within a key grows with its rows, so for many more documents keys need more equal bits.
+
 Fingerprints are made distinct first, so exact copies are one row from then on. Within a
 key all pairs are compared, but a component leaves as a star, never as all its pairs.
 
@@ -153,11 +159,14 @@ ROWS_AT_ONCE = 1024
 ALL_PAIRS_UP_TO = 100_000
 
 
-def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= BITS_APART
+def _close(a: np.ndarray, b: np.ndarray, apart: int) -> np.ndarray:
+    """Whether fingerprints, words of 64 bits along the last axis, differ in few bits."""
+    return np.bitwise_count(a ^ b).sum(-1) <= apart
 
 
-def _pairs_of_runs(fp: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs_of_runs(
+    fp: np.ndarray, begin: np.ndarray, end: np.ndarray, apart: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of linked fingerprints within the runs [begin, end), in blocks."""
     size = end - begin
     run_end = np.repeat(end, size)
@@ -169,23 +178,24 @@ def _pairs_of_runs(fp: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterat
         place, run_end = place[inside], run_end[inside]
         if not len(place):
             break
-        hit = place[_close(fp[place], fp[place + shift])]
+        hit = place[_close(fp[place], fp[place + shift], apart)]
         yield hit, hit + shift
     for b, e in zip(begin[size > RUN_BY_SHIFTS], end[size > RUN_BY_SHIFTS], strict=True):
-        yield from _pairs_of_long_run(fp[b:e], b) if e - b <= ALL_PAIRS_UP_TO else _pairs_by_flips(fp[b:e], b)
+        flips = e - b > ALL_PAIRS_UP_TO and fp.shape[1] == 1
+        yield from _pairs_by_flips(fp[b:e, 0], b, apart) if flips else _pairs_of_long_run(fp[b:e], b, apart)
 
 
-def _pairs_of_long_run(fp: np.ndarray, begin: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs_of_long_run(fp: np.ndarray, begin: int, apart: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for at in range(0, len(fp), ROWS_AT_ONCE):
-        left, right = np.nonzero(_close(fp[at : at + ROWS_AT_ONCE, None], fp[None, at:]))
+        left, right = np.nonzero(_close(fp[at : at + ROWS_AT_ONCE, None], fp[None, at:], apart))
         yield left + at + begin, right + at + begin
 
 
-def _pairs_by_flips(fp: np.ndarray, begin: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs_by_flips(fp: np.ndarray, begin: int, apart: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For very long runs: looks up every fingerprint within reach instead of comparing all."""
     order = np.argsort(fp)
     known = fp[order]
-    for n_bits in range(1, BITS_APART + 1):
+    for n_bits in range(1, apart + 1):
         for bits in combinations(range(64), n_bits):
             flipped = fp ^ np.uint64(sum(1 << b for b in bits))
             at = np.minimum(np.searchsorted(known, flipped), len(known) - 1)
@@ -193,53 +203,61 @@ def _pairs_by_flips(fp: np.ndarray, begin: int) -> Iterator[tuple[np.ndarray, np
             yield hit + begin, order[at[hit]] + begin
 
 
-def _stars(key: np.ndarray, signed: np.ndarray) -> pa.RecordBatch:
+def _stars(key: np.ndarray, node: np.ndarray, fp: np.ndarray, apart: int) -> pa.RecordBatch:
     """Links between the rows of each key, as stars."""
-    fp = signed.view(np.uint64)
     cuts = np.flatnonzero(np.diff(key)) + 1
     begin, end = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
     several = end - begin > 1
     root = np.arange(len(key))
-    for left, right in _pairs_of_runs(fp, begin[several], end[several]):
+    for left, right in _pairs_of_runs(fp, begin[several], end[several], apart):
         # block by block, so that only places are kept, not links
         touched, at = np.unique(np.concatenate([root[left], root[right]]), return_inverse=True)
         lowest = touched[local_roots(len(touched), at[: len(left)], at[len(left) :])]
         root[touched] = lowest
         root = root[root]
     moved = np.flatnonzero(root != np.arange(len(root)))
-    return pa.RecordBatch.from_arrays([pa.array(signed[moved]), pa.array(signed[root[moved]])], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], ["a", "b"])
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(words: tuple[str, ...], apart: int):
     """Rows come by key; a key is compared once all its rows are there."""
-    keys, fps = [], []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, fp = batch["key"].to_numpy(), batch["fp"].to_numpy()
-        if keys and key[0] == key[-1] == keys[-1][-1]:
-            keys.append(key)
-            fps.append(fp)
-            continue
-        last = int(np.searchsorted(key, key[-1]))
-        done = _stars(np.concatenate([*keys, key[:last]]), np.concatenate([*fps, fp[:last]])) if keys or last else None
-        if done is not None and done.num_rows:
-            yield done
-        keys, fps = [key[last:]], [fp[last:]]
-    if keys:
-        yield _stars(np.concatenate(keys), np.concatenate(fps))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def stars() -> pa.RecordBatch:
+            return _stars(*(np.concatenate(c) for c in zip(*held, strict=True)), apart)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, node = batch["key"].to_numpy(), batch["fp"].to_numpy()
+            fp = np.stack([batch[word].to_numpy().view(np.uint64) for word in words], 1)
+            last = int(np.searchsorted(key, key[-1]))
+            if held and key[0] == key[-1] == held[-1][0][-1]:
+                held.append((key, node, fp))
+                continue
+            held.append((key[:last], node[:last], fp[:last]))
+            yield stars()
+            held = [(key[last:], node[last:], fp[last:])]
+        if held:
+            yield stars()
+
+    return compare
+
+
+def _by_key(keys: DataFrame, words: tuple[str, ...], apart: int) -> DataFrame:
+    partitions = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_keys = keys.repartition(partitions, "key").sortWithinPartitions("key")
+    return sorted_keys.mapInArrow(_links(words, apart), "a long, b long").distinct()
 
 
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b) between distinct fingerprints ``fp``: enough links to join all that are within reach."""
-    keys = distinct.select("fp").mapInArrow(_keys, "key long, fp long")
-    partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        keys.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long").distinct()
-    )
+    return _by_key(distinct.select("fp").mapInArrow(_keys, "key long, fp long"), ("fp",), BITS_APART)
 
 
-def groups(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+def groups(prints: DataFrame, find_links=links) -> tuple[DataFrame, DataFrame]:
     """The written (doc_id, text_hash, fp) of all rows, and (fp, component_id, keeper) of all fingerprints.
 
     ``keeper`` is the document with the smallest id, and of those without id, which come last,
@@ -247,8 +265,9 @@ def groups(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     prints = written(prints, "sim-prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
-    distinct = written(prints.groupBy("fp").agg(first.alias("first")), "sim-distinct")
-    linked = components(links(distinct))
+    more = [F.first(c).alias(c) for c in prints.columns if c not in ("doc_id", "text_hash", "fp")]
+    distinct = written(prints.groupBy("fp").agg(first.alias("first"), *more), "sim-distinct")
+    linked = components(find_links(distinct))
     rooted = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
@@ -266,11 +285,109 @@ def components_of(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     )
 
 
-def kept_only(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of each group: the keeper of its component."""
+# ---- near copies of whole documents ---------------------------------------------------
+
+WIDE_SHINGLE = 5
+SIMILARITY = 0.8
+TABLES, TABLE_BITS = 8, 31  # a Golay segment of 23 bits and 8 equal bits each
+WIDE_WORDS = ("wide_a", "wide_b")
+WIDE = "doc_id long, text_hash long, fp long, wide_a long, wide_b long, near binary"
+
+
+def _majority(shingles: list[bytes], seeds: tuple[int, ...]) -> np.ndarray:
+    """128 bits for each seed; a bit is one if it is set in over half of the shingles' hashes."""
+    digest = xxhash.xxh3_128_digest
+    ones = np.zeros(128 * len(seeds), np.int64)
+    for at in range(0, len(shingles), SHINGLES_AT_ONCE):
+        part = shingles[at : at + SHINGLES_AT_ONCE]
+        hashed = b"".join([digest(s, seed) for s in part for seed in seeds])
+        bits = np.unpackbits(np.frombuffer(hashed, np.uint8).reshape(len(part), -1), axis=1)
+        ones += bits.sum(0, dtype=np.int64)
+    return 2 * ones > len(shingles)
+
+
+def _shingles(words: list[bytes], width: int) -> list[bytes]:
+    if len(words) <= width:
+        return [b" ".join(words)]
+    return [b" ".join(s) for s in zip(*[words[k:] for k in range(width)], strict=False)]
+
+
+def wide_fingerprint(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the five-word shingles, which are compared, and 256 bits of word pairs, which are keys.
+
+    Pairs suffer less from a changed word than longer shingles do, so near copies agree in more
+    of their bits. Shingles found again in a text count once.
+    """
+    words = (text or "").encode().lower().split()
+    compared = _majority(list(dict.fromkeys(_shingles(words, WIDE_SHINGLE))), (0,))
+    return compared, _majority(list(dict.fromkeys(_shingles(words, 2))), (1, 2))
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = [wide_fingerprint(t.as_py()) for t in batch["text"]]
+        compared = np.packbits(np.array([c for c, _ in prints], bool).reshape(-1, 128), axis=1).view(np.uint64)
+        near = np.packbits(np.array([k for _, k in prints], bool).reshape(-1, 256), axis=1)
+        # a name for the whole fingerprint
+        node = [xxhash.xxh3_64_intdigest(a.tobytes() + b.tobytes()) for a, b in zip(compared, near, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch["doc_id"],
+                batch["text_hash"],
+                pa.array(np.array(node, np.uint64).view(np.int64)),
+                pa.array(compared[:, 0].copy().view(np.int64)),
+                pa.array(compared[:, 1].copy().view(np.int64)),
+                pa.array([k.tobytes() for k in near], pa.binary()),
+            ],
+            ["doc_id", "text_hash", "fp", *WIDE_WORDS, "near"],
+        )
+
+
+def wide_fingerprints(docs: DataFrame) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(_wide, WIDE)
+
+
+def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    place = 1 << np.arange(TABLE_BITS)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        near = np.frombuffer(b"".join(batch["near"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        bits = np.unpackbits(near, axis=1).astype(np.int64)
+        carried = [batch[c].to_numpy() for c in ("fp", *WIDE_WORDS)]
+        for table in range(TABLES):
+            word = bits[:, TABLE_BITS * table : TABLE_BITS * (table + 1)] @ place
+            rows, index = golay_keys(word & (1 << LENGTH) - 1)
+            key = (table << 20) | ((word >> LENGTH)[rows] << 12) | index
+            arrays = [pa.array(key), *(pa.array(c[rows]) for c in carried)]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "fp", *WIDE_WORDS])
+
+
+def bits_apart(similarity: float, bits: int = 128) -> int:
+    """Most bits that sets with this Jaccard similarity differ in, with room for chance.
+
+    A bit differs with the angle between the sets' vectors; the room is one and a half standard
+    deviations, so nineteen in twenty pairs right at the limit are within it.
+    """
+    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * angle + 1.5 * np.sqrt(bits * angle * (1 - angle)))
+
+
+def wide_links(distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    keys = distinct.mapInArrow(_wide_keys, "key long, fp long, wide_a long, wide_b long")
+    return _by_key(keys, WIDE_WORDS, bits_apart(similarity))
+
+
+def kept_only(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one document of each group of near copies: the keeper of its component.
+
+    Near copies have five-word shingles in common to at least ``similarity``, as their
+    wide fingerprints tell.
+    """
     if clash := [c for c in docs.columns if c.startswith(PREFIX)]:
         raise ValueError(f"columns {clash} carry the prefix of working columns")
-    prints, found = groups(fingerprints(docs, width))
+    prints, found = groups(wide_fingerprints(docs), lambda distinct: wide_links(distinct, similarity))
     keepers = found.groupBy("keeper").agg(F.min("fp").alias("fp"))
     same = prints.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
     stay = keepers.select("keeper.doc_id", "keeper.text_hash").distinct()
