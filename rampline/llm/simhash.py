@@ -9,7 +9,7 @@ words one bit apart then share a codeword, whichever way their nearest ones fall
 
 Near copies of whole documents, which differ in more bits, are found alike: by eight keys of
 a fuzzy segment and a few equal bits each, from fingerprints of word pairs, and compared by
-a wide fingerprint of their five-word shingles. Two documents right at the limit have a key
+a wide fingerprint of their five-word shingles, 128 bits at first, then 512. Two documents right at the limit have a key
 in common with a probability of about nine in ten, closer ones nearly always; what is looked
 at within a key grows with its rows, so for many more documents keys need more equal bits.
 
@@ -219,14 +219,35 @@ def _stars(key: np.ndarray, node: np.ndarray, fp: np.ndarray, apart: int) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], ["a", "b"])
 
 
-def _links(words: tuple[str, ...], apart: int):
+def _direct(key: np.ndarray, node: np.ndarray, fp: np.ndarray, apart: int) -> pa.RecordBatch:
+    """Links between the rows of each key, as pairs that were compared themselves.
+
+    A row of a long run keeps the first and the last of its links in each block.
+    """
+    cuts = np.flatnonzero(np.diff(key)) + 1
+    begin, end = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
+    short = end - begin <= RUN_BY_SHIFTS
+    several = end - begin > 1
+    pairs = list(_pairs_of_runs(fp, begin[several & short], end[several & short], apart))
+    for left, right in _pairs_of_runs(fp, begin[~short], end[~short], apart):
+        order = np.lexsort((left, right))
+        left, right = left[order], right[order]
+        ends = np.append(np.flatnonzero(np.diff(right)), len(right) - 1) if len(right) else np.zeros(0, int)
+        starts = np.append(0, ends[:-1] + 1) if len(right) else ends
+        pairs += [(left[starts], right[starts]), (left[ends], right[ends])]
+    left, right = (np.concatenate([np.zeros(0, int), *side]) for side in (zip(*pairs, strict=True) if pairs else ((), ())))
+    differ = node[left] != node[right]
+    return pa.RecordBatch.from_arrays([pa.array(node[left[differ]]), pa.array(node[right[differ]])], ["a", "b"])
+
+
+def _links(words: tuple[str, ...], apart: int, link=_stars):
     """Rows come by key; a key is compared once all its rows are there."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
-        def stars() -> pa.RecordBatch:
-            return _stars(*(np.concatenate(c) for c in zip(*held, strict=True)), apart)
+        def linked() -> pa.RecordBatch:
+            return link(*(np.concatenate(c) for c in zip(*held, strict=True)), apart)
 
         for batch in batches:
             if not batch.num_rows:
@@ -238,18 +259,18 @@ def _links(words: tuple[str, ...], apart: int):
                 held.append((key, node, fp))
                 continue
             held.append((key[:last], node[:last], fp[:last]))
-            yield stars()
+            yield linked()
             held = [(key[last:], node[last:], fp[last:])]
         if held:
-            yield stars()
+            yield linked()
 
     return compare
 
 
-def _by_key(keys: DataFrame, words: tuple[str, ...], apart: int) -> DataFrame:
+def _by_key(keys: DataFrame, words: tuple[str, ...], apart: int, link=_stars) -> DataFrame:
     partitions = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_keys = keys.repartition(partitions, "key").sortWithinPartitions("key")
-    return sorted_keys.mapInArrow(_links(words, apart), "a long, b long").distinct()
+    return sorted_keys.mapInArrow(_links(words, apart, link), "a long, b long").distinct()
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -291,7 +312,8 @@ WIDE_SHINGLE = 5
 SIMILARITY = 0.8
 TABLES, TABLE_BITS = 8, 31  # a Golay segment of 23 bits and 8 equal bits each
 WIDE_WORDS = ("wide_a", "wide_b")
-WIDE = "doc_id long, text_hash long, fp long, wide_a long, wide_b long, near binary"
+SKETCH_BITS = 512
+WIDE = "doc_id long, text_hash long, fp long, wide_a long, wide_b long, near binary, sketch binary"
 
 
 def _majority(shingles: list[bytes], seeds: tuple[int, ...]) -> np.ndarray:
@@ -313,20 +335,20 @@ def _shingles(words: list[bytes], width: int) -> list[bytes]:
 
 
 def wide_fingerprint(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of the five-word shingles, which are compared, and 256 bits of word pairs, which are keys.
+    """512 bits of the five-word shingles, which are compared, and 256 bits of word pairs, which are keys.
 
     Pairs suffer less from a changed word than longer shingles do, so near copies agree in more
     of their bits. Shingles found again in a text count once.
     """
     words = (text or "").encode().lower().split()
-    compared = _majority(list(dict.fromkeys(_shingles(words, WIDE_SHINGLE))), (0,))
-    return compared, _majority(list(dict.fromkeys(_shingles(words, 2))), (1, 2))
+    compared = _majority(list(dict.fromkeys(_shingles(words, WIDE_SHINGLE))), (0, 1, 2, 3))
+    return compared, _majority(list(dict.fromkeys(_shingles(words, 2))), (4, 5))
 
 
 def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = [wide_fingerprint(t.as_py()) for t in batch["text"]]
-        compared = np.packbits(np.array([c for c, _ in prints], bool).reshape(-1, 128), axis=1).view(np.uint64)
+        compared = np.packbits(np.array([c for c, _ in prints], bool).reshape(-1, SKETCH_BITS), axis=1).view(np.uint64)
         near = np.packbits(np.array([k for _, k in prints], bool).reshape(-1, 256), axis=1)
         # a name for the whole fingerprint
         node = [xxhash.xxh3_64_intdigest(a.tobytes() + b.tobytes()) for a, b in zip(compared, near, strict=True)]
@@ -338,8 +360,9 @@ def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(compared[:, 0].copy().view(np.int64)),
                 pa.array(compared[:, 1].copy().view(np.int64)),
                 pa.array([k.tobytes() for k in near], pa.binary()),
+                pa.array([c.tobytes() for c in compared], pa.binary()),
             ],
-            ["doc_id", "text_hash", "fp", *WIDE_WORDS, "near"],
+            ["doc_id", "text_hash", "fp", *WIDE_WORDS, "near", "sketch"],
         )
 
 
@@ -364,19 +387,37 @@ def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, ["key", "fp", *WIDE_WORDS])
 
 
-def bits_apart(similarity: float, bits: int = 128) -> int:
-    """Most bits that sets with this Jaccard similarity differ in, with room for chance.
+def bits_apart(similarity: float, bits: int, room: float) -> int:
+    """Most bits that sets with this Jaccard similarity differ in, with so many standard deviations of room.
 
-    A bit differs with the angle between the sets' vectors; the room is one and a half standard
-    deviations, so nineteen in twenty pairs right at the limit are within it.
+    A bit differs with a probability that is the angle between the sets' vectors.
     """
     angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(bits * angle + 1.5 * np.sqrt(bits * angle * (1 - angle)))
+    return int(bits * angle + room * np.sqrt(bits * angle * (1 - angle)))
+
+
+def _verified(apart: int):
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                left, right = (
+                    np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+                    for c in ("sketch_a", "sketch_b")
+                )
+                yield batch.select(["a", "b"]).filter(pa.array(_close(left, right, apart)))
+
+    return verify
 
 
 def wide_links(distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    keys = distinct.mapInArrow(_wide_keys, "key long, fp long, wide_a long, wide_b long")
-    return _by_key(keys, WIDE_WORDS, bits_apart(similarity))
+    """(a, b) of fingerprints with a key in common, alike in their first 128 bits, and then in all 512."""
+    keys = distinct.drop("sketch").mapInArrow(_wide_keys, "key long, fp long, wide_a long, wide_b long")
+    pairs = _by_key(keys, WIDE_WORDS, bits_apart(similarity, 128, 2.5), _direct)
+    pairs = written(pairs, "sim-pairs")
+    for side in ("a", "b"):
+        sketches = distinct.select(F.col("fp").alias(f"fp_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+        pairs = pairs.join(sketches, F.col(side) == F.col(f"fp_{side}")).drop(f"fp_{side}")
+    return pairs.mapInArrow(_verified(bits_apart(similarity, SKETCH_BITS, 0.75)), "a long, b long")
 
 
 def kept_only(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
