@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from contextlib import suppress
 
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 _POLL_SECONDS = 0.2
+# A query that is stopped while it writes its very first offsets leaves a checkpoint that no
+# later run can start from, so queries get this long to be past that, or done.
+_GRACE_SECONDS = 5.0
 
 
 def append_stream(
@@ -47,6 +51,10 @@ def drain(starters: Iterable[Callable[[], StreamingQuery]]) -> None:
         while waiting:
             waiting = [query for query in waiting if not query.awaitTermination(_POLL_SECONDS)]
     except BaseException:
+        deadline = time.monotonic() + _GRACE_SECONDS
+        for query in started:
+            with suppress(Exception):
+                query.awaitTermination(max(0.1, deadline - time.monotonic()))
         for query in started:
             with suppress(Exception):  # the others have to stop, and the first failure is the one to tell
                 query.stop()
