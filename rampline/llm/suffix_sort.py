@@ -36,7 +36,7 @@ class Queue:
     def push(self, bins: np.ndarray, *columns: np.ndarray) -> None:
         if not len(bins):
             return
-        order = np.argsort(bins, kind="stable")
+        order = np.argsort(bins.astype(np.int16) if len(self.parts) < 1 << 15 else bins, kind="stable")
         rows = np.stack([np.asarray(c, np.int64)[order] for c in columns], 1)
         first, at = np.unique(bins[order], return_index=True)
         for b, begin, end in zip(first, at, [*at[1:], len(rows)], strict=True):
@@ -64,20 +64,19 @@ class Queue:
 def on_disk(folder: str, name: str, values: np.ndarray) -> np.ndarray:
     path = os.path.join(folder, name)
     values.tofile(path)
-    return np.memmap(path, values.dtype, "r", shape=values.shape) if len(values) else values
+    # a plain array over the mapped file: indexing is faster without the subclass
+    return np.asarray(np.memmap(path, values.dtype, "r", shape=values.shape)) if len(values) else values
 
 
 def _types(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is of type S; the last one is."""
     n = len(text)
-    differs = np.flatnonzero(text[:-1] != text[1:])
     kind = np.ones(n, bool)
     if n > 1:
         # a suffix has the type of the next place where neighbours differ
-        following = np.searchsorted(differs, np.arange(n - 1))
-        smaller = np.append(text[differs] < text[differs + 1], True)
-        kind[:-1] = smaller[following]
-        kind[:-1][following == len(differs)] = True
+        place = np.where(text[:-1] != text[1:], np.arange(n - 1), n - 2)
+        following = np.minimum.accumulate(place[::-1])[::-1]
+        kind[:-1] = text[following] < text[following + 1]
     return kind
 
 
@@ -98,7 +97,7 @@ def _ranked(char: np.ndarray, kind: np.ndarray, key: np.ndarray, parent: np.ndar
     Ranks of those inside are refined along their chains of parents, twice as far each time.
     """
     n = len(char)
-    order = np.lexsort((key, kind, char))
+    order = _sorted_by(char, kind, key)
     new = np.ones(n, bool)
     new[1:] = (char[order[1:]] != char[order[:-1]]) | (kind[order[1:]] != kind[order[:-1]]) | (kind[order[1:]] != INSIDE)
     place = np.arange(n)
@@ -109,7 +108,7 @@ def _ranked(char: np.ndarray, kind: np.ndarray, key: np.ndarray, parent: np.ndar
     open_ = order[_tied(new)]
     while len(open_):
         both = rank[open_] * n + rank[jump[open_]]
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         both, open_ = both[order], open_[order]
         old, place = both // n, np.arange(len(open_))
         begins = np.diff(old, prepend=-1) != 0
@@ -122,6 +121,17 @@ def _ranked(char: np.ndarray, kind: np.ndarray, key: np.ndarray, parent: np.ndar
     return rank
 
 
+def _sorted_by(char: np.ndarray, kind: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The order by (char, kind, key), from one number for all three where it holds them."""
+    if not len(char):
+        return np.zeros(0, np.int64)
+    first, least = int(char.min()), int(key.min())
+    bits = (int(key.max()) - least).bit_length()
+    if (int(char.max()) - first + 1).bit_length() + 2 + bits > 62:
+        return np.lexsort((key, kind, char))
+    return np.argsort((((char.astype(np.int64) - first) * 3 + kind) << bits) | (key - least))
+
+
 def _tied(begins: np.ndarray) -> np.ndarray:
     """Members of runs longer than one, given where runs begin."""
     return ~(begins & np.append(begins[1:], True))
@@ -136,9 +146,12 @@ class Induction:
         self.sampled = np.flatnonzero(self.kind[1:] & ~self.kind[:-1]) + 1
         self.bins = _bins(text)
         self.runs = 0
+        self.bin_of_char = np.zeros(int(text.max()) + 1, np.int32)
+        self.bin_of_char[self.bins[1:]] = 1
+        self.bin_of_char = np.cumsum(self.bin_of_char, dtype=np.int32)
 
     def bin_of(self, chars: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.bins, chars, "right") - 1
+        return self.bin_of_char[chars]
 
     def _closure(self, place: np.ndarray, b: int, s_type: bool) -> tuple[np.ndarray, np.ndarray]:
         """Suffixes of the bin that follow from those at ``place``, one after another, with their parents."""

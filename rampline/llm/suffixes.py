@@ -1,7 +1,7 @@
 """Removing long strings that occur in an earlier document, by sorted suffixes.
 
 Sorting the suffixes of all documents in one place is out of the question, so they are
-sharded by content. A string of ``LENGTH`` bytes is filed under its anchor, the 16-byte
+sharded by content. A string of ``LENGTH`` bytes is filed under its anchor, the 8-byte
 piece in it with the smallest hash, and a segment is a run of such strings with the same
 anchor. Equal strings have equal anchors, so shards by anchor never miss a pair, and most
 anchors occur in one document only and end there.
@@ -38,7 +38,8 @@ from rampline.llm.common import written
 from rampline.llm.suffix_sort import sorted_suffixes
 
 LENGTH = 50
-GRAM = 16
+GRAM = 8
+BEFORE, AFTER = 21, 30  # a string of LENGTH bytes has so many before its anchor, or so many from there on
 NO_ID = 2**63 - 1
 BYTES_AT_ONCE = 4_000_000
 SEGMENTS_PER_BLOCK = 1_000_000
@@ -50,15 +51,24 @@ class Segments(NamedTuple):
     end: np.ndarray
     anchor: np.ndarray  # hash of the anchor
     doc: np.ndarray  # place of the document
+    at: np.ndarray  # where the anchor stands
+    before: np.ndarray  # 16 bits of the anchor and what stands before, 0 if too little does
+    after: np.ndarray  # 16 bits of the anchor and what follows, 0 if too little does
 
 
-def _gram_hashes(raw: bytes) -> np.ndarray:
-    n = len(raw) - GRAM + 1
-    first = np.ndarray((n,), "<u8", raw, 0, (1,))
-    second = np.ndarray((n,), "<u8", raw, 8, (1,))
-    x = first * np.uint64(0x9E3779B97F4A7C15) + (second ^ np.uint64(0x2545F4914F6CDD1D)) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _context(words: np.ndarray, at: np.ndarray, offsets: tuple[int, ...], whole: np.ndarray) -> np.ndarray:
+    """16 bits of the eight bytes at each of the offsets, never 0 where the context is ``whole``."""
+    found = np.zeros(len(at), np.uint64)
+    safe = np.where(whole, at, -min(offsets))
+    for offset in offsets:
+        found = _scrambled(found ^ words[np.clip(safe + offset, 0, len(words) - 1)])
+    return np.where(whole, found % np.uint64(65535) + np.uint64(1), np.uint64(0)).astype(np.uint16)
 
 
 def segments(texts: list[bytes]) -> tuple[bytes, Segments]:
@@ -66,11 +76,12 @@ def segments(texts: list[bytes]) -> tuple[bytes, Segments]:
     raw = b"".join(texts)
     sizes = np.array([len(t) for t in texts], np.int64)
     n = len(raw) - LENGTH + 1
-    none = np.zeros(0, np.int64)
     if n <= 0:
-        return raw, Segments(none, none, none.astype(np.uint64), none)
-    least = hashes = _gram_hashes(raw)
-    at, width, most = np.arange(len(hashes), dtype=np.int64), 1, LENGTH - GRAM + 1
+        none = np.zeros(0, np.int64)
+        return raw, Segments(none, none, none.astype(np.uint64), none, none, none.astype(np.uint16), none.astype(np.uint16))
+    words = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
+    least = hashes = _scrambled(words)
+    at, width, most = np.arange(len(hashes), dtype=np.int32), 1, LENGTH - GRAM + 1
     while width < most:  # the leftmost smallest of the next ``width`` hashes, for growing widths
         step = min(width, most - width)
         left = least[:-step] <= least[step:]
@@ -83,7 +94,11 @@ def segments(texts: list[bytes]) -> tuple[bytes, Segments]:
     new[1:] = (at[1:n] != at[: n - 1]) | (doc[1:] != doc[:-1]) | ~inside[:-1]
     begin = np.flatnonzero(new & inside)
     stops = np.flatnonzero(inside & np.append(new[1:] | ~inside[1:], True))
-    return raw, Segments(begin, stops + LENGTH, hashes[at[begin]], doc[begin])
+    anchor, doc = at[begin].astype(np.int64), doc[begin]
+    ends = np.cumsum(sizes)[doc]
+    before = _context(words, anchor, (-21, -13, -5, 0), anchor - BEFORE >= ends - sizes[doc])
+    after = _context(words, anchor, (0, 8, 16, 22), anchor + AFTER <= ends)
+    return raw, Segments(begin, stops + LENGTH, hashes[anchor], doc, anchor, before, after)
 
 
 def _names(raw: bytes, found: Segments) -> np.ndarray:
@@ -110,7 +125,7 @@ def _bytes_of(column: pa.Array) -> list[bytes]:
 
 # ---- which segments are shared --------------------------------------------------------
 
-BLOCK = "shard int, anchors binary, names binary, at binary, docs binary, hashes binary"
+BLOCK = "shard int, anchors binary, names binary, contexts binary, at binary, docs binary, hashes binary"
 
 
 def _blocks(shards: int):
@@ -120,17 +135,21 @@ def _blocks(shards: int):
     whatever the others hold, which is sent as a block without anchors.
     """
 
-    def block(shard: int, anchors, names, at, docs, hashes) -> tuple:
+    def block(shard: int, anchors, names, contexts, at, docs, hashes) -> tuple:
         own, at = np.unique(at, return_inverse=True)
-        anchors = None if anchors is None else anchors.astype("<u8").tobytes()
-        return shard, anchors, names.tobytes(), at.astype(np.uint32).tobytes(), docs[own].tobytes(), hashes[own].tobytes()
+        at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32).tobytes()
+        if anchors is None:
+            return shard, None, names.tobytes(), None, at, docs[own].tobytes(), hashes[own].tobytes()
+        # 40 bits of an anchor do within a shard: anchors taken for equal are only compared in vain
+        short = (anchors >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+        return shard, short, names.tobytes(), contexts.tobytes(), at, docs[own].tobytes(), hashes[own].tobytes()
 
     def blocks(parts: list[tuple]) -> pa.RecordBatch:
-        sizes = [len(part[3]) for part in parts]
-        anchors, names, at, docs, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
+        sizes = [len(part[-1]) for part in parts]
+        anchors, names, contexts, at, docs, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
         at = at + np.repeat(np.cumsum(sizes) - sizes, [len(part[0]) for part in parts])
         order = np.lexsort((at, docs[at], names, anchors))
-        anchors, names, at = anchors[order], names[order], at[order]
+        anchors, names, contexts, at = anchors[order], names[order], contexts[order], at[order]
         new = np.ones(len(order), bool)
         new[1:] = (anchors[1:] != anchors[:-1]) | (names[1:] != names[:-1])
         again = ~new
@@ -139,16 +158,16 @@ def _blocks(shards: int):
         first = ~later & ~again
         rows = []
         if later.any():
-            rows.append(block(int(names[0] % np.uint64(shards)), None, names[later], at[later], docs, hashes))
+            rows.append(block(int(names[0] % np.uint64(shards)), None, names[later], None, at[later], docs, hashes))
         shard = (anchors % np.uint64(shards)).astype(np.int64)
         order = np.flatnonzero(first)[np.argsort(shard[first], kind="stable")]
         cuts = np.flatnonzero(np.diff(shard[order])) + 1
         for own in np.split(order, cuts):
-            rows.append(block(int(shard[own[0]]), anchors[own], names[own], at[own], docs, hashes))
-        types = [pa.int32(), *[pa.binary()] * 5]
+            rows.append(block(int(shard[own[0]]), anchors[own], names[own], contexts[own], at[own], docs, hashes))
+        types = [pa.int32(), *[pa.binary()] * 6]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-            ["shard", "anchors", "names", "at", "docs", "hashes"],
+            ["shard", "anchors", "names", "contexts", "at", "docs", "hashes"],
         )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +179,8 @@ def _blocks(shards: int):
                 raw, found = segments(texts[begin:end])
                 if not len(found.begin):
                     continue
-                parts.append((found.anchor, _names(raw, found), found.doc, docs[begin:end], hashes[begin:end]))
+                contexts = np.stack([found.before, found.after], 1)
+                parts.append((found.anchor, _names(raw, found), contexts, found.doc, docs[begin:end], hashes[begin:end]))
                 held += len(found.begin)
                 if held >= SEGMENTS_PER_BLOCK:
                     yield blocks(parts)
@@ -171,54 +191,48 @@ def _blocks(shards: int):
     return extract
 
 
-FOUND = "doc long, text_hash long, gone binary, sorted binary"
+FOUND = "doc long, text_hash long, name long, verdict int"
+GONE, BEFORE_SHARED, AFTER_SHARED = 0, 1, 2  # the latter two may add up
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by shard. Per document the names of segments that go, and of those to be sorted."""
-
-    def decisions(docs, hashes, names, gone) -> Iterator[pa.RecordBatch]:
-        if not len(docs):
-            return
-        order = np.lexsort((gone, hashes, docs))
-        docs, hashes, names, gone = docs[order], hashes[order], names[order], gone[order]
-        cuts = np.flatnonzero((np.diff(docs) != 0) | (np.diff(hashes) != 0)) + 1
-        begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(docs)]])
-        splits = begins + np.add.reduceat(~gone, begins, dtype=np.int64)
-        raw = names.tobytes()
-        for at in range(0, len(begins), 20_000):
-            part = slice(at, at + 20_000)
-            spans = list(zip(begins[part].tolist(), splits[part].tolist(), ends[part].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(docs[begins[part]]),
-                    pa.array(hashes[begins[part]]),
-                    pa.array([raw[8 * s : 8 * e] for _, s, e in spans], pa.binary()),
-                    pa.array([raw[8 * b : 8 * s] for b, s, _ in spans], pa.binary()),
-                ],
-                ["doc", "text_hash", "gone", "sorted"],
-            )
+    """Rows come by shard. Which segments of a document go, and which have to be sorted."""
+
+    def decisions(docs, hashes, names, verdict) -> pa.RecordBatch:
+        columns = (docs, hashes, names.view(np.int64), verdict.astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "text_hash", "name", "verdict"])
 
     def columns(row: dict) -> tuple:
-        at = np.frombuffer(row["at"], np.uint32)
+        n = len(row["names"]) // 8
+        at = np.frombuffer(row["at"], np.uint16 if len(row["at"]) == 2 * n else np.uint32)
         docs, hashes = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["hashes"], np.int64)
         return np.frombuffer(row["names"], np.uint64), docs[at], hashes[at]
 
+    def shared(anchors: np.ndarray, context: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Whether segments of several owners have the anchor in this context."""
+        order = np.lexsort((context, anchors))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(anchors[order]) != 0) | (np.diff(context[order]) != 0)
+        starts = np.flatnonzero(new)
+        several = np.minimum.reduceat(owner[order], starts) < np.maximum.reduceat(owner[order], starts)
+        found = np.empty(len(order), bool)
+        found[order] = np.repeat(several, np.diff(np.append(starts, len(order))))
+        return found & (context > 0)
+
     def whole(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        anchors, names, docs, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
+        anchors, contexts, names, docs, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.lexsort((docs, names, anchors))
-        anchors, names, docs, hashes = anchors[order], names[order], docs[order], hashes[order]
-        new_anchor = np.diff(anchors, prepend=anchors[0] + np.uint64(1)) != 0
-        new_name = new_anchor | (np.diff(names, prepend=names[0]) != 0)
-        begins = np.flatnonzero(new_name)
+        anchors, contexts, names, docs, hashes = anchors[order], contexts[order], names[order], docs[order], hashes[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(anchors) != 0) | (np.diff(names) != 0)
+        begins = np.flatnonzero(new)
         owner = np.repeat(docs[begins], np.diff(np.append(begins, len(docs))))
         gone = docs > owner
-        starts = np.flatnonzero(new_anchor)
-        sizes = np.diff(np.append(starts, len(docs)))
-        # segments with one anchor need sorting if they belong to several owners
-        mixed = np.repeat(np.minimum.reduceat(owner, starts) < np.maximum.reduceat(owner, starts), sizes)
-        use = gone | mixed
-        yield from decisions(docs[use], hashes[use], names[use], gone[use])
+        # other segments need sorting if one of another owner agrees before or after the anchor
+        verdict = shared(anchors, contexts[:, 0], owner) * BEFORE_SHARED + shared(anchors, contexts[:, 1], owner) * AFTER_SHARED
+        verdict[gone] = GONE
+        use = gone | (verdict > 0)
+        yield decisions(docs[use], hashes[use], names[use], verdict[use])
 
     shard, parts = None, []
     for batch in batches:
@@ -229,9 +243,12 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard = row["shard"]
             names, docs, hashes = columns(row)
             if row["anchors"] is None:
-                yield from decisions(docs, hashes, names, np.ones(len(docs), bool))
+                yield decisions(docs, hashes, names, np.full(len(docs), GONE))
             else:
-                parts.append((np.frombuffer(row["anchors"], np.uint64), names, docs, hashes))
+                short = np.zeros((len(names), 8), np.uint8)
+                short[:, :5] = np.frombuffer(row["anchors"], np.uint8).reshape(-1, 5)
+                contexts = np.frombuffer(row["contexts"], np.uint16).reshape(-1, 2)
+                parts.append((short.view("<u8")[:, 0], contexts, names, docs, hashes))
     if parts:
         yield from whole(parts)
 
@@ -243,8 +260,10 @@ RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, begins
 
 def _result(text: bytes, marks: np.ndarray) -> tuple:
     """What is left of a text if the strings that start at ``marks`` go."""
-    delta = np.zeros(len(text) + 1, np.int64)
     starts = np.flatnonzero(marks)
+    if not len(starts):
+        return len(text), 0, 0, hashlib.sha256(text).hexdigest(), [], []
+    delta = np.zeros(len(text) + 1, np.int64)
     np.add.at(delta, starts, 1)
     np.add.at(delta, starts + LENGTH, -1)
     covered = np.cumsum(delta[:-1]) > 0
@@ -264,42 +283,65 @@ def _marks(found: Segments, chosen: np.ndarray, size: int) -> np.ndarray:
 
 FIRST = (
     f"doc_id long, doc long, text_hash long, {RESULT}, raw binary, marks binary, "
-    "open array<struct<anchor: long, name: long, text: binary>>"
+    "open array<struct<anchor: long, name: long, skip: int, text: binary>>"
 )
 _RESULT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
 _RESULT_NAMES = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "begins", "ends")
 
 
-def _names_in(column: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(column or []), np.uint64)
+def _chosen(names: np.ndarray, doc: np.ndarray, lists: list[list[int] | None]) -> np.ndarray:
+    """Whether each segment's name is in the list of its document."""
+    own = [np.array(wanted or [], np.int64).view(np.uint64) for wanted in lists]
+    salt = np.uint64(0x9E3779B97F4A7C15)
+    wanted = np.concatenate(own) ^ (np.repeat(np.arange(len(own)), [len(o) for o in own]).astype(np.uint64) * salt)
+    return np.isin(names ^ (doc.astype(np.uint64) * salt), wanted)
 
 
 def _first_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Results of documents that are done, and the segments of the others that have to be sorted."""
-    opened = pa.list_(pa.struct([("anchor", pa.int64()), ("name", pa.int64()), ("text", pa.binary())]))
-    for batch in batches:
-        rows = []
-        names_of = zip(batch["gone"].to_pylist(), batch["sorted"].to_pylist(), _bytes_of(batch["text"]), strict=True)
-        for gone, to_sort, text in names_of:
-            gone, to_sort = _names_in(gone), _names_in(to_sort)
-            if not len(gone) and not len(to_sort):
-                rows.append((*_result(text, np.zeros(0, bool)), None, None, None))
+    opened = pa.list_(pa.struct([("anchor", pa.int64()), ("name", pa.int64()), ("skip", pa.int32()), ("text", pa.binary())]))
+    types = (*_RESULT_TYPES, pa.binary(), pa.binary(), opened)
+    nothing = np.zeros(0, bool)
+
+    def cut(texts: list[bytes], gone: list, before: list, after: list) -> Iterator[tuple]:
+        raw, found = segments(texts)
+        names = _names(raw, found)
+        goes, by_before, by_after = (_chosen(names, found.doc, lists) for lists in (gone, before, after))
+        # a string shared with what stands before the anchor ends soon after it, and the other way round
+        low = np.where(by_before, found.begin, np.maximum(found.begin, found.at - BEFORE + 1))
+        high = np.where(by_after, found.end, np.minimum(found.end, found.at + AFTER - 1))
+        opens = (by_before | by_after) & (high - low >= LENGTH)
+        marks = _marks(found, goes, len(raw))
+        signed, signed_names = found.anchor.view(np.int64), names.view(np.int64)
+        by_doc: dict[int, list[int]] = {}
+        for k in np.flatnonzero(opens).tolist():
+            by_doc.setdefault(int(found.doc[k]), []).append(k)
+        begin = 0
+        for at, text in enumerate(texts):
+            own = marks[begin : begin + len(text)]
+            begin += len(text)
+            if at not in by_doc:
+                yield (*_result(text, own), None, None, None)
                 continue
-            raw, found = segments([text])
-            names = _names(raw, found)
-            marks = _marks(found, np.isin(names, gone), len(text))
-            open_ = np.flatnonzero(np.isin(names, to_sort))
-            open_ = open_[np.unique(names[open_], return_index=True)[1]]
-            if not len(open_):
-                rows.append((*_result(text, marks), None, None, None))
-                continue
-            signed = found.anchor.view(np.int64)
+            unique = {int(signed_names[k]): k for k in by_doc[at]}
             parts = [
-                {"anchor": int(signed[k]), "name": int(names[k].astype(np.int64)), "text": raw[found.begin[k] : found.end[k]]}
-                for k in open_
+                {"anchor": int(signed[k]), "name": name, "skip": int(low[k] - found.begin[k]), "text": raw[low[k] : high[k]]}
+                for name, k in unique.items()
             ]
-            rows.append((*[None] * 6, text, np.packbits(marks).tobytes(), parts))
-        types = (*_RESULT_TYPES, pa.binary(), pa.binary(), opened)
+            yield (*[None] * 6, text, np.packbits(own).tobytes(), parts)
+
+    for batch in batches:
+        lists, texts = [batch[c].to_pylist() for c in ("gone", "before", "after")], _bytes_of(batch["text"])
+        touched = [at for at in range(len(texts)) if any(names[at] for names in lists)]
+        rows: list = [None] * len(texts)
+        for begin, end in _chunks([texts[at] for at in touched]):
+            part = touched[begin:end]
+            cuts = cut([texts[at] for at in part], *([names[at] for at in part] for names in lists))
+            for at, row in zip(part, cuts, strict=True):
+                rows[at] = row
+        for at, row in enumerate(rows):
+            if row is None:
+                rows[at] = (*_result(texts[at], nothing), None, None, None)
         arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 9, types, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"], batch["doc"], batch["text_hash"], *arrays],
@@ -358,7 +400,7 @@ SORTED = "doc long, text_hash long, name long, starts binary"
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One shard: the starts, within each segment, of strings that an earlier document holds."""
     table = pa.Table.from_batches(list(batches), pa.schema([
-        ("name", pa.int64()), ("text", pa.binary()), ("doc", pa.int64()), ("text_hash", pa.int64())]))
+        ("name", pa.int64()), ("skip", pa.int32()), ("text", pa.binary()), ("doc", pa.int64()), ("text_hash", pa.int64())]))
     if not table.num_rows:
         return
     by_text: dict[int, list[int]] = {}
@@ -366,7 +408,8 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_text.setdefault(start[0], []).append(start[1])
     at = sorted(by_text)
     chosen = table.take(pa.array(at, pa.int64())).select(["doc", "text_hash", "name"]).combine_chunks()
-    starts = pa.array([np.array(by_text[k], np.uint8).tobytes() for k in at], pa.binary())
+    skip = table["skip"].to_numpy()
+    starts = pa.array([(np.array(by_text[k]) + skip[k]).astype(np.uint8).tobytes() for k in at], pa.binary())
     yield from chosen.append_column("starts", starts).to_batches()
 
 
@@ -404,10 +447,13 @@ def removed(docs: DataFrame) -> DataFrame:
     shards = max(partitions, n_bytes // BYTES_PER_SHARD)
     blocks = rows.select("doc", "text_hash", "text").mapInArrow(_blocks(shards), BLOCK)
     found = blocks.repartition(partitions, "shard").sortWithinPartitions("shard").mapInArrow(_judge, FOUND)
-    found = found.groupBy("doc", "text_hash").agg(F.collect_list("gone").alias("gone"), F.collect_list("sorted").alias("sorted"))
+    shared = {"gone": F.col("verdict") == GONE}
+    shared |= {side: F.col("verdict").bitwiseAND(bit) > 0 for side, bit in (("before", BEFORE_SHARED), ("after", AFTER_SHARED))}
+    lists = [F.collect_list(F.when(which, F.col("name"))).alias(side) for side, which in shared.items()]
+    found = found.groupBy("doc", "text_hash").agg(*lists)
     found = found.withColumnsRenamed({"doc": "at_doc", "text_hash": "at_hash"})
     matches = (F.col("doc") == F.col("at_doc")) & (F.col("text_hash") == F.col("at_hash"))
-    first = rows.join(found, matches, "left").select("doc_id", "doc", "text_hash", "text", "gone", "sorted")
+    first = rows.join(found, matches, "left").select("doc_id", "doc", "text_hash", "text", *shared)
     first = written(first.mapInArrow(_first_cut, FIRST), "suffix-first")
 
     done = first.where("raw is null").select("doc_id", *_RESULT_NAMES)
@@ -416,9 +462,9 @@ def removed(docs: DataFrame) -> DataFrame:
     n_open = open_.agg(F.coalesce(F.sum(F.octet_length("s.text")), F.lit(0))).first()[0]
     sorters = int(max(partitions, n_open // BYTES_PER_SHARD))
     starts = (
-        open_.select(F.col("s.anchor").alias("anchor"), F.col("s.name").alias("name"), F.col("s.text").alias("text"), "doc", "text_hash")
+        open_.select(F.col("s.anchor").alias("anchor"), F.col("s.name").alias("name"), F.col("s.skip").alias("skip"), F.col("s.text").alias("text"), "doc", "text_hash")
         .repartition(sorters, "anchor")
-        .select("name", "text", "doc", "text_hash")
+        .select("name", "skip", "text", "doc", "text_hash")
         .mapInArrow(_sort, SORTED)
     )
     per_doc = starts.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("name", "starts")).alias("found"))
