@@ -26,6 +26,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,16 @@ from pyspark.sql import DataFrame
 from rampline.llm.common import as_text, written
 
 END = b""  # no word is empty
-MODEL_WORDS = 8191
+MODEL_WORDS = 2047
 LOOKUP_WORDS = 200_000
-CLASSES = 64
-EMBEDDING, HIDDEN = 16, 32
-STREAMS, WINDOW = 256, 16
+CLASSES = 48
+EMBEDDING, HIDDEN = 16, 16
+STREAMS, WINDOW = 512, 16
 ROUNDS = 2
 TOKENS_PER_COPY = 500_000
-TOKENS_AT_ONCE = 1_000_000
-RATE = 0.05
+TOKENS_AT_ONCE = 1_000_000  # learned from, in parallel streams
+TOKENS_SCORED_AT_ONCE = 6_000_000  # many, so that a very long document has others beside it
+RATE = 0.1
 SHARE = 0.95  # of the network; the rest is that of the counts
 COUNTER_WORDS = 300_000
 PART = 16_384  # parameters averaged together
@@ -115,25 +117,40 @@ def initial(shape: Shape) -> np.ndarray:
     return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _run(p: dict, words: np.ndarray, fresh: np.ndarray, state: np.ndarray, trace: list | None = None) -> np.ndarray:
+    """States (steps x hidden x streams) of a window; ``trace`` takes what backpropagation needs.
 
-
-def _run(p: dict, words: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
-    """States after each step of a window (steps x streams), and what backpropagation needs."""
+    Streams lie along the last axis, so that the gates are contiguous. A gate is
+    (1 + tanh) / 2 of its input.
+    """
     h2 = HIDDEN * 2
-    given = p["embed"][words] @ p["input"] + p["gates"]
-    states, trace = np.empty((*words.shape, HIDDEN), np.float32), []
+    embedded = p["embed"][words].transpose(0, 2, 1)
+    given = np.matmul(p["input"].T, embedded) + p["gates"][:, None]
+    recurrent, keep = np.ascontiguousarray(p["state"].T), (~fresh).astype(np.float32)
+    states = np.empty((len(words), HIDDEN, words.shape[1]), np.float32)
     for t in range(len(words)):
-        state = np.where(fresh[t][:, None], np.float32(0), state)
-        carried = state @ p["state"]
-        gates = _sigmoid(given[t][:, :h2] + carried[:, :h2])
-        update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(given[t][:, h2:] + reset * carried[:, h2:])
-        trace.append((state, update, reset, new, carried[:, h2:]))
-        state = new + update * (state - new)
+        state = state * keep[t]
+        carried = recurrent @ state
+        gates = given[t, :h2] + carried[:h2]
+        np.tanh(gates, out=gates)
+        gates *= np.float32(0.5)
+        gates += np.float32(0.5)
+        update, reset = gates[:HIDDEN], gates[HIDDEN:]
+        new = reset * carried[h2:]
+        new += given[t, h2:]
+        np.tanh(new, out=new)
+        if trace is not None:
+            trace.append((state, gates, new, carried[h2:]))
+        state = state - new
+        state *= update
+        state += new
         states[t] = state
-    return states, trace
+    return states
+
+
+def _rows(states: np.ndarray) -> np.ndarray:
+    """One row per step and stream."""
+    return states.transpose(0, 2, 1).reshape(-1, HIDDEN)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -164,9 +181,10 @@ def probabilities(p: dict, shape: Shape, classes: np.ndarray, states: np.ndarray
 
 def gradient(p: dict, shape: Shape, classes: np.ndarray, words, targets, fresh, state) -> tuple[dict, np.ndarray]:
     """Of the log loss of one window, as a mean over a full one, and the state that is carried on."""
-    states, trace = _run(p, words, fresh, state)
+    trace: list = []
+    states = _run(p, words, fresh, state, trace)
     g = {name: np.zeros_like(value) for name, value in p.items()}
-    flat, aim = states.reshape(-1, HIDDEN), targets.ravel()
+    flat, aim = _rows(states), targets.ravel()
     kind, scale = classes[aim], np.float32(1 / (STREAMS * WINDOW))
     error = _softmax(flat @ p["to_class"] + p["class_bias"])
     error[np.arange(len(kind)), kind] -= 1
@@ -180,25 +198,37 @@ def gradient(p: dict, shape: Shape, classes: np.ndarray, words, targets, fresh,
         error *= scale
         g["to_word"][begin:end], g["word_bias"][begin:end] = error.T @ own, error.sum(0)
         back[rows] += error @ p["to_word"][begin:end]
-    back = back.reshape(states.shape)
+    back = np.ascontiguousarray(back.reshape(*words.shape, HIDDEN).transpose(0, 2, 1))
 
-    given = np.empty((*words.shape, 3 * HIDDEN), np.float32)
+    h2, keep = 2 * HIDDEN, (~fresh).astype(np.float32)
+    given = np.empty((len(words), 3 * HIDDEN, words.shape[1]), np.float32)
+    through = np.empty_like(given)
+    before = np.stack([step[0] for step in trace])
     carry = np.zeros_like(state)
     for t in range(len(words) - 1, -1, -1):
-        before, update, reset, new, carried = trace[t]
+        old, gates, new, carried = trace[t]
+        update, reset = gates[:HIDDEN], gates[HIDDEN:]
         d = back[t] + carry
-        d_new = d * (1 - update) * (1 - new * new)
-        d_update = d * (before - new) * update * (1 - update)
-        d_reset = d_new * carried * reset * (1 - reset)
-        given[t] = np.concatenate([d_update, d_reset, d_new], 1)
-        through = np.concatenate([d_update, d_reset, d_new * reset], 1)
-        g["state"] += before.T @ through
-        carry = np.where(fresh[t][:, None], np.float32(0), d * update + through @ p["state"].T)
-    flat_given, inputs = given.reshape(-1, 3 * HIDDEN), words.ravel()
+        slope = gates * (1 - gates)  # half of a gate's derivative
+        slope *= 2
+        kept = d * update
+        d_new = d - kept
+        d_new *= 1 - new * new
+        given[t, :HIDDEN] = d * (old - new)
+        given[t, HIDDEN:h2] = d_new * carried
+        given[t, :h2] *= slope
+        given[t, h2:] = d_new
+        through[t, :h2] = given[t, :h2]
+        np.multiply(d_new, reset, out=through[t, h2:])
+        kept += p["state"] @ through[t]
+        carry = kept * keep[t]
+    g["state"][:] = np.tensordot(before, through, ([0, 2], [0, 2]))
+    flat_given, inputs = given.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN), words.ravel()
     g["gates"][:] = flat_given.sum(0)
-    embedded = p["embed"][inputs]
-    g["input"][:] = embedded.T @ flat_given
-    np.add.at(g["embed"], inputs, flat_given @ p["input"].T)
+    g["input"][:] = p["embed"][inputs].T @ flat_given
+    order = np.argsort(inputs, kind="stable")
+    found, starts = np.unique(inputs[order], return_index=True)
+    g["embed"][found] = np.add.reduceat((flat_given @ p["input"].T)[order], starts, axis=0)
     return g, states[-1]
 
 
@@ -227,7 +257,7 @@ class Learner:
                 continue
             aim = stream[begin : begin + width * size].reshape(width, size).T
             given = before[begin : begin + width * size].reshape(width, size).T
-            state = np.zeros((width, HIDDEN), np.float32)
+            state = np.zeros((HIDDEN, width), np.float32)
             for t in range(0, size, WINDOW):
                 words = given[t : t + WINDOW]
                 g, state = gradient(self.p, self.shape, self.classes, words, aim[t : t + WINDOW], words == end, state)
@@ -318,7 +348,7 @@ class Scorer:
         owners = [np.repeat(lane, [len(docs[i]) for i in lane]) for lane in lanes]
         order = sorted(range(len(lanes)), key=lambda i: -len(streams[i]))
         lengths = np.array([len(streams[i]) for i in order])
-        state = np.zeros((len(lanes), HIDDEN), np.float32)
+        state = np.zeros((HIDDEN, len(lanes)), np.float32)
         for t in range(0, int(lengths[0]), WINDOW):
             active = int((lengths > t).sum())
             steps = min(WINDOW, int(lengths[0]) - t)
@@ -330,11 +360,11 @@ class Scorer:
                 aim[: len(part), column] = part
                 owner[: len(part), column] = owners[lane][t : t + steps]
                 words[: len(part), column] = streams[lane][t - 1 : t - 1 + len(part)] if t else np.concatenate([[self.end], part[:-1]])
-            states, _ = _run(self.p, words, words == self.end, state[:active])
+            states = _run(self.p, words, words == self.end, state[:, :active])
             state = states[-1]
             real = np.flatnonzero(owner.ravel() >= 0)
             target = aim.ravel()[real]
-            chance = probabilities(self.p, self.shape, self.classes, states.reshape(-1, HIDDEN)[real], target)
+            chance = probabilities(self.p, self.shape, self.classes, _rows(states)[real], target)
             chance[target == self.shape.n] *= self.within
             logs = np.log10(SHARE * chance + (1 - SHARE) * self.by_counts[target])
             total += np.bincount(owner.ravel()[real], logs, len(docs))
@@ -348,7 +378,7 @@ def _score(scorer: Scorer):
             found, begin, size = np.zeros(len(docs)), 0, 0
             for at, doc in enumerate(docs):
                 size += len(doc)
-                if size >= TOKENS_AT_ONCE or at == len(docs) - 1:
+                if size >= TOKENS_SCORED_AT_ONCE or at == len(docs) - 1:
                     found[begin : at + 1] = scorer.score(docs[begin : at + 1])
                     begin, size = at + 1, 0
             carried = batch.drop_columns(["ids"])
@@ -398,7 +428,7 @@ def _encode(known: list[bytes], counts: np.ndarray, n_model: int):
             for text in batch["text"]:
                 tokens = tokens_of(text.as_py())
                 tokens.append(END)
-                at = np.array([rank.get(w, len(known)) for w in tokens])
+                at = np.fromiter(map(rank.get, tokens, repeat(len(known))), np.int64, len(tokens))
                 other = Counter(tokens[i] for i in np.flatnonzero(at == len(known)))
                 row = (
                     len(tokens), int(seen[at].sum()), float(logs[at].sum()), float(logs[at[at >= n_model]].sum()),

@@ -84,11 +84,11 @@ def test_gradient():
     random = np.random.default_rng(2)
     flat = (lm.initial(shape) + random.normal(0, 0.3, len(lm.initial(shape)))).astype(np.float64)
     words, aim = random.integers(0, 6, (2, 6, 3))
-    fresh, state = words == 0, random.normal(size=(3, lm.HIDDEN))
+    fresh, state = words == 0, random.normal(size=(lm.HIDDEN, 3))
 
     def loss(flat):
-        states, _ = lm._run(lm.views(flat, shape), words, fresh, state)
-        chance = lm.probabilities(lm.views(flat, shape), shape, shape.class_of(), states.reshape(-1, lm.HIDDEN), aim.ravel())
+        states = lm._rows(lm._run(lm.views(flat, shape), words, fresh, state))
+        chance = lm.probabilities(lm.views(flat, shape), shape, shape.class_of(), states, aim.ravel())
         return -np.log(chance).sum() / (lm.STREAMS * lm.WINDOW)
 
     g, _ = lm.gradient(lm.views(flat, shape), shape, shape.class_of(), words, aim, fresh, state)
