@@ -8,10 +8,12 @@ codeword only; a word three bits away has also the five codewords at distance fo
 words one bit apart then share a codeword, whichever way their nearest ones fall.
 
 Near copies of whole documents, which differ in more bits, are found alike: by eight keys of
-a fuzzy segment and a few equal bits each, from fingerprints of word pairs, and compared by
-a wide fingerprint of their five-word shingles, 128 bits at first, then 512. Two documents right at the limit have a key
-in common with a probability of about nine in ten, closer ones nearly always; what is looked
-at within a key grows with its rows, so for many more documents keys need more equal bits.
+a fuzzy segment and a few equal bits each, from fingerprints of word pairs. Rows of a key
+that are alike in 128 bits of their five-word shingles are candidates, and leave as stars.
+What candidates join is then compared by the shingles themselves, each pair with each, so no
+link rests on an estimate, and no partner is chosen before it is compared. Two documents
+right at the limit have a key in common with a probability of about nine in ten, closer ones
+nearly always.
 
 Fingerprints are made distinct first, so exact copies are one row from then on. Within a
 key all pairs are compared, but a component leaves as a star, never as all its pairs.
@@ -219,35 +221,14 @@ def _stars(key: np.ndarray, node: np.ndarray, fp: np.ndarray, apart: int) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], ["a", "b"])
 
 
-def _direct(key: np.ndarray, node: np.ndarray, fp: np.ndarray, apart: int) -> pa.RecordBatch:
-    """Links between the rows of each key, as pairs that were compared themselves.
-
-    A row of a long run keeps the first and the last of its links in each block.
-    """
-    cuts = np.flatnonzero(np.diff(key)) + 1
-    begin, end = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
-    short = end - begin <= RUN_BY_SHIFTS
-    several = end - begin > 1
-    pairs = list(_pairs_of_runs(fp, begin[several & short], end[several & short], apart))
-    for left, right in _pairs_of_runs(fp, begin[~short], end[~short], apart):
-        order = np.lexsort((left, right))
-        left, right = left[order], right[order]
-        ends = np.append(np.flatnonzero(np.diff(right)), len(right) - 1) if len(right) else np.zeros(0, int)
-        starts = np.append(0, ends[:-1] + 1) if len(right) else ends
-        pairs += [(left[starts], right[starts]), (left[ends], right[ends])]
-    left, right = (np.concatenate([np.zeros(0, int), *side]) for side in (zip(*pairs, strict=True) if pairs else ((), ())))
-    differ = node[left] != node[right]
-    return pa.RecordBatch.from_arrays([pa.array(node[left[differ]]), pa.array(node[right[differ]])], ["a", "b"])
-
-
-def _links(words: tuple[str, ...], apart: int, link=_stars):
+def _links(words: tuple[str, ...], apart: int):
     """Rows come by key; a key is compared once all its rows are there."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def linked() -> pa.RecordBatch:
-            return link(*(np.concatenate(c) for c in zip(*held, strict=True)), apart)
+            return _stars(*(np.concatenate(c) for c in zip(*held, strict=True)), apart)
 
         for batch in batches:
             if not batch.num_rows:
@@ -267,10 +248,10 @@ def _links(words: tuple[str, ...], apart: int, link=_stars):
     return compare
 
 
-def _by_key(keys: DataFrame, words: tuple[str, ...], apart: int, link=_stars) -> DataFrame:
+def _by_key(keys: DataFrame, words: tuple[str, ...], apart: int) -> DataFrame:
     partitions = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_keys = keys.repartition(partitions, "key").sortWithinPartitions("key")
-    return sorted_keys.mapInArrow(_links(words, apart, link), "a long, b long").distinct()
+    return sorted_keys.mapInArrow(_links(words, apart), "a long, b long").distinct()
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -312,8 +293,10 @@ WIDE_SHINGLE = 5
 SIMILARITY = 0.8
 TABLES, TABLE_BITS = 8, 31  # a Golay segment of 23 bits and 8 equal bits each
 WIDE_WORDS = ("wide_a", "wide_b")
-SKETCH_BITS = 512
-WIDE = "doc_id long, text_hash long, fp long, wide_a long, wide_b long, near binary, sketch binary"
+WIDE = "doc_id long, text_hash long, fp long, wide_a long, wide_b long, near binary"
+# Most documents, and characters, of a block whose documents one task compares with another's.
+BLOCK = 4096
+BLOCK_CHARS = 16_000_000
 
 
 def _majority(shingles: list[bytes], seeds: tuple[int, ...]) -> np.ndarray:
@@ -334,24 +317,34 @@ def _shingles(words: list[bytes], width: int) -> list[bytes]:
     return [b" ".join(s) for s in zip(*[words[k:] for k in range(width)], strict=False)]
 
 
-def wide_fingerprint(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """512 bits of the five-word shingles, which are compared, and 256 bits of word pairs, which are keys.
+def shingle_set(words: list[bytes]) -> np.ndarray:
+    """Sorted 64-bit hashes of the five-word shingles, each once."""
+    digest = xxhash.xxh3_64_intdigest
+    return np.unique(np.array([digest(s) for s in dict.fromkeys(_shingles(words, WIDE_SHINGLE))], np.uint64))
+
+
+def wide_fingerprint(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the five-word shingles, which are compared, and 256 bits of word pairs, which are keys.
 
     Pairs suffer less from a changed word than longer shingles do, so near copies agree in more
     of their bits. Shingles found again in a text count once.
     """
-    words = (text or "").encode().lower().split()
-    compared = _majority(list(dict.fromkeys(_shingles(words, WIDE_SHINGLE))), (0, 1, 2, 3))
+    compared = _majority(list(dict.fromkeys(_shingles(words, WIDE_SHINGLE))), (0,))
     return compared, _majority(list(dict.fromkeys(_shingles(words, 2))), (4, 5))
 
 
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()
+
+
 def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = [wide_fingerprint(t.as_py()) for t in batch["text"]]
-        compared = np.packbits(np.array([c for c, _ in prints], bool).reshape(-1, SKETCH_BITS), axis=1).view(np.uint64)
+        texts = [_words(t.as_py()) for t in batch["text"]]
+        prints = [wide_fingerprint(words) for words in texts]
+        compared = np.packbits(np.array([c for c, _ in prints], bool).reshape(-1, 128), axis=1).view(np.uint64)
         near = np.packbits(np.array([k for _, k in prints], bool).reshape(-1, 256), axis=1)
-        # a name for the whole fingerprint
-        node = [xxhash.xxh3_64_intdigest(a.tobytes() + b.tobytes()) for a, b in zip(compared, near, strict=True)]
+        # a name for the set of shingles
+        node = [xxhash.xxh3_64_intdigest(shingle_set(words).tobytes()) for words in texts]
         yield pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"],
@@ -360,9 +353,8 @@ def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(compared[:, 0].copy().view(np.int64)),
                 pa.array(compared[:, 1].copy().view(np.int64)),
                 pa.array([k.tobytes() for k in near], pa.binary()),
-                pa.array([c.tobytes() for c in compared], pa.binary()),
             ],
-            ["doc_id", "text_hash", "fp", *WIDE_WORDS, "near", "sketch"],
+            ["doc_id", "text_hash", "fp", *WIDE_WORDS, "near"],
         )
 
 
@@ -396,39 +388,78 @@ def bits_apart(similarity: float, bits: int, room: float) -> int:
     return int(bits * angle + room * np.sqrt(bits * angle * (1 - angle)))
 
 
-def _verified(apart: int):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                left, right = (
-                    np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-                    for c in ("sketch_a", "sketch_b")
-                )
-                yield batch.select(["a", "b"]).filter(pa.array(_close(left, right, apart)))
+def _compared(similarity: float):
+    """Links, as stars, between the documents of two blocks, or of one."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        node, block = group["fp"].to_numpy(), group["block"].to_numpy()
+        left, right = group["left"][0].as_py(), group["right"][0].as_py()
+        sets = [shingle_set(_words(t)) for t in group["text"].to_pylist()]
+        size = np.array([len(s) for s in sets])
+        known, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        ids = np.split(ids, np.cumsum(size)[:-1])
+        held = np.zeros(len(known), np.int64)
+        place = np.arange(len(node))
+        root = place.copy()
+        for i in place[block == left]:
+            # what is linked already need not be compared, nor what is too short or too long
+            open_ = (place > i) if left == right else (block == right)
+            open_ &= (root != root[i]) & (np.minimum(size, size[i]) >= similarity * np.maximum(size, size[i]) - 1e-9)
+            others = np.flatnonzero(open_)
+            if not len(others):
+                continue
+            held[ids[i]] = 1
+            starts = np.cumsum(size[others]) - size[others]
+            shared = np.add.reduceat(held[np.concatenate([ids[j] for j in others])], starts)
+            held[ids[i]] = 0
+            good = others[shared >= similarity * (size[i] + size[others] - shared) - 1e-9]
+            if len(good):
+                joined = np.unique(np.append(root[good], root[i]))
+                root[np.isin(root, joined)] = joined[0]
+        moved = np.flatnonzero(root != place)
+        return pa.table({"a": node[moved], "b": node[root[moved]]})
+
+    return compare
 
-    return verify
+
+def exact_links(candidates: DataFrame, distinct: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of fingerprints whose sets of shingles are alike, among those that candidates (a, b) join.
+
+    All pairs of a component of candidates are compared, whichever of them are candidates
+    themselves. A large component is cut into blocks, and each pair of blocks is a task's own.
+    """
+    found = components(candidates)
+    found = written(found.union(found.select("root", "root").distinct()), "sim-candidates")
+    first = distinct.join(found, distinct["fp"] == found["node"]).select("fp", "root", "first.doc_id", "first.text_hash")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), "text")
+    members = first.join(texts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
+    members = written(members.dropDuplicates(["fp"]).select("fp", "root", "text"), "sim-members")
+    chars = F.sum(F.coalesce(F.length("text"), F.lit(0)))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, chars / BLOCK_CHARS, F.lit(1.0))).cast("int")
+    sizes = written(members.groupBy("root").agg(blocks.alias("blocks")), "sim-sizes")
+    dealt = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "root", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "fp", "text"
+    )
+    return dealt.groupBy("root", "left", "right").applyInArrow(_compared(similarity), "a long, b long")
 
 
-def wide_links(distinct: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) of fingerprints with a key in common, alike in their first 128 bits, and then in all 512."""
-    keys = distinct.drop("sketch").mapInArrow(_wide_keys, "key long, fp long, wide_a long, wide_b long")
-    pairs = _by_key(keys, WIDE_WORDS, bits_apart(similarity, 128, 2.5), _direct)
-    pairs = written(pairs, "sim-pairs")
-    for side in ("a", "b"):
-        sketches = distinct.select(F.col("fp").alias(f"fp_{side}"), F.col("sketch").alias(f"sketch_{side}"))
-        pairs = pairs.join(sketches, F.col(side) == F.col(f"fp_{side}")).drop(f"fp_{side}")
-    return pairs.mapInArrow(_verified(bits_apart(similarity, SKETCH_BITS, 0.75)), "a long, b long")
+def wide_links(distinct: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b) of fingerprints that share a key and 128 bits with others, and are alike in their shingles."""
+    keys = distinct.mapInArrow(_wide_keys, "key long, fp long, wide_a long, wide_b long")
+    candidates = _by_key(keys, WIDE_WORDS, bits_apart(similarity, 128, 3))
+    return exact_links(candidates, distinct, docs, similarity)
 
 
 def kept_only(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each group of near copies: the keeper of its component.
 
-    Near copies have five-word shingles in common to at least ``similarity``, as their
-    wide fingerprints tell.
+    Near copies have five-word shingles in common to at least ``similarity``, counted in the
+    texts themselves.
     """
     if clash := [c for c in docs.columns if c.startswith(PREFIX)]:
         raise ValueError(f"columns {clash} carry the prefix of working columns")
-    prints, found = groups(wide_fingerprints(docs), lambda distinct: wide_links(distinct, similarity))
+    prints, found = groups(wide_fingerprints(docs), lambda distinct: wide_links(distinct, docs, similarity))
     keepers = found.groupBy("keeper").agg(F.min("fp").alias("fp"))
     same = prints.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
     stay = keepers.select("keeper.doc_id", "keeper.text_hash").distinct()

@@ -176,6 +176,25 @@ def test_near_copies_go_and_others_stay(spark):
     assert unlike >= 140 and list(kept.values()).count("far") >= 0.97 * unlike
 
 
+def fresh_words(random, n):
+    return ["".join(chr(97 + c) for c in random.integers(0, 26, 7)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("block", [4096, 40])
+def test_copies_among_many_pages_of_one_template(spark, monkeypatch, block):
+    """Pages are 0.6 to 0.7 alike, so all share keys; each has one copy at 0.9."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    random = np.random.default_rng(31)
+    template, rows = fresh_words(random, 320), []
+    for page in range(100):
+        own = fresh_words(random, 76)
+        rows.append((2 * page, " ".join(template + own), "page"))
+        rows.append((2 * page + 1, " ".join(template + own + fresh_words(random, 24)), "copy"))
+    assert 0.6 < jaccard(rows[0][1], rows[2][1]) < 0.7 and jaccard(rows[0][1], rows[1][1]) > 0.9
+    kept = {r.doc_id for r in simhash.kept_only(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert kept == {r[0] for r in rows if r[2] == "page"}
+
+
 def test_empty_table_and_clashing_columns(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.components_of(empty).count() == 0
