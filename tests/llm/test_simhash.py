@@ -195,6 +195,25 @@ def test_copies_among_many_pages_of_one_template(spark, monkeypatch, block):
     assert kept == {r[0] for r in rows if r[2] == "page"}
 
 
+def test_appended_and_truncated_copies_at_the_limit(spark):
+    """Copies with one block added or cut go from 0.8 on; what is less alike stays."""
+    random = np.random.default_rng(41)
+    rows = []
+    for group in range(240):
+        n = int(random.integers(150, 300))
+        base = fresh_words(random, n)
+        share = (random.uniform(0.802, 0.83), random.uniform(0.74, 0.795))[group % 2]
+        appended = base + fresh_words(random, round((n - 4) / share) - (n - 4))
+        truncated = base[: round((n - 4) * share) + 4]
+        rows.append((2 * group, " ".join(base), "base"))
+        copy = " ".join(appended if group // 2 % 2 else truncated)
+        rows.append((2 * group + 1, copy, "near" if jaccard(rows[-1][1], copy) >= 0.8 else "far"))
+    kept = {r.doc_id for r in simhash.kept_only(spark.createDataFrame(rows, SCHEMA)).collect()}
+    near = {r[0] for r in rows if r[2] == "near"}
+    assert 110 < len(near) < 130 and len(near & kept) <= 1
+    assert kept - near == {r[0] for r in rows} - near
+
+
 def test_empty_table_and_clashing_columns(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.components_of(empty).count() == 0
