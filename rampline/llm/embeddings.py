@@ -1,14 +1,14 @@
 """Embedding near-duplicates by product quantisation with an exact rerank.
 
 Coarse centroids cut the vectors into lists, and each vector is kept as its list and one
-code per subspace of its residual. A query reads the lists of its nearest centroids, but
-none beyond its reach: a point nearer to centroid b than to its own a lies beyond the plane
-between them, so if that plane is further away than a neighbour can be, list b is left out
-and nothing is lost. Within a list, distances to the codes are sums of table entries; a
+code per subspace of its residual. A query reads every list within
+its reach: a point nearer to centroid b than to its own a lies beyond the plane between
+them, so if that plane is further away than a neighbour can be, list b is left out and
+nothing is lost. Neither is it if the centroid is further away than the list's radius and
+the reach together. Within a list, distances to the codes are sums of table entries; a
 code's own error, stored with it, bounds how far its vector may be nearer than its code, so
 this step loses nothing either. What it leaves is compared by exact cosine in double
-precision, so no pair below the limit is ever linked. How many lists are read decides what
-share of the pairs is found; ``PROBES`` is chosen by measuring it against brute force.
+precision. So every pair at the limit or above is found, from both sides, and none below.
 
 Equal vectors are made one first, with their number. Lists are cut into blocks of bounded
 size, a task holds one block of members and streams the queries, and links leave as counts
@@ -39,7 +39,6 @@ from rampline.llm.components import components, local_roots
 LEAST_COSINE = 0.9
 SAMPLE = 50_000
 MOST_LISTS = 4096
-PROBES = 24
 SUBSPACES = 8
 CODES = 256
 FIT_ROUNDS = 8
@@ -85,17 +84,13 @@ class Quantiser:
         rebuilt = np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], 1)
         return own, codes.astype(np.uint8), np.linalg.norm(residual - rebuilt, axis=1), far
 
-    def lists_in_reach(self, own: np.ndarray, far: np.ndarray, reach: float) -> np.ndarray:
-        """Whether each query reads each list: one of the nearest, and one that may hold a vector within ``reach``."""
+    def lists_in_reach(self, own: np.ndarray, far: np.ndarray, radius: np.ndarray, reach: float) -> np.ndarray:
+        """Whether each query reads each list: every one that may hold a vector within ``reach``.
+
+        ``radius`` is the distance of each list's furthest vector from its centroid, negative if it has none.
+        """
         beyond = (far - far[np.arange(len(own)), own][:, None]) / (2 * self.gaps[own])
-        near = beyond <= reach + SLACK
-        near[np.arange(len(own)), own] = True
-        if far.shape[1] > PROBES:
-            nearest = np.argpartition(far, PROBES, axis=1)[:, :PROBES]
-            chosen = np.zeros_like(near)
-            np.put_along_axis(chosen, nearest, True, axis=1)
-            near &= chosen
-        return near
+        return (beyond <= reach + SLACK) & (np.sqrt(far) - radius <= reach + SLACK) & (radius >= 0)
 
     def tables(self, residual: np.ndarray) -> np.ndarray:
         """Squared distances of queries' residuals to every code: subspaces x queries x codes."""
@@ -122,28 +117,40 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-CODED = "list int, codes binary, error double, lists array<int>"
+CODED = "list int, codes binary, error double, away double"
 
 
-def _encoder(quantiser: Quantiser, cosine: float):
+def _encoder(quantiser: Quantiser):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             own, codes, error, far = quantiser.encode(_matrix(batch["v"]))
-            near = quantiser.lists_in_reach(own, far, _reach(cosine))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["rep"], batch["n"], batch["v"], pa.array(own, pa.int32()),
                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
-                    pa.array([np.flatnonzero(row).astype(np.int32) for row in near], pa.list_(pa.int32())),
+                    pa.array(np.sqrt(far[np.arange(len(own)), own])),
                 ],
-                ["rep", "n", "v", "list", "codes", "error", "lists"],
+                ["rep", "n", "v", "list", "codes", "error", "away"],
             )
 
     return encode
 
 
+def _asker(quantiser: Quantiser, radius: np.ndarray, cosine: float):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            far = _distances(_matrix(batch["v"]), quantiser.coarse)
+            near = quantiser.lists_in_reach(batch["list"].to_numpy(), far, radius, _reach(cosine))
+            lists = pa.array([np.flatnonzero(row).astype(np.int32) for row in near], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch["rep"], batch["v"], lists], ["rep", "v", "lists"])
+
+    return ask
+
+
 FOUND = "a long, b long, n long"
 
 
@@ -251,16 +258,22 @@ def _links(reps: DataFrame, cosine: float) -> DataFrame:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = reps.schema["v"].dataType.simpleString()
     coded = f"rep long, n long, v {kind}, {CODED}"
-    coded = written(reps.mapInArrow(_encoder(quantiser, cosine), coded), "pq-codes")
-
-    sizes = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    sizes = F.broadcast(written(sizes, "pq-lists"))  # at most MOST_LISTS rows
+    coded = written(reps.mapInArrow(_encoder(quantiser), coded), "pq-codes")
+
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
+    sizes = written(coded.groupBy("list").agg(blocks, F.max("away").alias("radius")), "pq-lists")
+    radius = np.full(lists, -1.0)
+    for row in sizes.collect():  # at most MOST_LISTS rows
+        radius[row["list"]] = row["radius"]
+    sizes = F.broadcast(sizes.drop("radius"))
     members = coded.join(sizes, "list").select(
         "list", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"),
         "rep", "n", "v", "codes", "error",
     )
     queries = (
-        coded.select("rep", "v", F.explode("lists").alias("list"))
+        coded.select("rep", "v", "list")
+        .mapInArrow(_asker(quantiser, radius, cosine), f"rep long, v {kind}, lists array<int>")
+        .select("rep", "v", F.explode("lists").alias("list"))
         .join(sizes, "list")
         .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "rep", "v")
     )

@@ -95,3 +95,19 @@ def test_recall_against_brute_force(spark):
     got = {r.vec_id: r.n_links for r in embeddings.linked(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert all(got[i] <= links[i] for i in range(len(both)))
     assert sum(got.values()) >= 0.95 * links.sum()
+
+
+def test_hot_group_over_many_lists(spark):
+    """A half of the vectors near one, at the limit of each other, spread over more lists than a few nearest."""
+    random = np.random.default_rng(17)
+    centre = random.normal(size=32)
+    hot = centre / np.linalg.norm(centre) + 0.33 * random.normal(size=(1500, 32)) / np.sqrt(32)
+    both = np.concatenate([hot, random.normal(size=(1500, 32))]).astype(np.float32)
+    exact = both.astype(float)
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+    cosines = exact @ exact.T
+    assert (np.abs(cosines - 0.9) > 1e-12).all()
+    links = (cosines >= 0.9).sum(1) - 1
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(both)]
+    got = {r.vec_id: r.n_links for r in embeddings.linked(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i] for i in range(len(both))] == links.tolist()
