@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rampline.llm import mixing, quality
+from rampline.llm import merkle, mixing, quality
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -92,7 +92,81 @@ FROM running
 """
 
 
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of digits, a bit at a time."""
+    byte = "list_reduce(list_concat([x], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))"
+    bytes_ = f"list_transform(string_split({text}, ''), lambda d: ord(d)::BIGINT)"
+    state = f"list_reduce(list_concat([4294967295::BIGINT], {bytes_}), lambda s, b: list_transform([xor(s, b)], lambda x: {byte})[1])"
+    return f"xor({state}, 4294967295)"
+
+
+# eight to this power are the leaves that the twin of the manifest may see
+_MERKLE_LEVELS = 9
+
+
+def _merkle_field(name: str) -> str:
+    return f"coalesce(octet_length(encode({name}::VARCHAR))::VARCHAR || ':' || {name}::VARCHAR, '-')"
+
+
+def _merkle_tree(prefix: str, line: str) -> str:
+    """CTEs of the levels over ``{prefix}0`` (line, pos, n, h), of siblings in each, and of the tops."""
+    parts = []
+    for k in range(_MERKLE_LEVELS):
+        near = f"PARTITION BY {line}, pos // 8"
+        parts.append(f"""{prefix}s{k} AS (
+  SELECT {line}, pos, n, h,
+    coalesce(string_agg(h, '' ORDER BY pos) OVER ({near} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(h, '') OVER ({near} ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {prefix}{k} WHERE n > 1
+), {prefix}{k + 1} AS (
+  SELECT {line}, pos // 8 AS pos, (n + 7) // 8 AS n, sha256(string_agg(h, '' ORDER BY pos)) AS h
+  FROM {prefix}{k} WHERE n > 1 GROUP BY {line}, pos // 8, n
+)""")
+    every = " UNION ALL ".join(f"SELECT {line}, h FROM {prefix}{k} WHERE n = 1" for k in range(_MERKLE_LEVELS + 1))
+    return ", ".join(parts) + f", {prefix}top AS ({every})"
+
+
+def _merkle_folds(first: str, tree: str, line: str, claim: str) -> tuple[str, str, str]:
+    """CTEs that carry the claim and the siblings up a tree, from ``first`` with its line, pos, claim and path."""
+    parts, last = [], first
+    for k in range(_MERKLE_LEVELS):
+        parts.append(f"""{tree}f{k} AS (
+  SELECT f.* REPLACE (f.pos // 8 AS pos, CASE WHEN s.n IS NULL THEN f.{claim} ELSE sha256(s.before || f.{claim} || s.after) END AS {claim},
+    f.path || coalesce(s.before || s.after, '') AS path)
+  FROM {last} f LEFT JOIN {tree}s{k} s ON f.{line} = s.{line} AND f.pos = s.pos
+)""")
+        last = f"{tree}f{k}"
+    return ", ".join(parts), last, claim
+
+
+def _op13() -> str:
+    leaf, claim = (" || ".join(_merkle_field(f"{of}.{name}") for name in merkle.FIELDS) for of in "dc")
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    claimed = f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 3 = 0 THEN {lowered} ELSE text END"
+    low_folds, low_last, _ = _merkle_folds("placed", "t", "line", "claim")
+    high_folds, high_last, _ = _merkle_folds("raised", "u", "a", "claim")
+    return f"""
+WITH claims AS (SELECT * REPLACE ({claimed} AS text) FROM documents), leaves AS (
+  SELECT d.doc_id, coalesce('=' || d.lang, '') AS line, sha256({leaf}) AS h, sha256({claim}) AS claim
+  FROM documents d JOIN claims c USING (doc_id)
+), placed AS (
+  SELECT doc_id, line, h, claim, h AS leaf, '' AS path,
+    row_number() OVER (PARTITION BY line ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY line) AS n
+  FROM leaves
+), t0 AS (SELECT line, pos, n, h FROM placed), {_merkle_tree("t", "line")},
+u0 AS (
+  SELECT 0 AS a, line, h, row_number() OVER (ORDER BY encode(line)) - 1 AS pos, count(*) OVER () AS n FROM ttop
+), {_merkle_tree("u", "a")}, {low_folds}, raised AS (
+  SELECT f.doc_id, f.leaf, f.claim, f.path, 0 AS a, u0.pos, u0.h AS subroot
+  FROM {low_last} f JOIN u0 ON f.line = u0.line
+), {high_folds}
+SELECT doc_id, leaf, subroot, utop.h AS root, sha256(path) AS proof_sha256, claim AS folded_root, claim = utop.h AS verified
+FROM {high_last} JOIN utop USING (a)
+"""
+
+
 ORACLES = {
+    "op13_merkle_manifest": _op13(),
     "op8_quality_rules": _op8(),
     "op5_source_mix": _op5(),
     "op2_line_dedup": r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rampline.llm import embeddings, lines, lm, mixing, packing, quality, sharding, simhash, suffixes, token_counts
+from rampline.llm import embeddings, lines, lm, merkle, mixing, packing, quality, sharding, simhash, suffixes, token_counts
 from rampline.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.linked(table(spark, sf_dir, "embeddings"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"), merkle.tampered_text())
+
+
 QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_line_dedup": op2_line_dedup,
@@ -62,4 +66,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_embedding_groups": op10_embedding_groups,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
