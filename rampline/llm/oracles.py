@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rampline.llm import merkle, mixing, quality
+from rampline.llm import merkle, mixing, quality, runs
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -100,6 +100,50 @@ def _crc32(text: str) -> str:
     return f"xor({state}, 4294967295)"
 
 
+def _op12() -> str:
+    width = runs.shortest_repeat(runs.LEAST, runs.EXPONENT)
+    return f"""
+WITH numbered AS (
+  SELECT doc_id, {WORDS} AS words, {_crc32("doc_id::VARCHAR")} AS h FROM documents
+), sized AS (
+  SELECT doc_id, words, len(words) AS n, h, h // 10 AS g FROM numbered
+), looped AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE words END AS words
+  FROM (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM sized))
+), grams AS (
+  SELECT doc_id, i, array_to_string(words[i + 1 : i + {width}], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(n - {width - 1})) AS i FROM looped WHERE n >= {width})
+), matches AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, max(i) - min(i) + {width} + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM matches)
+  GROUP BY doc_id, q, island
+), found AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches
+  WHERE length >= greatest({runs.LEAST}, {runs.EXPONENT} * q) GROUP BY doc_id, start, length
+), judged AS (
+  SELECT doc_id, count(*) AS n_runs, sha256(string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period)) AS runs_sha256
+  FROM found GROUP BY doc_id
+), most AS (
+  SELECT * FROM found x WHERE NOT EXISTS (
+    SELECT 1 FROM found y WHERE x.doc_id = y.doc_id AND (y.length * x.period > x.length * y.period
+      OR y.length * x.period = x.length * y.period AND (y.start, y.period) < (x.start, x.period)))
+), dropped AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM found
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(n)) AS i FROM looped) ANTI JOIN dropped USING (doc_id, i)
+  GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+  (1000 * length // period)::BIGINT AS exponent_milli,
+  coalesce(runs_sha256, sha256('')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM looped LEFT JOIN judged USING (doc_id) LEFT JOIN most USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 # eight to this power are the leaves that the twin of the manifest may see
 _MERKLE_LEVELS = 9
 
@@ -166,6 +210,7 @@ FROM {high_last} JOIN utop USING (a)
 
 
 ORACLES = {
+    "op12_periodic_runs": _op12(),
     "op13_merkle_manifest": _op13(),
     "op8_quality_rules": _op8(),
     "op5_source_mix": _op5(),
