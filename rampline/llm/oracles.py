@@ -210,6 +210,25 @@ FROM {high_last} JOIN utop USING (a)
 
 
 ORACLES = {
+    "op11_phrase_dedup": rf"""
+WITH split AS (
+  SELECT doc_id, {WORDS} AS words FROM documents
+), phrases AS (
+  SELECT doc_id, i, array_to_string(words[i : i + 19], ' ') AS phrase
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM split)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY phrase ORDER BY doc_id, i) AS nr FROM phrases) WHERE nr > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+""",
     "op12_periodic_runs": _op12(),
     "op13_merkle_manifest": _op13(),
     "op8_quality_rules": _op8(),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rampline.llm import embeddings, lines, lm, merkle, mixing, packing, quality, runs, sharding, simhash, suffixes, token_counts
+from rampline.llm import embeddings, lines, lm, merkle, mixing, packing, phrases, quality, runs, sharding, simhash, suffixes, token_counts
 from rampline.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.linked(table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digests(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.looped(table(spark, sf_dir, "documents")))
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_embedding_groups": op10_embedding_groups,
+    "op11_phrase_dedup": op11_phrase_dedup,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
