@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, compress
 from typing import NamedTuple
 
 import numpy as np
@@ -49,26 +49,33 @@ BLOCKS_PER_BUCKET = 8
 BYTES_PER_SHARD = 24_000_000
 HOT = 2_000
 PHRASES_AT_ONCE = 60_000  # of one automaton, besides those of its last core
-KNOWN_WORDS = 500_000
 
 
 # ---- words, cores, segments -----------------------------------------------------------
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
 def _scrambled(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A number per word, from eight of its bytes at a time."""
+    raw = b" ".join(words) + bytes(8)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    eights = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
+    hashes, open_, done = np.zeros(len(words), np.uint64), np.arange(len(words)), 0
+    while len(open_):
+        left = np.minimum(sizes[open_] - done, 8).astype(np.uint64)
+        part = eights[begin[open_] + done] << (np.uint64(64) - np.uint64(8) * left)
+        hashes[open_] = _scrambled(hashes[open_] * np.uint64(0x9E3779B97F4A7C15) + part + left)
+        done += 8
+        open_ = open_[sizes[open_] > done]
+    return hashes
+
+
 def _gram_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """A hash of the ``width`` words from each word on."""
     hashes, held = _scrambled(words), 1
@@ -121,11 +128,11 @@ def single_phrases(found: Segments, hashes: np.ndarray) -> Segments:
 class Block:
     """The words of one block's texts end to end."""
 
-    def __init__(self, texts: list[str | None], known: _Hashes) -> None:
+    def __init__(self, texts: list[str | None]) -> None:
         words = [(text or "").encode().split() for text in texts]
         self.sizes = np.array([len(own) for own in words], np.int64)
-        self.words = [word for own in words for word in own]
-        self.hashes = np.fromiter(map(known.__getitem__, self.words), np.uint64, len(self.words))
+        self.words = list(chain.from_iterable(words))
+        self.hashes = word_hashes(self.words)
         self.ends = np.cumsum(self.sizes)
         self.segments = segments(self.hashes, self.sizes)
 
@@ -220,10 +227,9 @@ CORES = "shard int, block long, cores binary, counts binary"
 
 def _cores(shards: int):
     def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         for batch in batches:
             for number, texts in zip(batch["block"].to_pylist(), batch["text"], strict=True):
-                keys, counts = Block(texts.values.to_pylist(), known).keys()
+                keys, counts = Block(texts.values.to_pylist()).keys()
                 shard = (keys % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 rows = [
@@ -289,13 +295,12 @@ SHARED = "key long, name long, content string, block long, doc long, text_hash l
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct segments of each block whose cores recur, with the first place of each in the block."""
-    known = _Hashes()
     for batch in batches:
         columns = ("block", "doc", "text_hash", "text", "again", "hot")
         for number, docs, hashes, texts, again, hot in zip(*(batch[c].to_pylist() for c in columns), strict=True):
             if not again:
                 continue
-            block = Block(texts, known)
+            block = Block(texts)
             found = block.recurring(_numbers(again), _numbers(hot))
             contents = block.contents(found)
             names, of = _names(contents), block.doc_of(found.begin)
@@ -393,19 +398,23 @@ def _located(at_once: int):
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
-        held = 0
+        held, last = 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             key = batch["key"].to_numpy()
-            begin = 0
-            for end in [*(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]:
-                if held >= at_once and (begin or waiting[-1]["key"][-1].as_py() != key[0]):
-                    yield verdicts(pa.Table.from_batches(waiting))
-                    waiting, held = [], 0
-                waiting.append(batch.slice(begin, end - begin))
-                held += (end - begin) * (LENGTH - CORE + 1)
-                begin = end
+            new = np.flatnonzero(np.append(last is not None and key[0] != last, np.diff(key) != 0))
+            begin, last = 0, key[-1]
+            while True:  # whole cores only
+                wanted = begin + (at_once - held) // (LENGTH - CORE + 1)
+                cut = np.searchsorted(new, max(wanted, begin + (not waiting)))
+                if cut == len(new):
+                    break
+                waiting.append(batch.slice(begin, new[cut] - begin))
+                yield verdicts(pa.Table.from_batches(waiting))
+                waiting, held, begin = [], 0, int(new[cut])
+            waiting.append(batch.slice(begin))
+            held += (batch.num_rows - begin) * (LENGTH - CORE + 1)
         if waiting:
             yield verdicts(pa.Table.from_batches(waiting))
 
@@ -417,16 +426,14 @@ def _located(at_once: int):
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of each document of a block."""
-    known = _Hashes()
 
     def marked(block: Block, docs, hashes, again, hot, verdicts: list[dict]) -> np.ndarray:
         found = block.recurring(_numbers(again), _numbers(hot))
         names, of = _names(block.contents(found)), block.doc_of(found.begin)
-        order, first = _distinct(
-            found, names, np.array(docs, np.int64)[of], np.array(hashes, np.int64)[of], found.begin - (block.ends - block.sizes)[of]
-        )
+        place = (np.array(docs, np.int64)[of], np.array(hashes, np.int64)[of], found.begin - (block.ends - block.sizes)[of])
+        order, first = _distinct(found, names, *place)
         # rows that are equal are one document: all of their segments stand at the first place
-        place = np.stack([np.array(docs, np.int64)[of], np.array(hashes, np.int64)[of], found.begin - (block.ends - block.sizes)[of]], 1)[order]
+        place = np.stack(place, 1)[order]
         head = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
         at_first = (place == place[head]).all(1)
         masks = {(v["key"], v["name"]): (v["gone"], v["at_first"]) for v in verdicts}
@@ -445,16 +452,19 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, (docs, hashes, texts, again, hot, verdicts) in enumerate(
             zip(*(batch[c].to_pylist() for c in columns), strict=True)
         ):
-            block = Block(texts, known)
-            gone = marked(block, docs, hashes, again, hot, verdicts) if verdicts else np.zeros(len(block.words), bool)
-            words, removed, kept = iter(zip(block.words, gone.tolist(), strict=True)), [], []
-            for size in block.sizes.tolist():
-                own = [word for word, drop in islice(words, size) if not drop]
-                removed.append(size - len(own))
-                kept.append(b" ".join(own))
+            block = Block(texts)
+            stays = np.ones(len(block.words), bool)
+            if verdicts:
+                stays = ~marked(block, docs, hashes, again, hot, verdicts)
+            before = np.concatenate([[0], np.cumsum(stays)])
+            left = before[block.ends] - before[block.ends - block.sizes]
+            kept, stays = [], stays.tolist()
+            for end, size, n in zip(block.ends.tolist(), block.sizes.tolist(), left.tolist(), strict=True):
+                own = block.words[end - size : end]
+                kept.append(b" ".join(own if n == size else compress(own, stays[end - size : end])))
             ids = batch["doc_id"][at].values
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(block.sizes), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                [ids, pa.array(block.sizes), pa.array(block.sizes - left), pa.array(kept, pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
