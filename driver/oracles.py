@@ -42,7 +42,11 @@ found AS (
     broken OR {_has("null_metadata")} AS no_metadata,
     {_has("extra_reading_key")} AND free AS extra_reading,
     NOT broken AND {_has("wrong_shape")} OR {_has("wrong_element")} AND NOT {_has("extra_reading_key")} AND free AS mistyped,
-    extra_top OR extra_meta OR extra_reading OR mistyped AS rescued,
+    NOT extra_top AND NOT extra_meta AND NOT broken AND NOT (free AND ({_has("extra_reading_key")} OR {_has("wrong_element")})) AS plain,
+    CASE WHEN NOT plain THEN NULL WHEN {_has("repeated_key")} THEN CASE WHEN free THEN 'repeated_key' END
+         WHEN {_has("repeated_reading_key")} THEN CASE WHEN free THEN 'repeated_reading_key' END
+         WHEN {_has("trailing_text")} THEN 'trailing_text' END AS lossy,
+    extra_top OR extra_meta OR extra_reading OR mistyped OR lossy IS NOT NULL AS rescued,
     broken AS corrupt,
     CASE WHEN broken OR {_has("wrong_shape")} OR {_has("no_snapshots")} OR mistyped THEN NULL
          WHEN {_has("empty_snapshots")} THEN 0 ELSE 2 END AS n_snapshots
@@ -160,8 +164,8 @@ wider AS (
   SELECT CASE WHEN copy = 2 AND NOT broken THEN event_id % 7 END AS site,
     CASE WHEN copy = 2 AND NOT no_metadata THEN 'r1' END AS rack,
     CASE WHEN copy = 2 AND n_snapshots > 0 THEN CAST(3 AS BIGINT) END AS phase,
-    mistyped, trim(replace(',' || reasons || ',',
-      CASE WHEN mistyped THEN ' ' ELSE ',rescued_data_present,' END, ','), ',') AS reasons
+    mistyped OR lossy IS NOT NULL AS mistyped, trim(replace(',' || reasons || ',',
+      CASE WHEN mistyped OR lossy IS NOT NULL THEN ' ' ELSE ',rescued_data_present,' END, ','), ',') AS reasons
   FROM judged
 )"""
 _LACKING = ", ".join(
@@ -182,6 +186,8 @@ ORACLES = {
         SELECT event_id, copy, 'snapshots.unit' AS unexpected_keys, 'W' AS kept_unit FROM judged WHERE extra_reading""",
     "rescued_types": f"""WITH {_PAYLOADS}
         SELECT event_id, copy, true AS readable FROM judged WHERE mistyped AND NOT extra_top AND NOT extra_meta""",
+    "rescued_lines": f"""WITH {_PAYLOADS}
+        SELECT event_id, copy, lossy AS fault, true AS whole FROM judged WHERE lossy IS NOT NULL""",
     "line_forms": f"""WITH {_PAYLOADS},
         formed AS (
           SELECT *, CASE WHEN event_id % {LINE_FORMS["array"]} = 0 AND NOT broken THEN 2 ELSE 1 END AS times FROM judged)

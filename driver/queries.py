@@ -113,11 +113,28 @@ def rescued_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = F.from_json(F.get_json_object("rescued_data", "$.keys"), "array<string>")
     return (
         views.bronze(spark, sf_dir)
-        .filter(F.col("rescued_data").isNotNull() & (F.size(keys) == 0))
+        .filter((F.get_json_object("rescued_data", "$.mistyped") == "true") & (F.size(keys) == 0))
         .select("event_id", "copy", F.col("corrupt_record").isNull().alias("readable"))
     )
 
 
+@query
+def rescued_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept because a key is repeated or text follows the payload, and whether all of it was kept."""
+    line = F.get_json_object("rescued_data", "$.line")
+    twice = line.contains('"snapshots":[],"snapshots":[')
+    fault = (
+        F.when(twice, F.lit("repeated_key"))
+        .when(line.contains('"hardware_name":"h","hardware_name":"h"'), F.lit("repeated_reading_key"))
+        .when(line.endswith("} {}"), F.lit("trailing_text"))
+    )
+    return (
+        views.bronze(spark, sf_dir)
+        .filter(F.get_json_object("rescued_data", "$.lossy") == "true")
+        .select("event_id", "copy", fault.alias("fault"), (line.startswith("{") & fault.isNotNull()).alias("whole"))
+    )
+
+
 @query
 def line_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blank lines between payloads, and arrays of payloads on a line."""

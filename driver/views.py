@@ -44,6 +44,9 @@ PAYLOAD_FAULTS = {
     "null_metadata": 181,
     "extra_reading_key": 191,
     "wrong_element": 193,
+    "repeated_key": 233,
+    "repeated_reading_key": 239,
+    "trailing_text": 241,
 }
 # Which events lack which audit column, where a query plants it.
 AUDIT_FAULTS = {"source_file": 211, "execution_id": 223, "dbx_ingest_date": 227, "adls_upload_date": 229}
@@ -184,6 +187,9 @@ def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(planted("broken_line"), F.concat(F.lit("{"), "line"))
         .when(planted("extra_reading_key"), F.replace("line", F.lit(readings), F.lit(readings + '"unit":"W",')))
         .when(planted("wrong_element"), F.replace("line", F.lit(readings), F.lit('"snapshots":[5,{')))
+        .when(planted("repeated_key"), F.replace("line", F.lit(readings), F.lit('"snapshots":[],' + readings)))
+        .when(planted("repeated_reading_key"), F.replace("line", F.lit(readings), F.lit(readings + '"hardware_name":"h",' * 2)))
+        .when(planted("trailing_text"), F.concat("line", F.lit(" {}")))
         .otherwise(F.col("line")),
     )
     return keyed.select(

@@ -85,15 +85,49 @@ def test_idle_clock_has_no_ratio(spark):
     assert efficiency.core_ratios(mart, _mapping(spark)).count() == 0
 
 
-def test_percentiles_are_exact(spark, monkeypatch):
-    monkeypatch.setattr(percentiles, "BUCKETS", 16)
-    rows = [(g, float(v)) for g in ("a", None) for v in np.random.default_rng(len(str(g))).lognormal(0, 3, 3000)]
-    rows += [("ties", 1.5)] * 40 + [("one", -2.0), ("null", None), ("a", None)]
-    frame = spark.createDataFrame(rows, "g string, v double")
-    shares = (0.0, 0.05, 0.5, 0.95, 1.0)
-    found = percentiles.exact_percentiles(frame, ["g"], "v", shares).collect()
-    for group in ("a", None, "ties", "one"):
+def _wanted(rows, shares):
+    """By group, the percentiles of its values in numpy's order, which has not-a-number last."""
+    found = {}
+    for group in {g for g, v in rows if v is not None}:
         own = np.sort([v for g, v in rows if g == group and v is not None])
-        want = {p: own[max(1, int(np.ceil(p * len(own)))) - 1] for p in shares}
-        assert {r.share: r.value for r in found if r.g == group} == want
-    assert not [r for r in found if r.g == "null"]
+        found[group] = [own[max(1, int(np.ceil(p * len(own)))) - 1] for p in shares]
+    return found
+
+
+def test_percentiles_are_exact(spark):
+    random = np.random.default_rng(5)
+    rows = [(g, float(v)) for g in ("a", None) for v in random.lognormal(0, 3, 2000)]
+    rows += [("wide", float(s * 10.0**e)) for s, e in zip(random.choice([-1, 1], 300), random.uniform(-307, 307, 300), strict=True)]
+    rows += [("tiny", float(v) * 5e-324) for v in random.integers(-(10**6), 10**6, 200)]
+    rows += [("odd", float(v)) for v in (np.inf, -np.inf, np.nan, 0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, np.finfo(float).max, 1.0)]
+    rows += [("powers", s * 2.0**e) for e in range(-1074, 1024, 13) for s in (1.0, -1.0)]
+    rows += [("near", float(np.nextafter(2.0**e, to))) for e in range(-1020, 1023, 31) for to in (0.0, np.inf)]
+    rows += [("ties", 1.5)] * 40 + [("one", -2.0), ("null", None), ("a", None), ("inf", np.inf), ("inf", np.inf), ("inf", 1.0)]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    shares = (0.0, 0.05, 0.3, 0.5, 0.95, 1.0)
+    found = {}
+    for row in percentiles.exact_percentiles(frame, ["g"], "v", shares).collect():
+        found.setdefault(row.g, {})[row.share] = row.value
+    want = _wanted(rows, shares)
+    assert found.keys() == want.keys()
+    for group, values in want.items():
+        np.testing.assert_array_equal([found[group][share] for share in shares], values, err_msg=str(group))
+
+
+def test_bits_sort_as_values_do(spark):
+    random = np.random.default_rng(6)
+    values = random.integers(-(2**63), 2**63, 20_000, dtype=np.int64).view(np.float64)
+    values = values[~np.isnan(values)].tolist() + [0.0, np.inf, -np.inf, 5e-324, 2.0**-1022, np.nextafter(2.0**-1022, 0)]
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+    bits = {row.v: row.b for row in frame.select("v", percentiles.sortable_bits(F.col("v")).alias("b")).collect()}
+    want = {v: int(np.abs(np.float64(v)).view(np.int64)) * (-1 if v < 0 else 1) for v in values}
+    assert bits == want
+
+
+def test_percentiles_take_as_many_rounds_for_any_values(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(percentiles, "_kept", lambda df, kept=percentiles._kept: written.append(1) or kept(df))
+    for values in ([1.0, 2.0], [1e-300, 1.0, 1e297] * 20, [float("inf"), 1.0]):
+        frame = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+        percentiles.exact_percentiles(frame, ["g"], "v", (0.5,)).collect()
+    assert len(written) == 3 * percentiles.ROUNDS

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, VariantType
 
@@ -117,6 +118,59 @@ def test_one_wrong_element_keeps_the_line(spark, tmp_path):
     assert row["corrupt_record"] is None and json.loads(json.loads(row["rescued_data"])["line"]) == document
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        json.dumps(payload()) + " trailing",
+        json.dumps(payload()) + "]",
+        json.dumps(payload()) + "}",
+        json.dumps(payload()) + ",",
+        json.dumps(payload()) + ', {"a": 1}',
+        json.dumps(payload()) + ",0",
+        json.dumps(payload()) + "] [0",
+        json.dumps(payload(snapshot(float("nan")))) + " trailing",
+        json.dumps(payload()).replace('"snapshots"', '"snapshots": [], "snapshots"'),
+        json.dumps(payload()).replace('"hardware_name"', '"hardware_name": "h", "hardware_name"'),
+        json.dumps(payload(snapshot(float("nan")))).replace('"hardware_name"', '"hardware_name": "h", "hardware_name"'),
+        json.dumps(payload()).replace('"device_id"', '"device_id": "d", "device_id"'),
+    ],
+)
+def test_repeated_keys_and_what_follows_are_rescued(spark, tmp_path, line):
+    land(spark, str(tmp_path), line)
+    (row,) = _bronze(spark, str(tmp_path)).collect()
+    assert row["corrupt_record"] is None
+    rescued = json.loads(row["rescued_data"])
+    assert rescued["line"] == line and rescued["lossy"] and "mistyped" not in rescued
+
+
+def test_an_array_with_text_after_it_is_kept_whole(spark, tmp_path):
+    line = json.dumps([payload()]) + " more"
+    land(spark, str(tmp_path), line)
+    assert [row["corrupt_record"] for row in _bronze(spark, str(tmp_path)).collect()] == [line]
+
+
+def test_lenient_lines_lose_nothing(spark, tmp_path):
+    land(spark, str(tmp_path), json.dumps(payload()).replace('"', "'"))
+    row = _bronze(spark, str(tmp_path)).first()
+    assert row["rescued_data"] is None and row["corrupt_record"] is None and row["metadata"]["test_id"] == "t1"
+
+
+def test_null_readings_are_readings(spark, tmp_path):
+    document = payload()
+    document["snapshots"].append(None)
+    land(spark, str(tmp_path), document)
+    row = _bronze(spark, str(tmp_path)).first()
+    assert row["rescued_data"] is None and row["snapshots"][-1] is None and len(row["snapshots"]) == 2
+
+
+def test_values_are_read_as_they_were_sent(spark, tmp_path):
+    sent = {"3": 3, "1.5": 1.5, "true": True, "x": "x", '{"a":1}': {"a": 1}, "[1]": [1], None: None}
+    land(spark, str(tmp_path), payload(*(snapshot(value) for value in sent.values())))
+    row = _bronze(spark, str(tmp_path)).first()
+    assert row["rescued_data"] is None
+    assert [reading["sensor_value"] for reading in row["snapshots"]] == list(sent)
+
+
 def test_fields_of_the_wrong_type_are_rescued(spark, tmp_path):
     schema = StructType.fromDDL(LANDING_DDL.replace("sensor_value: string", "sensor_value: string, phase: int") + ", site int")
     right, wrong = payload(snapshot(phase=3), test_id="right"), payload(snapshot(phase="x"), test_id="wrong")
