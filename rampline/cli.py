@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from datetime import timedelta
 
 from rampline.naming import Layout
-from rampline.operators.dedup import DEFAULT_SPREAD
 from rampline.operators.joins import BROADCAST_BYTES
 from rampline.session import get_session
 from rampline.streaming.stages import Pipeline, run_bronze, run_gold, run_silver
@@ -84,7 +83,6 @@ def build_parser() -> argparse.ArgumentParser:
             options.add_argument("--infer-since", help="look only at files modified after, such as 2026-01-02T00:00:00")
         if stage == "silver":
             options.add_argument("--strict-numbers", action="store_true", help="name values that are no numbers")
-            options.add_argument("--spread", type=int, default=DEFAULT_SPREAD, help="slices of copies of a dimension row")
         if stage == "gold":
             options.add_argument("--broadcast-bytes", type=int, default=BROADCAST_BYTES, help="most that is broadcast")
             options.add_argument("--device", default=DEFAULT_DEVICE)
@@ -120,7 +118,6 @@ def main(argv: Sequence[str] | None = None) -> None:
         run_silver(
             spark,
             pipeline,
-            spread=args.spread,
             max_bytes=args.max_bytes,
             max_files=args.max_files,
             strict_numbers=args.strict_numbers,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rampline import contracts
 from rampline.functions.variants import device_of
+from rampline.operators import clustering
 from rampline.operators.joins import BROADCAST_BYTES, HOT_SHARE, fact_join, fits_broadcast, slices_of
 from rampline.session import work_folder
 
@@ -45,7 +46,8 @@ def device_mart(
     is shuffled. Beyond it the second pass shuffles, with hot tests cut in slices.
     """
     wanted = tests_of_device(tests, device).select("test_id", "tested_at", "device_id", "testing_software")
-    readings = fact.select(*(name for name in contracts.MART_COLUMNS if name in contracts.FACT_COLUMNS))
+    # a clustered fact is read in the buckets of the device's tests only
+    readings = clustering.pruned(fact, wanted).select(*(name for name in contracts.MART_COLUMNS if name in contracts.FACT_COLUMNS))
     small = fits_broadcast(wanted, limit)
     times = readings.select("test_id", "polled_at")
     ids = wanted.select("test_id")

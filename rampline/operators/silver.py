@@ -140,11 +140,21 @@ def normalize_cleaned(cleaned: Cleaned, spread: int = DEFAULT_SPREAD) -> Normali
     keeps the dimension rows identical and shuffles one row per payload where
     :func:`normalize` shuffles one per reading.
     """
+    rows = unkeyed(cleaned)
+    return Normalized(
+        fact=first_seen(rows.fact, contracts.FACT_KEY, spread),
+        tests=first_seen(rows.tests, contracts.TESTS_KEY, spread),
+        files=first_seen(rows.files, contracts.FILES_KEY, spread),
+    )
+
+
+def unkeyed(cleaned: Cleaned) -> Normalized:
+    """The rows of the same tables before copies are dropped."""
     described = payloads_with_readings(cleaned.payloads)
     return Normalized(
-        fact=_keyed(cleaned.readings, contracts.FACT_COLUMNS, contracts.FACT_KEY, spread),
-        tests=_keyed(described, contracts.TESTS_COLUMNS, contracts.TESTS_KEY, spread),
-        files=_keyed(described, contracts.FILES_COLUMNS, contracts.FILES_KEY, spread),
+        fact=cleaned.readings.select(*contracts.FACT_COLUMNS),
+        tests=described.select(*contracts.TESTS_COLUMNS),
+        files=described.select(*contracts.FILES_COLUMNS),
     )
 
 

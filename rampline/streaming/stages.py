@@ -11,14 +11,15 @@ from functools import partial
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from rampline import contracts
 from rampline.naming import Layout, StatePaths
-from rampline.operators.dedup import DEFAULT_SPREAD
 from rampline.operators.gold import RAMPUP, device_mart
 from rampline.operators.joins import BROADCAST_BYTES
-from rampline.operators.silver import clean, normalize_cleaned
+from rampline.operators.silver import clean, unkeyed
 from rampline.sources.inference import add_new_columns, infer_landing_schema, load_schema
 from rampline.sources.landing import bounded, landing_lines, to_bronze
 from rampline.streaming.sinks import append_stream, drain, replace_table
+from rampline.streaming.unseen import append_unseen
 
 logger = logging.getLogger(__name__)
 
@@ -77,6 +78,8 @@ def attach(spark: SparkSession, pipeline: Pipeline, schema: str, table: str) ->
                 raise
             return name  # nothing written yet
         spark.sql(f"CREATE TABLE {name} USING {pipeline.fmt} LOCATION '{path}'")
+        if any(column.isPartition for column in spark.catalog.listColumns(name)):
+            spark.catalog.recoverPartitions(name)
     return name
 
 
@@ -130,16 +133,18 @@ def run_bronze(
 def run_silver(
     spark: SparkSession,
     pipeline: Pipeline,
-    spread: int = DEFAULT_SPREAD,
     max_bytes: str | None = None,
     max_files: int | None = None,
     strict_numbers: bool = False,
 ) -> None:
-    """Validate the new bronze rows into the silver and quarantine tables."""
+    """Validate the new bronze rows into the silver and quarantine tables.
+
+    Facts and dimensions take the rows whose key their table lacks.
+    """
     source = attach(spark, pipeline, pipeline.bronze_schema, pipeline.bronze_table)
     reader = bounded(spark.readStream, max_bytes, max_files)
     cleaned = clean(reader.table(source), str(uuid.uuid4()), strict_numbers)
-    tables = normalize_cleaned(cleaned, spread)
+    tables = unkeyed(cleaned)
 
     starters = []
     for df, table in (
@@ -150,12 +155,14 @@ def run_silver(
         add_new_columns(spark, attach(spark, pipeline, pipeline.ops_schema, table), df.schema, path, pipeline.fmt)
         # quarantine state is keyed by the full table name, silver state by the bare one
         starters.append(_append(spark, pipeline, df, pipeline.ops_schema, table, pipeline.quarantine(table)))
-    for df, table in (
-        (tables.fact, pipeline.fact_table),
-        (tables.tests, pipeline.tests_table),
-        (tables.files, pipeline.files_table),
+    for df, table, key in (
+        (tables.fact, pipeline.fact_table, contracts.FACT_KEY),
+        (tables.tests, pipeline.tests_table, contracts.TESTS_KEY),
+        (tables.files, pipeline.files_table, contracts.FILES_KEY),
     ):
-        starters.append(_append(spark, pipeline, df, pipeline.silver_schema, table, table))
+        name, path = attach(spark, pipeline, pipeline.silver_schema, table), pipeline.layout.table_path(pipeline.silver_schema, table)
+        by_test = table == pipeline.fact_table
+        starters.append(partial(append_unseen, df, name, pipeline.state.checkpoint(table), key, path, pipeline.fmt, by_test))
     drain(starters)
     logger.info("validated new rows of %s", source)
 

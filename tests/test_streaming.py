@@ -136,14 +136,14 @@ def test_failing_sink_stops_the_rest_and_is_raised(spark, tmp_path):
 def test_failed_silver_sink_catches_up_on_the_next_run(spark, pipeline, monkeypatch):
     land(spark, pipeline.landing_path, *EXAMPLE)
     run_bronze(spark, pipeline, "run")
-    real = stages.append_stream
+    real = stages.append_unseen
 
     def fails_for_fact(df, table, *rest):
         if table.endswith(pipeline.fact_table):
             raise RuntimeError("planted")
         return real(df, table, *rest)
 
-    monkeypatch.setattr(stages, "append_stream", fails_for_fact)
+    monkeypatch.setattr(stages, "append_unseen", fails_for_fact)
     with pytest.raises(RuntimeError, match="planted"):
         run_silver(spark, pipeline)
     monkeypatch.undo()
