@@ -34,8 +34,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the ranks are the vocabulary of byte_bpe_50k.json and give its ids
-    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary).drop("ids")
 
 

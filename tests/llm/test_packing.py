@@ -10,7 +10,6 @@ from tokenizers import Tokenizer
 from rampline.llm import packing
 
 SCHEMA = "doc_id long, text string"
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 
 ROWS = [(i, f"document number {i} says " + "some words again " * (i % 37)) for i in range(200)] + [
@@ -28,11 +27,10 @@ def encoded(text):
     return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 0]
 
 
-@pytest.mark.parametrize("vocabulary", [RANKS, JSON])
 @pytest.mark.parametrize("size", [1024, 64])
-def test_every_id_lies_in_one_piece(spark, vocabulary, size):
-    rows = ROWS if vocabulary == RANKS else ROWS[:100]
-    pieces = packing.packed(spark.createDataFrame(rows, SCHEMA), vocabulary, size).collect()
+def test_every_id_lies_in_one_piece(spark, size):
+    rows = ROWS
+    pieces = packing.packed(spark.createDataFrame(rows, SCHEMA), JSON, size).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for p in pieces:
         ids = np.frombuffer(p.ids, "<u4")
@@ -59,9 +57,29 @@ def test_every_id_lies_in_one_piece(spark, vocabulary, size):
         assert at == size or at.bit_count() == 1 and at < size
 
 
-def test_ranks_and_json_agree():
-    for _, text in ROWS[:60] + ROWS[200:]:
-        assert list(packing._encoder(RANKS)(text or "")) == encoded(text)[:-1]
+ADDED = [token.content for token in tokenizer().get_added_tokens_decoder().values()]
+
+
+def test_ids_are_those_of_the_file():
+    assert ADDED
+    random = np.random.default_rng(2)
+    letters = list("aB3 \n\t.,'’éß😀漢\u00a0\u200b<|>_") + ["n't", "  ", "endoftext", "the", " of"]
+    texts = ["".join(random.choice(letters, random.integers(0, 60))) for _ in range(500)]
+    for token in ADDED:
+        texts += [token, f"hello {token} x", f"{token}{token}", f"a{token}\n{token} b", token[:-1], f"{token[1:]} {token}", token.upper()]
+    for _, text in ROWS:
+        texts.append(text or "")
+    for text in texts:
+        assert list(packing._encoder(JSON)(text)) == encoded(text)[:-1], text
+
+
+def test_added_tokens_in_documents(spark):
+    rows = [(k, f"one {token} two") for k, token in enumerate(ADDED)]
+    pieces = packing.packed(spark.createDataFrame(rows, SCHEMA), JSON).collect()
+    found = defaultdict(list)
+    for p in sorted(pieces, key=lambda p: p.start):
+        found[p.doc_id] += np.frombuffer(p.ids, "<u4").tolist()
+    assert found == {k: encoded(text) for k, text in rows}
 
 
 @pytest.mark.parametrize(("dims", "levels"), [(2, 4), (3, 3), (4, 2)])
@@ -87,6 +105,6 @@ def test_alike_documents_have_near_points():
 
 
 def test_empty_table_and_clashing_columns(spark):
-    assert packing.packed(spark.createDataFrame([], SCHEMA), RANKS).count() == 0
+    assert packing.packed(spark.createDataFrame([], SCHEMA), JSON).count() == 0
     extra = spark.createDataFrame([(1, "a b", 5, "k")], SCHEMA + ", start int, key string")
-    assert [(p.doc_id, p.start) for p in packing.packed(extra, RANKS).collect()] == [(1, 0), (1, 2)]
+    assert [(p.doc_id, p.start) for p in packing.packed(extra, JSON).collect()] == [(1, 0), (1, 2)]
