@@ -33,7 +33,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences, with their token ids."""
-    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
