@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from contextlib import suppress
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 _POLL_SECONDS = 0.2
@@ -67,11 +68,16 @@ def replace_table(df: DataFrame, table: str, path: str | None = None, fmt: str =
     With a ``path`` the new rows are written completely into whichever of two
     directories the table does not point to, and the table is then pointed
     there: readers never see a half-written table, a failed rebuild leaves the
-    old one, and storage is bounded by two versions.
+    old one, and storage is bounded by two versions. Without one, ``table`` is a
+    view of a managed table that is written completely beforehand; Delta replaces
+    its tables in one commit by itself.
     """
     spark = df.sparkSession
+    if path is None and fmt == "delta":
+        df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+        return
     if path is None:
-        df.write.format(fmt).mode("overwrite").saveAsTable(table)
+        _replace_managed(df, table, fmt)
         return
 
     exists = spark.catalog.tableExists(table)
@@ -91,3 +97,30 @@ def replace_table(df: DataFrame, table: str, path: str | None = None, fmt: str =
 def _location(df: DataFrame, table: str) -> str:
     described = df.sparkSession.sql(f"DESCRIBE TABLE EXTENDED {table}")
     return described.filter("col_name = 'Location'").first()["data_type"]
+
+
+_VERSION = "rampline.version"  # the property of a view that names the table it shows
+
+
+def _replace_managed(df: DataFrame, table: str, fmt: str) -> None:
+    """Write a version of its own, then point the view ``table`` there in one step of the catalog.
+
+    The version shown before is kept for readers that are still at it; older ones, and
+    those that a failed rebuild left, are dropped.
+    """
+    spark = df.sparkSession
+    schema, _, name = table.rpartition(".")
+    version = f"{name}__v_{uuid.uuid4().hex[:12]}"
+    df.write.format(fmt).saveAsTable(f"{schema}.{version}" if schema else version)
+    previous = None
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "VIEW":
+            shown = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == _VERSION).first()
+            previous = shown["value"] if shown else None
+        else:  # a plain table of the time before there were versions
+            spark.sql(f"DROP TABLE {table}")
+    qualified = f"{schema}.{version}" if schema else version
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT * FROM {qualified}")
+    listed = spark.sql(f"SHOW TABLES {f'IN {schema} ' if schema else ''}LIKE '{name}__v_*'")
+    for row in listed.filter(~F.col("tableName").isin(version, previous or version)).collect():
+        spark.sql(f"DROP TABLE IF EXISTS {f'{schema}.' if schema else ''}{row['tableName']}")
