@@ -75,7 +75,7 @@ def test_source_mix(outputs):
 
 
 def test_pack(outputs):
-    encode = packing._encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encode = packing._encoder(public_tokenizers.path("byte_bpe_50k.json"))
     want, got = Counter(), Counter()
     for d, text, _ in rows_of(outputs[4]):
         want.update((d, i) for i in [*encode(text or ""), 0])
