@@ -1,21 +1,27 @@
 """Embedding near-duplicates by product quantisation with an exact rerank.
 
 Coarse centroids cut the vectors into lists, and each vector is kept as its list and one
-code per subspace of its residual. A query reads every list within
-its reach: a point nearer to centroid b than to its own a lies beyond the plane between
-them, so if that plane is further away than a neighbour can be, list b is left out and
-nothing is lost. Neither is it if the centroid is further away than the list's radius and
-the reach together. Within a list, distances to the codes are sums of table entries; a
-code's own error, stored with it, bounds how far its vector may be nearer than its code, so
-this step loses nothing either. What it leaves is compared by exact cosine in double
-precision. So every pair at the limit or above is found, from both sides, and none below.
-
-Equal vectors are made one first, with their number. Lists are cut into blocks of bounded
-size, a task holds one block of members and streams the queries, and links leave as counts
-and as stars, never as all pairs.
-
-Centroids and codes are fitted on a sample of at most ``SAMPLE`` vectors; everything else
-covers every row. The number of lists grows with the square root of the number of vectors.
+code per subspace of its residual. A neighbour of a query that is nearer to centroid b than
+to the query's own a lies beyond the plane between them, so a query reads the lists whose
+planes are no further away than the probe depth. The depth is measured, not guessed: up to
+``ASKED`` vectors are compared exactly with all rows, and it reaches the planes of all but one
+in 10,000 of the pairs found, and a quarter further; nor is it less than what pairs made
+right at the limit, in random directions, need. It never passes the limit's own distance,
+beyond which no neighbour lies. A list whose radius ends before a neighbour can be is left
+out as well. Within a list, distances to the codes are sums of table entries; a code's own
+error, stored with it, bounds how far its vector may be nearer than its code, so this step
+loses nothing. What it leaves is compared by exact cosine in double precision. So nearly all
+pairs at the limit or above are found, and none below.
+
+A pair that is found from one end only counts for both. Equal vectors are made one first,
+with their number. Lists are cut into blocks of bounded size, a task holds one block of
+members and streams the queries, and links leave as counts and as stars, never as all pairs.
+
+Centroids and codes are fitted on a sample of at most ``SAMPLE`` vectors and ``PER_LIST`` a
+list; everything else covers every row. The number of lists grows with the square root of
+the number of vectors, up to ``MOST_LISTS``, which bounds what the driver and each task hold;
+past that number's square, 16.7 million vectors, lists grow longer instead. No row is lost
+by that, but a list costs its length times its queries.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components link
 with nothing, and so do vectors of different lengths. Long or short vectors are scaled
@@ -38,7 +44,13 @@ from rampline.llm.components import components, local_roots
 
 LEAST_COSINE = 0.9
 SAMPLE = 50_000
+PER_LIST = 64
 MOST_LISTS = 4096
+ASKED = 2048  # vectors that the probe depth is measured with
+MISSED = 1e-4  # share of the measured pairs that may lie beyond it
+RANDOM_MISSED = 1e-3  # the same, of pairs made at the limit
+HEADROOM = 1.25
+BINS = 256
 SUBSPACES = 8
 CODES = 256
 FIT_ROUNDS = 8
@@ -51,15 +63,25 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1), 0.0)
 
 
+def _in_blocks(rows: int, columns: int) -> Iterator[slice]:
+    """Slices of rows whose matrix of so many columns stays within 16 MB."""
+    step = max(1, (1 << 21) // max(1, columns))
+    return (slice(at, at + step) for at in range(0, rows, step))
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    parts = [_distances(x[some], centres).argmin(1) for some in _in_blocks(len(x), len(centres))]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
 def _fit(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     """Centres of ``x`` by Lloyd's rounds."""
     pick = np.random.default_rng(seed)
     centres = x[pick.choice(len(x), k, replace=k > len(x))].copy()
     for _ in range(FIT_ROUNDS):
-        nearest = _distances(x, centres).argmin(1)
+        nearest = _nearest(x, centres)
         count = np.bincount(nearest, minlength=k)
-        total = np.zeros_like(centres)
-        np.add.at(total, nearest, x)
+        total = np.stack([np.bincount(nearest, column, k) for column in x.T], 1)
         centres[count > 0] = total[count > 0] / count[count > 0, None]
     return centres
 
@@ -69,28 +91,59 @@ class Quantiser:
 
     def __init__(self, sample: np.ndarray, lists: int) -> None:
         self.coarse = _fit(sample, lists, 1)
-        residual = sample - self.coarse[_distances(sample, self.coarse).argmin(1)]
+        residual = sample - self.coarse[_nearest(sample, self.coarse)]
         self.parts = np.array_split(np.arange(sample.shape[1]), min(SUBSPACES, sample.shape[1]))
         self.books = [_fit(residual[:, p], min(CODES, max(1, len(sample))), 2 + i) for i, p in enumerate(self.parts)]
-        gaps = np.sqrt(_distances(self.coarse, self.coarse))
-        self.gaps = np.where(gaps > 0, gaps, np.inf)
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """List, codes, error of each code, and squared distances to all centroids."""
-        far = _distances(x, self.coarse)
-        own = far.argmin(1)
+        """List, codes, error of each code, and distance to the list's centroid."""
+        own = _nearest(x, self.coarse)
         residual = x - self.coarse[own]
-        codes = np.stack([_distances(residual[:, p], b).argmin(1) for p, b in zip(self.parts, self.books, strict=True)], 1)
+        codes = np.stack([_nearest(residual[:, p], b) for p, b in zip(self.parts, self.books, strict=True)], 1)
         rebuilt = np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], 1)
-        return own, codes.astype(np.uint8), np.linalg.norm(residual - rebuilt, axis=1), far
+        return own, codes.astype(np.uint8), np.linalg.norm(residual - rebuilt, axis=1), np.linalg.norm(residual, axis=1)
 
-    def lists_in_reach(self, own: np.ndarray, far: np.ndarray, radius: np.ndarray, reach: float) -> np.ndarray:
-        """Whether each query reads each list: every one that may hold a vector within ``reach``.
+    def lists_to_read(
+        self, x: np.ndarray, own: np.ndarray, radius: np.ndarray, depth: float, reach: float
+    ) -> list[np.ndarray]:
+        """The lists that each query reads: planes within ``depth``, and vectors within ``reach``.
 
         ``radius`` is the distance of each list's furthest vector from its centroid, negative if it has none.
         """
-        beyond = (far - far[np.arange(len(own)), own][:, None]) / (2 * self.gaps[own])
-        return (beyond <= reach + SLACK) & (np.sqrt(far) - radius <= reach + SLACK) & (radius >= 0)
+        out = []
+        for some in _in_blocks(len(x), len(self.coarse)):
+            far = _distances(x[some], self.coarse)
+            gaps = np.sqrt(_distances(self.coarse[own[some]], self.coarse))
+            beyond = (far - far[np.arange(len(far)), own[some]][:, None]) / np.where(gaps > 0, 2 * gaps, np.inf)
+            near = (beyond <= depth + SLACK) & (np.sqrt(far) - radius <= reach + SLACK) & (radius >= 0)
+            near[np.arange(len(far)), own[some]] = True
+            out += [np.flatnonzero(row).astype(np.int32) for row in near]
+        return out
+
+    def depth_of(self, x: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """How far each vector is from the plane between its list and one other."""
+        out = np.empty(len(x))
+        for some in _in_blocks(len(x), x.shape[1]):
+            a, b = self.coarse[own[some]], self.coarse[other[some]]
+            gaps = np.linalg.norm(b - a, axis=1)
+            further = (b**2).sum(1) - (a**2).sum(1) - 2 * ((b - a) * x[some]).sum(1)
+            out[some] = further / np.where(gaps > 0, 2 * gaps, np.inf)
+        return out
+
+    def pair_depth(self, x: np.ndarray, x_own: np.ndarray, y: np.ndarray, y_own: np.ndarray) -> np.ndarray:
+        """The probe depth at which one end of each pair finds the other."""
+        return np.maximum(0.0, np.minimum(self.depth_of(x, x_own, y_own), self.depth_of(y, y_own, x_own)))
+
+    def random_depth(self, x: np.ndarray, cosine: float) -> float:
+        """The probe depth for neighbours right at the limit, in random directions."""
+        if x.shape[1] < 2:
+            return 0.0
+        aside = np.random.default_rng(5).normal(size=x.shape)
+        aside -= (aside * x).sum(1, keepdims=True) * x
+        aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-30)
+        y = cosine * x + np.sqrt(max(0.0, 1 - cosine**2)) * aside
+        need = self.pair_depth(x, _nearest(x, self.coarse), y, _nearest(y, self.coarse))
+        return float(np.quantile(need, 1 - RANDOM_MISSED))
 
     def tables(self, residual: np.ndarray) -> np.ndarray:
         """Squared distances of queries' residuals to every code: subspaces x queries x codes."""
@@ -125,12 +178,11 @@ def _encoder(quantiser: Quantiser):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own, codes, error, far = quantiser.encode(_matrix(batch["v"]))
+            own, codes, error, away = quantiser.encode(_matrix(batch["v"]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["rep"], batch["n"], batch["v"], pa.array(own, pa.int32()),
-                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
-                    pa.array(np.sqrt(far[np.arange(len(own)), own])),
+                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(away),
                 ],
                 ["rep", "n", "v", "list", "codes", "error", "away"],
             )
@@ -138,15 +190,62 @@ def _encoder(quantiser: Quantiser):
     return encode
 
 
-def _asker(quantiser: Quantiser, radius: np.ndarray, cosine: float):
+def _measurer(quantiser: Quantiser, asked: np.ndarray, reps: np.ndarray, cosine: float):
+    """Counts pairs of the ``asked`` with all rows by the probe depth that they need, in parts of the reach."""
+    home = _nearest(asked, quantiser.coarse)
+    reach = max(_reach(cosine), SLACK)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(BINS + 1, np.int64)
+        for batch in batches:
+            x, rep, own = _matrix(batch["v"]), batch["rep"].to_numpy(), batch["list"].to_numpy()
+            for some in _in_blocks(len(x), len(asked)):
+                row, column = np.nonzero(x[some] @ asked.T >= cosine)
+                row += some.start
+                other = rep[row] != reps[column]
+                row, column = row[other], column[other]
+                apart = own[row] != home[column]
+                count[0] += np.count_nonzero(~apart)
+                row, column = row[apart], column[apart]
+                for part in _in_blocks(len(row), x.shape[1]):
+                    r, c = row[part], column[part]
+                    need = quantiser.pair_depth(x[r], own[r], asked[c], home[c])
+                    bins = np.minimum(np.ceil(need / reach * BINS), BINS).astype(np.int64)
+                    count += np.bincount(bins, minlength=BINS + 1)
+        seen = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(count[seen])], ["bin", "pairs"])
+
+    return measure
+
+
+def probe_depth(coded: DataFrame, quantiser: Quantiser, cosine: float) -> float:
+    """How far the planes of the lists to read may be, as measured; see the module."""
+    total = coded.count()
+    picked = coded.select("rep", "v").sample(min(1.0, 1.5 * ASKED / max(1, total)), 13).limit(ASKED).toArrow()
+    if not picked.num_rows:
+        picked = coded.select("rep", "v").limit(ASKED).toArrow()
+    asked = _matrix(picked["v"].combine_chunks())
+    measure = _measurer(quantiser, asked, picked["rep"].to_numpy(), cosine)
+    counted = coded.select("rep", "v", "list").mapInArrow(measure, "bin int, pairs long")
+    count = np.zeros(BINS + 1, np.int64)
+    for row in counted.groupBy("bin").agg(F.sum("pairs").alias("pairs")).collect():  # at most BINS + 1 rows
+        count[row["bin"]] = row["pairs"]
+    reach = _reach(cosine)
+    below = np.cumsum(count) >= (1 - MISSED) * count.sum()
+    measured = HEADROOM * reach * below.argmax() / BINS
+    return min(reach, max(measured, quantiser.random_depth(asked, cosine)))
+
+
+def _asker(quantiser: Quantiser, radius: np.ndarray, depth: float, cosine: float):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            far = _distances(_matrix(batch["v"]), quantiser.coarse)
-            near = quantiser.lists_in_reach(batch["list"].to_numpy(), far, radius, _reach(cosine))
-            lists = pa.array([np.flatnonzero(row).astype(np.int32) for row in near], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["rep"], batch["v"], lists], ["rep", "v", "lists"])
+            lists = quantiser.lists_to_read(_matrix(batch["v"]), batch["list"].to_numpy(), radius, depth, _reach(cosine))
+            kept = [batch[c] for c in ("rep", "n", "v", "list", "codes", "error")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(lists, pa.list_(pa.int32()))], ["rep", "n", "v", "home", "codes", "error", "lists"]
+            )
 
     return ask
 
@@ -172,11 +271,20 @@ def _prober(quantiser: Quantiser, cosine: float):
             self.codes = np.frombuffer(b"".join(whole["codes"].to_pylist()), np.uint8).reshape(len(self.rep), -1)
             self.error = whole["error"].to_numpy()
             self.root = np.arange(len(self.rep))
-            self.linked = np.zeros(len(self.rep), bool)
+            # which lists each member reads itself, as sorted numbers
+            lists = whole["lists"].combine_chunks()
+            reader = np.repeat(self.root, lists.value_lengths().to_numpy())
+            self.reads = np.sort(reader * len(quantiser.coarse) + lists.flatten().to_numpy())
+            self.unasked = np.zeros(len(self.rep), np.int64)
             self.parts = None
 
-        def probe(self, rep: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """Places of linked queries and members, and how many vectors each query is linked to here."""
+        def probe(
+            self, rep: np.ndarray, x: np.ndarray, count: np.ndarray, home: np.ndarray
+        ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Places of linked queries and members, and how many vectors each query is linked to here.
+
+            A member that does not read the query's list counts the query here, as it will not find it.
+            """
             tables = quantiser.tables(x - quantiser.coarse[self.list]).astype(np.float32)
             far = tables[0][:, self.codes[:, 0]]
             for i in range(1, len(tables)):
@@ -188,6 +296,10 @@ def _prober(quantiser: Quantiser, cosine: float):
                 exact[part] = np.einsum("ij,ij->i", x[query[part]], self.x[member[part]])
             good = (exact >= cosine) & (rep[query] != self.rep[member])
             query, member = query[good], member[good]
+            wanted = member * len(quantiser.coarse) + home[query]
+            at = np.minimum(np.searchsorted(self.reads, wanted), len(self.reads) - 1)
+            missed = self.reads[at] != wanted
+            np.add.at(self.unasked, member[missed], count[query[missed]])
             return query, member, np.bincount(query, self.n[member], len(rep)).astype(np.int64)
 
         def stars(self, rep: np.ndarray, query: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,9 +314,11 @@ def _prober(quantiser: Quantiser, cosine: float):
             self.root = smallest[joined[first:]]
             return rep[asked], self.rep[smallest[joined[:first]]]
 
-        def close(self) -> tuple[np.ndarray, np.ndarray]:
+        def close(self) -> Iterator[pa.RecordBatch]:
             moved = np.flatnonzero(self.root != np.arange(len(self.root)))
-            return self.rep[moved], self.rep[self.root[moved]]
+            yield rows(self.rep[moved], self.rep[self.root[moved]])
+            counted = np.flatnonzero(self.unasked)
+            yield rows(self.rep[counted], n=self.unasked[counted])
 
     def rows(a: np.ndarray, b: np.ndarray | None = None, n: np.ndarray | None = None) -> pa.RecordBatch:
         empty = pa.nulls(len(a), pa.int64())
@@ -223,7 +337,7 @@ def _prober(quantiser: Quantiser, cosine: float):
             for begin, end in zip([0, *cuts], [*cuts, len(number)], strict=True):
                 if at != (number[begin], part[begin]):
                     if block is not None and block.parts is None:
-                        yield rows(*block.close())
+                        yield from block.close()
                     block, at = Block(int(number[begin])), (number[begin], part[begin])
                 piece = batch.slice(begin, end - begin)
                 if not asks[begin]:
@@ -236,12 +350,12 @@ def _prober(quantiser: Quantiser, cosine: float):
                 for start in range(0, end - begin, QUERIES_AT_ONCE):
                     some = piece.slice(start, QUERIES_AT_ONCE)
                     rep = some["rep"].to_numpy()
-                    query, member, n = block.probe(rep, _matrix(some["v"]))
+                    query, member, n = block.probe(rep, _matrix(some["v"]), some["n"].to_numpy(), some["home"].to_numpy())
                     if len(query):
                         yield rows(rep[n > 0], n=n[n > 0])
                         yield rows(*block.stars(rep, query, member))
         if block is not None and block.parts is None:
-            yield rows(*block.close())
+            yield from block.close()
 
     return probe
 
@@ -250,10 +364,12 @@ def _links(reps: DataFrame, cosine: float) -> DataFrame:
     """(a, b, n) among distinct vectors of one length."""
     spark = reps.sparkSession
     total = reps.count()
-    sample = reps.select("v").sample(min(1.0, 1.2 * SAMPLE / max(1, total)), 7).limit(SAMPLE).toArrow()
+    lists = int(np.clip(np.sqrt(total), 1, MOST_LISTS))
+    size = min(SAMPLE, max(PER_LIST * lists, PER_LIST * CODES))
+    sample = reps.select("v").sample(min(1.0, 1.2 * size / max(1, total)), 7).limit(size).toArrow()
     if not sample.num_rows:
-        sample = reps.select("v").limit(SAMPLE).toArrow()
-    lists = int(np.clip(np.sqrt(total), 1, min(MOST_LISTS, sample.num_rows)))
+        sample = reps.select("v").limit(size).toArrow()
+    lists = min(lists, sample.num_rows)
     quantiser = Quantiser(_matrix(sample["v"].combine_chunks()), lists)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = reps.schema["v"].dataType.simpleString()
@@ -266,16 +382,21 @@ def _links(reps: DataFrame, cosine: float) -> DataFrame:
     for row in sizes.collect():  # at most MOST_LISTS rows
         radius[row["list"]] = row["radius"]
     sizes = F.broadcast(sizes.drop("radius"))
-    members = coded.join(sizes, "list").select(
+    ask = _asker(quantiser, radius, probe_depth(coded, quantiser, cosine), cosine)
+    # written, so that members and queries agree on who reads what
+    asking = f"rep long, n long, v {kind}, home int, codes binary, error double, lists array<int>"
+    asking = written(coded.mapInArrow(ask, asking), "pq-asking")
+    members = asking.withColumn("list", F.col("home")).join(sizes, "list").select(
         "list", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"),
-        "rep", "n", "v", "codes", "error",
+        "rep", "n", "v", "codes", "error", "lists",
     )
     queries = (
-        coded.select("rep", "v", "list")
-        .mapInArrow(_asker(quantiser, radius, cosine), f"rep long, v {kind}, lists array<int>")
-        .select("rep", "v", F.explode("lists").alias("list"))
+        asking.select("rep", "n", "v", "home", F.explode("lists").alias("list"))
         .join(sizes, "list")
-        .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "rep", "v")
+        .select(
+            "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"),
+            "rep", "n", "v", "home",
+        )
     )
     return (
         members.unionByName(queries, allowMissingColumns=True)
