@@ -334,6 +334,8 @@ ORACLES = {
         UNION ALL SELECT 'outgoing', reasons, count(*) FROM readings WHERE reasons <> '' GROUP BY 2""",
     "evolved_bronze": f"""WITH {_EVOLVED}
         SELECT site, rack, phase, mistyped AS rescued, count(*) AS payloads FROM wider GROUP BY ALL""",
+    "evolved_managed_bronze": f"""WITH {_EVOLVED}
+        SELECT site, rack, phase, mistyped AS rescued, count(*) AS payloads FROM wider GROUP BY ALL""",
     "evolved_quarantine": f"""WITH {_EVOLVED}
         SELECT site, rack, reasons, count(*) AS payloads FROM wider WHERE reasons <> '' GROUP BY ALL""",
 }

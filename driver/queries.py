@@ -495,13 +495,13 @@ def efficiency_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ----------------------------------------------------------------------
 
 _streamed: dict[tuple[str, str], Pipeline] = {}
-_evolved: dict[tuple[str, str], Pipeline] = {}
+_evolved: dict[tuple[str, str, bool], Pipeline] = {}
 
 
-def _pipeline(spark: SparkSession, purpose: str) -> Pipeline:
+def _pipeline(spark: SparkSession, purpose: str, managed: bool = False) -> Pipeline:
     folder = work_folder(spark, purpose)
     tag = f"{purpose}_{folder[-12:]}"
-    layout = Layout(root=f"{folder}/volumes", table_root=f"{folder}/tables")
+    layout = Layout(root=f"{folder}/volumes", table_root=None if managed else f"{folder}/tables")
     names = {f"{part}_schema": f"{tag}_{part}" for part in ("bronze", "silver", "gold", "ops")}
     return Pipeline(layout=layout, **names)
 
@@ -531,18 +531,22 @@ def streamed(spark: SparkSession, sf_dir: str) -> Pipeline:
     return _streamed[key]
 
 
-def evolved(spark: SparkSession, sf_dir: str) -> Pipeline:
-    """Two deliveries, the second with fields at every level that the first does not have."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def evolved(spark: SparkSession, sf_dir: str, managed: bool = False) -> Pipeline:
+    """Two deliveries, the second with fields at every level that the first does not have.
+
+    The managed tables' files of the first delivery are in the archive by the second.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, managed)
     if key not in _evolved or not views.KEEP_TABLES:
-        pipeline = _pipeline(spark, "evolution")
+        pipeline = _pipeline(spark, "managed" if managed else "evolution", managed)
+        archive = f"{pipeline.layout.root}/archive" if managed else None
         lines = views.payload_lines(spark, sf_dir)
         site = F.concat(F.lit('{"site":'), F.col("event_id") % 7, F.lit(","), F.expr("substring(value, 2)"))
         wider = F.replace(site, F.lit('"metadata":{'), F.lit('"metadata":{"rack":"r1",'))
         wider = F.replace(wider, F.lit('"snapshots":[{'), F.lit('"snapshots":[{"phase":3,'))
         for attempt, delivery in enumerate((lines.filter("copy = 1"), lines.filter("copy = 2").withColumn("value", wider)), 1):
             _deliver(delivery, pipeline)
-            run_bronze(spark, pipeline, f"run-{attempt}")
+            run_bronze(spark, pipeline, f"run-{attempt}", archive=archive)
             run_silver(spark, pipeline)
         _evolved[key] = pipeline
     return _evolved[key]
@@ -551,7 +555,16 @@ def evolved(spark: SparkSession, sf_dir: str) -> Pipeline:
 @query
 def evolved_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New fields of payloads, of their metadata and of their readings, as bronze columns."""
-    table = spark.table(evolved(spark, sf_dir).bronze())
+    return _new_fields(spark.table(evolved(spark, sf_dir).bronze()))
+
+
+@query
+def evolved_managed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a managed table, with an archive of the files that were read."""
+    return _new_fields(spark.table(evolved(spark, sf_dir, managed=True).bronze()))
+
+
+def _new_fields(table: DataFrame) -> DataFrame:
     return table.groupBy(
         "site", F.col("metadata.rack").alias("rack"), F.get("snapshots", 0)["phase"].alias("phase"),
         F.col("rescued_data").isNotNull().alias("rescued"),

@@ -78,8 +78,9 @@ def build_parser() -> argparse.ArgumentParser:
                 "--infer-schema",
                 action=argparse.BooleanOptionalAction,
                 default=True,
-                help="add new fields as columns; needs external tables",
+                help="add new fields as columns",
             )
+            options.add_argument("--archive", help="where landing files move that are done with; they stay if unset")
             options.add_argument("--infer-since", help="look only at files modified after, such as 2026-01-02T00:00:00")
         if stage == "silver":
             options.add_argument("--strict-numbers", action="store_true", help="name values that are no numbers")
@@ -113,6 +114,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             infer_since=args.infer_since,
             max_bytes=args.max_bytes,
             max_files=args.max_files,
+            archive=args.archive,
         )
     elif args.stage == "silver":
         run_silver(

@@ -15,7 +15,13 @@ DEFAULT_SPREAD = 64
 REMEMBERED_KEYS = 256
 
 
-def first_seen(df: DataFrame, keys: Sequence[str], spread: int = DEFAULT_SPREAD) -> DataFrame:
+def first_seen(
+    df: DataFrame,
+    keys: Sequence[str],
+    spread: int = DEFAULT_SPREAD,
+    within: str | None = None,
+    arrived: Column | None = None,
+) -> DataFrame:
     """First arrival wins, across runs when ``df`` is a stream.
 
     A batch combines the copies of a key before it shuffles. A stream does not:
@@ -27,8 +33,20 @@ def first_seen(df: DataFrame, keys: Sequence[str], spread: int = DEFAULT_SPREAD)
     * for rows with a variant, a pass of its own per (key, slice of the input
       tasks), which leaves at most ``spread`` rows of a key. It costs a state
       entry per key and slice, so it is for dimensions, not for facts.
+
+    State grows with the keys for ever, unless a stream is told ``within`` what time, such as
+    ``30 days``, copies come: a key is remembered at least that long after its first row, until
+    a micro-batch has shown that more time has passed, and a copy that comes after that is
+    kept like a first row. The time is that of arrival, ``arrived`` or else the
+    moment of the micro-batch, never that of the reading: a watermark on arrival falls behind no
+    row, so that however old a reading is, its first row is kept. ``arrived`` must not go
+    back between micro-batches.
     """
     keys = list(keys)
+    if within is not None:
+        if not df.isStreaming:
+            raise ValueError("only a stream forgets keys")
+        return _first_seen_within(df, keys, within, arrived)
     if df.isStreaming:
         if any(isinstance(field.dataType, VariantType) for field in df.schema):
             sliced = df.withColumn("_slice", F.spark_partition_id() % spread)
@@ -38,6 +56,13 @@ def first_seen(df: DataFrame, keys: Sequence[str], spread: int = DEFAULT_SPREAD)
     return df.dropDuplicates(keys)
 
 
+def _first_seen_within(df: DataFrame, keys: list[str], within: str, arrived: Column | None) -> DataFrame:
+    stamped = df.withColumn("_arrived", F.current_timestamp() if arrived is None else arrived)
+    if not any(isinstance(field.dataType, VariantType) for field in df.schema):
+        stamped = combine_copies(stamped, keys)
+    return stamped.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(keys).drop("_arrived")
+
+
 def combine_copies(df: DataFrame, keys: Sequence[str], remember: int = REMEMBERED_KEYS) -> DataFrame:
     """Drop copies that meet in one task: a map-side combine for streams.
 

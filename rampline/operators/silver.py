@@ -132,19 +132,20 @@ def normalize(readings: DataFrame, spread: int = DEFAULT_SPREAD) -> Normalized:
     )
 
 
-def normalize_cleaned(cleaned: Cleaned, spread: int = DEFAULT_SPREAD) -> Normalized:
+def normalize_cleaned(cleaned: Cleaned, spread: int = DEFAULT_SPREAD, within: str | None = None) -> Normalized:
     """Same tables, with the dimensions taken from payloads.
 
     A payload carries up to hundreds of thousands of readings that all agree on
     the dimension columns. Asking whether a payload has *an* accepted reading
     keeps the dimension rows identical and shuffles one row per payload where
-    :func:`normalize` shuffles one per reading.
+    :func:`normalize` shuffles one per reading. A stream that is told ``within`` what time
+    copies come forgets their keys after it; see :func:`first_seen`.
     """
     rows = unkeyed(cleaned)
     return Normalized(
-        fact=first_seen(rows.fact, contracts.FACT_KEY, spread),
-        tests=first_seen(rows.tests, contracts.TESTS_KEY, spread),
-        files=first_seen(rows.files, contracts.FILES_KEY, spread),
+        fact=first_seen(rows.fact, contracts.FACT_KEY, spread, within),
+        tests=first_seen(rows.tests, contracts.TESTS_KEY, spread, within),
+        files=first_seen(rows.files, contracts.FILES_KEY, spread, within),
     )
 
 

@@ -80,23 +80,34 @@ def infer_landing_schema(spark: SparkSession, path: str, location: str, since: s
 
 
 def add_new_columns(
-    spark: SparkSession, table: str, schema: StructType, path: str | None = None, fmt: str = "parquet"
+    spark: SparkSession, table: str, schema: StructType, fmt: str = "parquet"
 ) -> list[str]:
-    """Add the fields of ``schema`` that ``table`` lacks. Old rows read null.
+    """Add the fields of ``schema`` that ``table`` lacks, at every level. Old rows read null.
 
-    An external table, at ``path``, is registered anew over the same files and so
-    takes new fields at every level; a managed one takes new columns only.
+    Managed and external tables alike change in one step of the catalog, so there is no
+    moment without the table or with fewer fields. A Delta table takes new columns here, and
+    fields inside structs when it is written.
     """
     if not spark.catalog.tableExists(table):
         return []
     present = spark.table(table).schema
     added = [field for field in schema if field.name not in set(present.fieldNames())]
-    if path is not None:
-        wider = widened(present, schema)
-        if wider != widened(present, present):
-            spark.sql(f"DROP TABLE {table}")
-            spark.catalog.createTable(table, path, fmt, wider)
-    elif added:
-        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    if fmt == "delta":
+        if added:
+            columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in added)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    elif widened(present, schema) != widened(present, present):
+        _set_fields(spark, table, widened(present, schema))
     return [field.name for field in added]
+
+
+def _set_fields(spark: SparkSession, table: str, schema: StructType) -> None:
+    """The catalog's change behind ``ALTER TABLE ADD COLUMNS``, whose SQL has no words for fields of structs."""
+    parts = {column.name for column in spark.catalog.listColumns(table) if column.isPartition}
+    data = StructType([field for field in schema if field.name not in parts])
+    state = spark._jsparkSession.sessionState()
+    fields = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(data.json())
+    parts = state.sqlParser().parseMultipartIdentifier(table)  # of the session's catalog, which goes without saying
+    named = ".".join(f"`{parts.apply(at)}`" for at in range(max(0, parts.size() - 2), parts.size()))
+    state.catalog().alterTableDataSchema(state.sqlParser().parseTableIdentifier(named), fields)
+    spark.catalog.refreshTable(table)

@@ -38,17 +38,24 @@ def landing_lines(
     stream: bool = True,
     max_bytes: str | None = None,
     max_files: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Raw lines with the date of their directory.
 
     As a stream only files that no earlier run has seen are read, however old
-    they are. The source remembers every file it has read, so landing
-    directories that are done with should be moved away. The limits bound one
-    micro-batch, so that a backlog is worked off in pieces.
+    they are. The limits bound one micro-batch, so that a backlog is worked off in pieces.
+
+    With ``archive``, a directory outside of ``path`` on the same file system, each file
+    moves there under its full path when a later micro-batch, of this run or the next with
+    news, begins. So what a run has to list and infer from stays as small as the last batch
+    and the news. A file that has moved is
+    remembered by its name: one that lands under the same name again is not read.
     """
     reader = (spark.readStream if stream else spark.read).schema(_LINE_SCHEMA)
     if stream:
         reader = bounded(reader, max_bytes, max_files)
+        if archive is not None:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.text(path)
 
 

@@ -109,22 +109,21 @@ def run_bronze(
     infer_since: str | None = None,
     max_bytes: str | None = None,
     max_files: int | None = None,
+    archive: str | None = None,
 ) -> None:
     """Append the payloads that landed since the last run.
 
-    New fields widen the table if it is external. The fields of a managed table
-    are fixed below the top, and those of its quarantine even there, so with
-    managed tables new fields stay in ``rescued_data``.
+    New fields widen the table, managed or external. Files that are done with move
+    to ``archive``, if given; those of the last micro-batch move when later files are read.
     """
     table = attach(spark, pipeline, pipeline.bronze_schema, pipeline.bronze_table)
-    path = pipeline.layout.table_path(pipeline.bronze_schema, pipeline.bronze_table)
     location = pipeline.state.schema(pipeline.bronze_table)
-    if infer_schema and path is not None:
+    if infer_schema:
         schema = infer_landing_schema(spark, pipeline.landing_path, location, infer_since)
     else:
         schema = load_schema(spark, location)
-    add_new_columns(spark, table, schema, path, pipeline.fmt)
-    lines = landing_lines(spark, pipeline.landing_path, max_bytes=max_bytes, max_files=max_files)
+    add_new_columns(spark, table, schema, pipeline.fmt)
+    lines = landing_lines(spark, pipeline.landing_path, max_bytes=max_bytes, max_files=max_files, archive=archive)
     rows = to_bronze(lines, run_id, schema)
     drain([_append(spark, pipeline, rows, pipeline.bronze_schema, pipeline.bronze_table, pipeline.bronze_table)])
     logger.info("ingested new landing files into %s, run %s", table, run_id)
@@ -151,8 +150,7 @@ def run_silver(
         (cleaned.incoming_quarantine, pipeline.incoming_quarantine),
         (cleaned.outgoing_quarantine, pipeline.outgoing_quarantine),
     ):
-        path = pipeline.layout.table_path(pipeline.ops_schema, table)
-        add_new_columns(spark, attach(spark, pipeline, pipeline.ops_schema, table), df.schema, path, pipeline.fmt)
+        add_new_columns(spark, attach(spark, pipeline, pipeline.ops_schema, table), df.schema, pipeline.fmt)
         # quarantine state is keyed by the full table name, silver state by the bare one
         starters.append(_append(spark, pipeline, df, pipeline.ops_schema, table, pipeline.quarantine(table)))
     for df, table, key in (

@@ -47,6 +47,59 @@ def test_stream_keeps_one_row_per_key_across_runs(spark, tmp_path, variant):
     assert len(kept) == len(first) and (kept["v_then"] == kept["v_now"]).all()
 
 
+@pytest.mark.parametrize("variant", [False, True])
+def test_only_copies_within_the_bound_go(spark, tmp_path, variant):
+    """Deliveries on days 0, 2 and 9, the first two within three days of each other, and later ones."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    state = []
+
+    def deliver(day, keys):
+        at = F.timestamp_add("DAY", F.lit(day), F.lit("2026-01-01 00:00:00").cast("timestamp"))
+        rows = spark.createDataFrame([(k, 0, float(day)) for k in keys], "k string, at long, v double")
+        rows.withColumn("came", at).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k string, at long, v double, came timestamp").parquet(source)
+        if variant:
+            stream = stream.withColumn("more", F.parse_json(F.lit("{}")))
+        kept = first_seen(stream, KEYS, within="3 days", arrived=F.col("came")).select("k", "v")
+        query = (
+            kept.writeStream.format("parquet").option("checkpointLocation", f"{out}/cp")
+            .trigger(availableNow=True).start(f"{out}/data")
+        )
+        query.awaitTermination()
+        state.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        return sorted(map(tuple, spark.read.parquet(f"{out}/data").collect()))
+
+    assert deliver(0, ["a", "a", "b"]) == [("a", 0.0), ("b", 0.0)]
+    assert deliver(2, ["a", "c"]) == [("a", 0.0), ("b", 0.0), ("c", 2.0)]  # a copy inside the bound goes
+    # "old" was read long ago, but it is the first row of its key to arrive
+    assert deliver(9, ["d", "old"]) == [("a", 0.0), ("b", 0.0), ("c", 2.0), ("d", 9.0), ("old", 9.0)]
+    # "a" was forgotten with day 9; no micro-batch has yet shown that the time of "d" is over
+    last = deliver(20, ["a", "d"])
+    assert last == [("a", 0.0), ("a", 20.0), ("b", 0.0), ("c", 2.0), ("d", 9.0), ("old", 9.0)]
+    assert deliver(21, ["a"]) == last
+    assert state[-1] <= 2  # what the bound has passed is forgotten
+    assert deliver(22, ["d"]).count(("d", 22.0)) == 1
+
+
+def test_only_streams_forget(spark):
+    with pytest.raises(ValueError, match="stream"):
+        first_seen(_rows(spark, 0, 9), KEYS, within="3 days")
+
+
+def test_moment_of_arrival_loses_no_first_row(spark, tmp_path):
+    """Readings far behind all others are no late rows."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for at in (10**9, 5, 10**8):
+        spark.createDataFrame([("k", at, 1.0)] * 3, "k string, at long, v double").write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k string, at long, v double").parquet(source)
+        query = (
+            first_seen(stream, KEYS, within="1 hour").writeStream.format("parquet")
+            .option("checkpointLocation", f"{out}/cp").trigger(availableNow=True).start(f"{out}/data")
+        )
+        query.awaitTermination()
+    assert sorted(r.at for r in spark.read.parquet(f"{out}/data").collect()) == [5, 10**8, 10**9]
+
+
 def _dedupe_operators(spark, source, out, schema, spread):
     stream = first_seen(spark.readStream.schema(schema).parquet(source), KEYS, spread)
     query = (
