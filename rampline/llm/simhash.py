@@ -7,15 +7,6 @@ the perfect binary Golay code [23,12,7]: a word within two bits of a codeword ha
 codeword only; a word three bits away has also the five codewords at distance four. Any two
 words one bit apart then share a codeword, whichever way their nearest ones fall.
 
-Near copies of whole documents, which differ in more bits, are found alike: by eight keys of
-a fuzzy segment and a few equal bits each, from fingerprints of word pairs. Rows of a key
-that are alike in 128 bits of their five-word shingles are candidates, and leave as stars.
-What candidates join is then compared by the shingles themselves, each pair with each, so no
-link rests on an estimate, and no partner is chosen before it is compared. Whether these
-keys bring a pair together depends on what was changed, so bands of minima of the shingles'
-hashes make candidates as well: they do with a probability of 0.9993 for any pair at the
-limit, whether words or blocks differ.
-
 Fingerprints are made distinct first, so exact copies are one row from then on. Within a
 key all pairs are compared, but a component leaves as a star, never as all its pairs.
 
@@ -260,7 +251,7 @@ def links(distinct: DataFrame) -> DataFrame:
     return _by_key(distinct.select("fp").mapInArrow(_keys, "key long, fp long"), ("fp",), BITS_APART)
 
 
-def groups(prints: DataFrame, find_links=links) -> tuple[DataFrame, DataFrame]:
+def groups(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The written (doc_id, text_hash, fp) of all rows, and (fp, component_id, keeper) of all fingerprints.
 
     ``keeper`` is the document with the smallest id, and of those without id, which come last,
@@ -268,9 +259,8 @@ def groups(prints: DataFrame, find_links=links) -> tuple[DataFrame, DataFrame]:
     """
     prints = written(prints, "sim-prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
-    more = [F.first(c).alias(c) for c in prints.columns if c not in ("doc_id", "text_hash", "fp")]
-    distinct = written(prints.groupBy("fp").agg(first.alias("first"), *more), "sim-distinct")
-    linked = components(find_links(distinct))
+    distinct = written(prints.groupBy("fp").agg(first.alias("first")), "sim-distinct")
+    linked = components(links(distinct))
     rooted = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
@@ -288,209 +278,14 @@ def components_of(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     )
 
 
-# ---- near copies of whole documents ---------------------------------------------------
-
-WIDE_SHINGLE = 5
-SIMILARITY = 0.8
-TABLES, TABLE_BITS = 8, 31  # a Golay segment of 23 bits and 8 equal bits each
-WIDE_WORDS = ("wide_a", "wide_b")
-# Sets alike to 0.8 agree in all minima of some band with a probability of 0.9993, to 0.85 nearly always.
-BANDS, BAND_MINIMA = 24, 6
-MINIMA_AT_ONCE = 4096
-WIDE = "doc_id long, text_hash long, fp long, wide_a long, wide_b long, near binary, bands array<long>"
-# Most documents, and characters, of a block whose documents one task compares with another's.
-BLOCK = 4096
-BLOCK_CHARS = 16_000_000
-
-
-def _majority(shingles: list[bytes], seeds: tuple[int, ...]) -> np.ndarray:
-    """128 bits for each seed; a bit is one if it is set in over half of the shingles' hashes."""
-    digest = xxhash.xxh3_128_digest
-    ones = np.zeros(128 * len(seeds), np.int64)
-    for at in range(0, len(shingles), SHINGLES_AT_ONCE):
-        part = shingles[at : at + SHINGLES_AT_ONCE]
-        hashed = b"".join([digest(s, seed) for s in part for seed in seeds])
-        bits = np.unpackbits(np.frombuffer(hashed, np.uint8).reshape(len(part), -1), axis=1)
-        ones += bits.sum(0, dtype=np.int64)
-    return 2 * ones > len(shingles)
-
-
-def _shingles(words: list[bytes], width: int) -> list[bytes]:
-    if len(words) <= width:
-        return [b" ".join(words)]
-    return [b" ".join(s) for s in zip(*[words[k:] for k in range(width)], strict=False)]
-
-
-def shingle_set(words: list[bytes]) -> np.ndarray:
-    """Sorted 64-bit hashes of the five-word shingles, each once."""
-    digest = xxhash.xxh3_64_intdigest
-    return np.unique(np.array([digest(s) for s in dict.fromkeys(_shingles(words, WIDE_SHINGLE))], np.uint64))
-
-
-def wide_fingerprint(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of the five-word shingles, which are compared, and 256 bits of word pairs, which are keys.
+# ---- one document of each group ----------------------------------------------------------
 
-    Pairs suffer less from a changed word than longer shingles do, so near copies agree in more
-    of their bits. Shingles found again in a text count once.
-    """
-    compared = _majority(list(dict.fromkeys(_shingles(words, WIDE_SHINGLE))), (0,))
-    return compared, _majority(list(dict.fromkeys(_shingles(words, 2))), (4, 5))
-
-
-@cache
-def _mixers() -> tuple[np.ndarray, np.ndarray]:
-    random = np.random.default_rng(SEED)
-    factor, term = random.integers(0, 1 << 64, (2, BANDS * BAND_MINIMA), np.uint64)
-    return factor | np.uint64(1), term
-
-
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """A key for each band of minima of a set: equal minima are as likely as the sets are alike."""
-    factor, term = _mixers()
-    least = np.full(len(factor), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), MINIMA_AT_ONCE):
-        np.minimum(least, (hashes[at : at + MINIMA_AT_ONCE, None] * factor + term).min(0), out=least)
-    digest = xxhash.xxh3_64_intdigest
-    keys = [digest(band.tobytes(), number) for number, band in enumerate(least.reshape(BANDS, -1))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
 
-
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
-
-
-def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [_words(t.as_py()) for t in batch["text"]]
-        prints = [wide_fingerprint(words) for words in texts]
-        compared = np.packbits(np.array([c for c, _ in prints], bool).reshape(-1, 128), axis=1).view(np.uint64)
-        near = np.packbits(np.array([k for _, k in prints], bool).reshape(-1, 256), axis=1)
-        # a name for the set of shingles
-        sets = [shingle_set(words) for words in texts]
-        node = [xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["doc_id"],
-                batch["text_hash"],
-                pa.array(np.array(node, np.uint64).view(np.int64)),
-                pa.array(compared[:, 0].copy().view(np.int64)),
-                pa.array(compared[:, 1].copy().view(np.int64)),
-                pa.array([k.tobytes() for k in near], pa.binary()),
-                pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
-            ],
-            ["doc_id", "text_hash", "fp", *WIDE_WORDS, "near", "bands"],
-        )
-
-
-def wide_fingerprints(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(_wide, WIDE)
-
-
-def _wide_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    place = 1 << np.arange(TABLE_BITS)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        near = np.frombuffer(b"".join(batch["near"].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-        bits = np.unpackbits(near, axis=1).astype(np.int64)
-        carried = [batch[c].to_numpy() for c in ("fp", *WIDE_WORDS)]
-        for table in range(TABLES):
-            word = bits[:, TABLE_BITS * table : TABLE_BITS * (table + 1)] @ place
-            rows, index = golay_keys(word & (1 << LENGTH) - 1)
-            key = (table << 20) | ((word >> LENGTH)[rows] << 12) | index
-            arrays = [pa.array(key), *(pa.array(c[rows]) for c in carried)]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "fp", *WIDE_WORDS])
-
-
-def bits_apart(similarity: float, bits: int, room: float) -> int:
-    """Most bits that sets with this Jaccard similarity differ in, with so many standard deviations of room.
-
-    A bit differs with a probability that is the angle between the sets' vectors.
-    """
-    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(bits * angle + room * np.sqrt(bits * angle * (1 - angle)))
-
-
-def _compared(similarity: float):
-    """Links, as stars, between the documents of two blocks, or of one."""
-
-    def compare(group: pa.Table) -> pa.Table:
-        node, block = group["fp"].to_numpy(), group["block"].to_numpy()
-        left, right = group["left"][0].as_py(), group["right"][0].as_py()
-        sets = [shingle_set(_words(t)) for t in group["text"].to_pylist()]
-        size = np.array([len(s) for s in sets])
-        known, ids = np.unique(np.concatenate(sets), return_inverse=True)
-        ids = np.split(ids, np.cumsum(size)[:-1])
-        held = np.zeros(len(known), np.int64)
-        place = np.arange(len(node))
-        root = place.copy()
-        for i in place[block == left]:
-            # what is linked already need not be compared, nor what is too short or too long
-            open_ = (place > i) if left == right else (block == right)
-            open_ &= (root != root[i]) & (np.minimum(size, size[i]) >= similarity * np.maximum(size, size[i]) - 1e-9)
-            others = np.flatnonzero(open_)
-            if not len(others):
-                continue
-            held[ids[i]] = 1
-            starts = np.cumsum(size[others]) - size[others]
-            shared = np.add.reduceat(held[np.concatenate([ids[j] for j in others])], starts)
-            held[ids[i]] = 0
-            good = others[shared >= similarity * (size[i] + size[others] - shared) - 1e-9]
-            if len(good):
-                joined = np.unique(np.append(root[good], root[i]))
-                root[np.isin(root, joined)] = joined[0]
-        moved = np.flatnonzero(root != place)
-        return pa.table({"a": node[moved], "b": node[root[moved]]})
-
-    return compare
-
-
-def exact_links(candidates: DataFrame, distinct: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of fingerprints whose sets of shingles are alike, among those that candidates (a, b) join.
-
-    All pairs of a component of candidates are compared, whichever of them are candidates
-    themselves. A large component is cut into blocks, and each pair of blocks is a task's own.
-    """
-    found = components(candidates)
-    found = written(found.union(found.select("root", "root").distinct()), "sim-candidates")
-    first = distinct.join(found, distinct["fp"] == found["node"]).select("fp", "root", "first.doc_id", "first.text_hash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), "text")
-    members = first.join(texts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
-    members = written(members.dropDuplicates(["fp"]).select("fp", "root", "text"), "sim-members")
-    chars = F.sum(F.coalesce(F.length("text"), F.lit(0)))
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, chars / BLOCK_CHARS, F.lit(1.0))).cast("int")
-    sizes = written(members.groupBy("root").agg(blocks.alias("blocks")), "sim-sizes")
-    dealt = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "fp", "text"
-    )
-    return dealt.groupBy("root", "left", "right").applyInArrow(_compared(similarity), "a long, b long")
-
-
-def band_links(distinct: DataFrame) -> DataFrame:
-    """(a, b) of fingerprints with a band in common: all of a band with its smallest."""
-    bands = distinct.select(F.explode("bands").alias("key"), F.col("fp").alias("a"))
-    least = bands.groupBy("key").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "b")
-    return bands.join(written(least, "sim-bands"), "key").where("a != b").select("a", "b")
-
-
-def wide_links(distinct: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) of fingerprints that bands or keys make candidates, and that are alike in their shingles."""
-    keys = distinct.drop("bands").mapInArrow(_wide_keys, "key long, fp long, wide_a long, wide_b long")
-    candidates = _by_key(keys, WIDE_WORDS, bits_apart(similarity, 128, 3)).union(band_links(distinct))
-    return exact_links(candidates, distinct, docs, similarity)
-
-
-def kept_only(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the keeper of its component.
-
-    Near copies have five-word shingles in common to at least ``similarity``, counted in the
-    texts themselves.
-    """
+def kept_only(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """``docs`` with one document of each component of linked fingerprints: its keeper."""
     if clash := [c for c in docs.columns if c.startswith(PREFIX)]:
         raise ValueError(f"columns {clash} carry the prefix of working columns")
-    prints, found = groups(wide_fingerprints(docs), lambda distinct: wide_links(distinct, docs, similarity))
+    prints, found = groups(fingerprints(docs, width))
     keepers = found.groupBy("keeper").agg(F.min("fp").alias("fp"))
     same = prints.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
     stay = keepers.select("keeper.doc_id", "keeper.text_hash").distinct()
