@@ -259,16 +259,3 @@ def sorted_suffixes(text: np.ndarray) -> Iterator[np.ndarray]:
             blocks.push(np.full(len(block), b), block)
         for b in range(len(level.bins)):
             yield blocks.pop(b)[:, 0]
-
-
-def shared_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
-    """Characters that the suffixes at ``a`` and ``b`` share, up to ``limit``; none beyond the end."""
-    shared = np.zeros(len(a), np.int64)
-    open_ = np.arange(len(a))
-    for k in range(limit):
-        open_ = open_[(np.maximum(a[open_], b[open_]) + k) < len(text)]
-        open_ = open_[text[a[open_] + k] == text[b[open_] + k]]
-        if not len(open_):
-            break
-        shared[open_] = k + 1
-    return shared

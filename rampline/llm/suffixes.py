@@ -8,8 +8,13 @@ anchors occur in one document only and end there.
 
 Of those that remain, segments equal to one of an earlier document go as a whole. What is
 left are segments with the same anchor and different surroundings, such as the ends of
-shared passages. The suffixes of these are sorted, by induction in external memory, and
-runs of suffixes that share ``LENGTH`` bytes show which strings an earlier document holds.
+shared passages. Their strings are cut into blocks by how far the anchor lies from the
+string's start; all strings of a block have some 40 bytes in common, its core, and only
+blocks whose core another document holds too go on, filed by the core. Of equal blocks the
+earliest speaks for the others. The suffixes of different blocks with equal cores are
+sorted, by induction in external memory, and runs of suffixes that share ``LENGTH`` bytes
+show which strings an earlier document holds. A core with more than ``HOT`` rows is not
+brought to one task: its blocks are taken apart into their strings, each filed by itself.
 
 Within a task the earliest holder of a segment speaks for the others, so a passage that a
 third of all documents share sends one row per task. Documents come together with what was
@@ -34,16 +39,19 @@ import pyspark.sql.functions as F
 import xxhash
 from pyspark.sql import DataFrame
 
-from rampline.llm.common import written
+from rampline.llm.common import small, written
 from rampline.llm.suffix_sort import sorted_suffixes
 
 LENGTH = 50
 GRAM = 8
-BEFORE, AFTER = 21, 30  # a string of LENGTH bytes has so many before its anchor, or so many from there on
+# How far a string starts before its anchor, first and last of each block.
+BLOCKS = ((0, 10), (11, 21), (22, 32), (33, LENGTH - GRAM))
 NO_ID = 2**63 - 1
 BYTES_AT_ONCE = 4_000_000
 SEGMENTS_PER_BLOCK = 1_000_000
 BYTES_PER_SHARD = 16_000_000
+BYTES_PER_SORT = 4_000_000
+HOT = 2_000  # rows with the same core that go to one task
 
 
 class Segments(NamedTuple):
@@ -52,8 +60,7 @@ class Segments(NamedTuple):
     anchor: np.ndarray  # hash of the anchor
     doc: np.ndarray  # place of the document
     at: np.ndarray  # where the anchor stands
-    before: np.ndarray  # 16 bits of the anchor and what stands before, 0 if too little does
-    after: np.ndarray  # 16 bits of the anchor and what follows, 0 if too little does
+    cores: np.ndarray  # 16 bits of the core of each block, 0 if the segment has no string of the block
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -62,13 +69,16 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _context(words: np.ndarray, at: np.ndarray, offsets: tuple[int, ...], whole: np.ndarray) -> np.ndarray:
-    """16 bits of the eight bytes at each of the offsets, never 0 where the context is ``whole``."""
-    found = np.zeros(len(at), np.uint64)
-    safe = np.where(whole, at, -min(offsets))
-    for offset in offsets:
-        found = _scrambled(found ^ words[np.clip(safe + offset, 0, len(words) - 1)])
-    return np.where(whole, found % np.uint64(65535) + np.uint64(1), np.uint64(0)).astype(np.uint16)
+def _cores(words: np.ndarray, begin: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """16 bits of the core of each block, never 0 where strings from ``begin`` to ``last`` belong to it."""
+    found = np.zeros((len(at), len(BLOCKS)), np.uint16)
+    for block, (near, far) in enumerate(BLOCKS):
+        own = np.flatnonzero((begin <= at - near) & (last >= at - far))
+        hashes = np.zeros(len(own), np.uint64)
+        for offset in [*range(-near, LENGTH - far - 8, 8), LENGTH - far - 8]:
+            hashes = _scrambled(hashes ^ words[at[own] + offset])
+        found[own, block] = hashes % np.uint64(65535) + np.uint64(1)
+    return found
 
 
 def segments(texts: list[bytes]) -> tuple[bytes, Segments]:
@@ -78,7 +88,7 @@ def segments(texts: list[bytes]) -> tuple[bytes, Segments]:
     n = len(raw) - LENGTH + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return raw, Segments(none, none, none.astype(np.uint64), none, none, none.astype(np.uint16), none.astype(np.uint16))
+        return raw, Segments(none, none, none.astype(np.uint64), none, none, np.zeros((0, len(BLOCKS)), np.uint16))
     words = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
     least = hashes = _scrambled(words)
     at, width, most = np.arange(len(hashes), dtype=np.int32), 1, LENGTH - GRAM + 1
@@ -95,10 +105,7 @@ def segments(texts: list[bytes]) -> tuple[bytes, Segments]:
     begin = np.flatnonzero(new & inside)
     stops = np.flatnonzero(inside & np.append(new[1:] | ~inside[1:], True))
     anchor, doc = at[begin].astype(np.int64), doc[begin]
-    ends = np.cumsum(sizes)[doc]
-    before = _context(words, anchor, (-21, -13, -5, 0), anchor - BEFORE >= ends - sizes[doc])
-    after = _context(words, anchor, (0, 8, 16, 22), anchor + AFTER <= ends)
-    return raw, Segments(begin, stops + LENGTH, hashes[anchor], doc, anchor, before, after)
+    return raw, Segments(begin, stops + LENGTH, hashes[anchor], doc, anchor, _cores(words, begin, stops, anchor))
 
 
 def _names(raw: bytes, found: Segments) -> np.ndarray:
@@ -125,7 +132,7 @@ def _bytes_of(column: pa.Array) -> list[bytes]:
 
 # ---- which segments are shared --------------------------------------------------------
 
-BLOCK = "shard int, anchors binary, names binary, contexts binary, at binary, docs binary, hashes binary"
+BLOCK = "shard int, anchors binary, names binary, cores binary, at binary, docs binary, hashes binary"
 
 
 def _blocks(shards: int):
@@ -135,21 +142,21 @@ def _blocks(shards: int):
     whatever the others hold, which is sent as a block without anchors.
     """
 
-    def block(shard: int, anchors, names, contexts, at, docs, hashes) -> tuple:
+    def block(shard: int, anchors, names, cores, at, docs, hashes) -> tuple:
         own, at = np.unique(at, return_inverse=True)
         at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32).tobytes()
         if anchors is None:
             return shard, None, names.tobytes(), None, at, docs[own].tobytes(), hashes[own].tobytes()
         # 40 bits of an anchor do within a shard: anchors taken for equal are only compared in vain
         short = (anchors >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-        return shard, short, names.tobytes(), contexts.tobytes(), at, docs[own].tobytes(), hashes[own].tobytes()
+        return shard, short, names.tobytes(), cores.tobytes(), at, docs[own].tobytes(), hashes[own].tobytes()
 
     def blocks(parts: list[tuple]) -> pa.RecordBatch:
         sizes = [len(part[-1]) for part in parts]
-        anchors, names, contexts, at, docs, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
+        anchors, names, cores, at, docs, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
         at = at + np.repeat(np.cumsum(sizes) - sizes, [len(part[0]) for part in parts])
         order = np.lexsort((at, docs[at], names, anchors))
-        anchors, names, contexts, at = anchors[order], names[order], contexts[order], at[order]
+        anchors, names, cores, at = anchors[order], names[order], cores[order], at[order]
         new = np.ones(len(order), bool)
         new[1:] = (anchors[1:] != anchors[:-1]) | (names[1:] != names[:-1])
         again = ~new
@@ -163,11 +170,11 @@ def _blocks(shards: int):
         order = np.flatnonzero(first)[np.argsort(shard[first], kind="stable")]
         cuts = np.flatnonzero(np.diff(shard[order])) + 1
         for own in np.split(order, cuts):
-            rows.append(block(int(shard[own[0]]), anchors[own], names[own], contexts[own], at[own], docs, hashes))
+            rows.append(block(int(shard[own[0]]), anchors[own], names[own], cores[own], at[own], docs, hashes))
         types = [pa.int32(), *[pa.binary()] * 6]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-            ["shard", "anchors", "names", "contexts", "at", "docs", "hashes"],
+            ["shard", "anchors", "names", "cores", "at", "docs", "hashes"],
         )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +186,7 @@ def _blocks(shards: int):
                 raw, found = segments(texts[begin:end])
                 if not len(found.begin):
                     continue
-                contexts = np.stack([found.before, found.after], 1)
-                parts.append((found.anchor, _names(raw, found), contexts, found.doc, docs[begin:end], hashes[begin:end]))
+                parts.append((found.anchor, _names(raw, found), found.cores, found.doc, docs[begin:end], hashes[begin:end]))
                 held += len(found.begin)
                 if held >= SEGMENTS_PER_BLOCK:
                     yield blocks(parts)
@@ -192,7 +198,7 @@ def _blocks(shards: int):
 
 
 FOUND = "doc long, text_hash long, name long, verdict int"
-GONE, BEFORE_SHARED, AFTER_SHARED = 0, 1, 2  # the latter two may add up
+GONE = 0  # any other verdict has one bit for each block whose core is shared
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,28 +214,31 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, hashes = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["hashes"], np.int64)
         return np.frombuffer(row["names"], np.uint64), docs[at], hashes[at]
 
-    def shared(anchors: np.ndarray, context: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        """Whether segments of several owners have the anchor in this context."""
-        order = np.lexsort((context, anchors))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(anchors[order]) != 0) | (np.diff(context[order]) != 0)
-        starts = np.flatnonzero(new)
-        several = np.minimum.reduceat(owner[order], starts) < np.maximum.reduceat(owner[order], starts)
-        found = np.empty(len(order), bool)
-        found[order] = np.repeat(several, np.diff(np.append(starts, len(order))))
-        return found & (context > 0)
+    def shared(anchors: np.ndarray, core: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Whether segments of several owners have the anchor in this core."""
+        found = np.zeros(len(anchors), bool)
+        own = np.flatnonzero(core)
+        if not len(own):
+            return found
+        both = anchors[own] << np.uint64(16) | core[own]  # the anchors have 40 bits
+        order = np.argsort(both)
+        starts = np.flatnonzero(np.append(True, np.diff(both[order]) != 0))
+        owner = owner[own[order]]
+        several = np.minimum.reduceat(owner, starts) < np.maximum.reduceat(owner, starts)
+        found[own[order]] = np.repeat(several, np.diff(np.append(starts, len(order))))
+        return found
 
     def whole(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        anchors, contexts, names, docs, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
+        anchors, cores, names, docs, hashes = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.lexsort((docs, names, anchors))
-        anchors, contexts, names, docs, hashes = anchors[order], contexts[order], names[order], docs[order], hashes[order]
+        anchors, cores, names, docs, hashes = anchors[order], cores[order], names[order], docs[order], hashes[order]
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(anchors) != 0) | (np.diff(names) != 0)
         begins = np.flatnonzero(new)
         owner = np.repeat(docs[begins], np.diff(np.append(begins, len(docs))))
         gone = docs > owner
-        # other segments need sorting if one of another owner agrees before or after the anchor
-        verdict = shared(anchors, contexts[:, 0], owner) * BEFORE_SHARED + shared(anchors, contexts[:, 1], owner) * AFTER_SHARED
+        # blocks of other segments need sorting if one of another owner has their core
+        verdict = sum(shared(anchors, cores[:, b], owner).astype(np.int32) << b for b in range(len(BLOCKS)))
         verdict[gone] = GONE
         use = gone | (verdict > 0)
         yield decisions(docs[use], hashes[use], names[use], verdict[use])
@@ -247,8 +256,8 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 short = np.zeros((len(names), 8), np.uint8)
                 short[:, :5] = np.frombuffer(row["anchors"], np.uint8).reshape(-1, 5)
-                contexts = np.frombuffer(row["contexts"], np.uint16).reshape(-1, 2)
-                parts.append((short.view("<u8")[:, 0], contexts, names, docs, hashes))
+                cores = np.frombuffer(row["cores"], np.uint16).reshape(-1, len(BLOCKS))
+                parts.append((short.view("<u8")[:, 0], cores, names, docs, hashes))
     if parts:
         yield from whole(parts)
 
@@ -283,7 +292,7 @@ def _marks(found: Segments, chosen: np.ndarray, size: int) -> np.ndarray:
 
 FIRST = (
     f"doc_id long, doc long, text_hash long, {RESULT}, raw binary, marks binary, "
-    "open array<struct<anchor: long, name: long, skip: int, text: binary>>"
+    "open array<struct<core: long, places: array<long>, text: binary>>"
 )
 _RESULT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
 _RESULT_NAMES = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "begins", "ends")
@@ -297,41 +306,44 @@ def _chosen(names: np.ndarray, doc: np.ndarray, lists: list[list[int] | None]) -
     return np.isin(names ^ (doc.astype(np.uint64) * salt), wanted)
 
 
+LISTS = ("gone", *(f"shared_{block}" for block in range(len(BLOCKS))))
+
+
 def _first_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Results of documents that are done, and the segments of the others that have to be sorted."""
-    opened = pa.list_(pa.struct([("anchor", pa.int64()), ("name", pa.int64()), ("skip", pa.int32()), ("text", pa.binary())]))
+    opened = pa.list_(pa.struct([("core", pa.int64()), ("places", pa.list_(pa.int64())), ("text", pa.binary())]))
     types = (*_RESULT_TYPES, pa.binary(), pa.binary(), opened)
     nothing = np.zeros(0, bool)
 
-    def cut(texts: list[bytes], gone: list, before: list, after: list) -> Iterator[tuple]:
+    def digest(core: bytes, seed: int) -> int:
+        return xxhash.xxh3_64_intdigest(core, seed) - 2**63
+
+    def cut(texts: list[bytes], gone: list, *shared: list) -> Iterator[tuple]:
         raw, found = segments(texts)
         names = _names(raw, found)
-        goes, by_before, by_after = (_chosen(names, found.doc, lists) for lists in (gone, before, after))
-        # a string shared with what stands before the anchor ends soon after it, and the other way round
-        low = np.where(by_before, found.begin, np.maximum(found.begin, found.at - BEFORE + 1))
-        high = np.where(by_after, found.end, np.minimum(found.end, found.at + AFTER - 1))
-        opens = (by_before | by_after) & (high - low >= LENGTH)
-        marks = _marks(found, goes, len(raw))
-        signed, signed_names = found.anchor.view(np.int64), names.view(np.int64)
-        by_doc: dict[int, list[int]] = {}
-        for k in np.flatnonzero(opens).tolist():
-            by_doc.setdefault(int(found.doc[k]), []).append(k)
-        begin = 0
+        marks = _marks(found, _chosen(names, found.doc, gone), len(raw))
+        text_begin = np.cumsum([0, *map(len, texts)])
+        by_doc: dict[int, dict[tuple[int, bytes], list[int]]] = {}
+        for (near, far), lists in zip(BLOCKS, shared, strict=True):
+            own = np.flatnonzero(_chosen(names, found.doc, lists) & (found.begin <= found.at - near) & (found.end - LENGTH >= found.at - far))
+            low = np.maximum(found.begin[own], found.at[own] - far)
+            high = np.minimum(found.end[own], found.at[own] - near + LENGTH)
+            place = low - text_begin[found.doc[own]]
+            columns = (found.doc[own], found.at[own], low, high, place)
+            for doc, at, begin, end, where in zip(*(c.tolist() for c in columns), strict=True):
+                core = digest(raw[at - near : at - far + LENGTH], near)
+                parts = by_doc.setdefault(doc, {})
+                parts.setdefault((core, raw[begin:end]), []).append(where)
         for at, text in enumerate(texts):
-            own = marks[begin : begin + len(text)]
-            begin += len(text)
+            own = marks[text_begin[at] : text_begin[at + 1]]
             if at not in by_doc:
                 yield (*_result(text, own), None, None, None)
                 continue
-            unique = {int(signed_names[k]): k for k in by_doc[at]}
-            parts = [
-                {"anchor": int(signed[k]), "name": name, "skip": int(low[k] - found.begin[k]), "text": raw[low[k] : high[k]]}
-                for name, k in unique.items()
-            ]
+            parts = [{"core": core, "places": places, "text": part} for (core, part), places in by_doc[at].items()]
             yield (*[None] * 6, text, np.packbits(own).tobytes(), parts)
 
     for batch in batches:
-        lists, texts = [batch[c].to_pylist() for c in ("gone", "before", "after")], _bytes_of(batch["text"])
+        lists, texts = [batch[c].to_pylist() for c in LISTS], _bytes_of(batch["text"])
         touched = [at for at in range(len(texts)) if any(names[at] for names in lists)]
         rows: list = [None] * len(texts)
         for begin, end in _chunks([texts[at] for at in touched]):
@@ -354,6 +366,8 @@ def _first_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_starts(texts: list[bytes], docs: np.ndarray) -> list[tuple[int, int]]:
     """(text, start) of the strings that a text with a smaller document holds too."""
+    if not texts:
+        return []
     raw = b"".join(text + b"\0" for text in texts)
     ends = np.cumsum([len(text) + 1 for text in texts]) - 1
     symbols = np.frombuffer(raw, np.uint8).astype(np.int16) + 2
@@ -362,7 +376,7 @@ def repeated_starts(texts: list[bytes], docs: np.ndarray) -> list[tuple[int, int
     padded = raw + bytes(8)
     words = np.ndarray((len(raw),), "<u8", padded, 0, (1,))
     offsets = [*range(0, LENGTH - 8, 8), LENGTH - 8]
-    owner = np.searchsorted(ends, np.arange(len(raw)), "left")
+    owner = np.repeat(np.arange(len(texts)), [len(text) + 1 for text in texts])
     found: list[tuple[int, int]] = []
     run = np.zeros(0, np.int64)  # suffixes so far that share the string of the last one
 
@@ -394,23 +408,64 @@ def repeated_starts(texts: list[bytes], docs: np.ndarray) -> list[tuple[int, int
     return found
 
 
-SORTED = "doc long, text_hash long, name long, starts binary"
+SORTED = "doc long, text_hash long, starts array<long>"
 
 
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One shard: the starts, within each segment, of strings that an earlier document holds."""
+    """Blocks with the same cores: where strings start, in their documents, that an earlier document holds."""
     table = pa.Table.from_batches(list(batches), pa.schema([
-        ("name", pa.int64()), ("skip", pa.int32()), ("text", pa.binary()), ("doc", pa.int64()), ("text_hash", pa.int64())]))
+        ("core", pa.int64()), ("places", pa.list_(pa.int64())), ("text", pa.binary()), ("doc", pa.int64()), ("text_hash", pa.int64())]))
     if not table.num_rows:
         return
+    coded = table["text"].combine_chunks().dictionary_encode()
+    code, texts, docs = coded.indices.to_numpy(), coded.dictionary.to_pylist(), table["doc"].to_numpy()
+    first = np.full(len(texts), NO_ID)
+    np.minimum.at(first, code, docs)
+    core = np.zeros(len(texts), np.int64)
+    core[code] = table["core"].to_numpy()
+    # a text without another one of its core has nothing to be compared with
+    _, group, n = np.unique(core, return_inverse=True, return_counts=True)
+    compared = np.flatnonzero(n[group] > 1)
     by_text: dict[int, list[int]] = {}
-    for start in repeated_starts(table["text"].to_pylist(), table["doc"].to_numpy()):
-        by_text.setdefault(start[0], []).append(start[1])
-    at = sorted(by_text)
-    chosen = table.take(pa.array(at, pa.int64())).select(["doc", "text_hash", "name"]).combine_chunks()
-    skip = table["skip"].to_numpy()
-    starts = pa.array([(np.array(by_text[k]) + skip[k]).astype(np.uint8).tobytes() for k in at], pa.binary())
-    yield from chosen.append_column("starts", starts).to_batches()
+    for k, start in repeated_starts([texts[k] for k in compared], first[compared]):
+        by_text.setdefault(int(compared[k]), []).append(start)
+    late = docs > first[code]  # all strings of these stand in an equal text
+    use = np.flatnonzero(late | np.isin(code, np.array(list(by_text), np.int64)))
+    if not len(use):
+        return
+    rows = table.take(pa.array(use)).combine_chunks()
+    starts = []
+    for k, own, places in zip(code[use].tolist(), late[use].tolist(), rows["places"].to_pylist(), strict=True):
+        inside = range(len(texts[k]) - LENGTH + 1) if own else by_text[k]
+        starts.append([place + start for place in places for start in inside])
+    chosen = rows.select(["doc", "text_hash"])
+    yield from chosen.append_column("starts", pa.array(starts, pa.list_(pa.int64()))).to_batches()
+
+
+def _sorted_starts(rows: DataFrame, sorters: int) -> DataFrame:
+    """Starts of repeated strings in blocks whose cores have few rows."""
+    rows = rows.repartition(sorters, "core").select("core", "places", "text", "doc", "text_hash")
+    return rows.mapInArrow(_sort, SORTED)
+
+
+def _hot_starts(rows: DataFrame) -> DataFrame:
+    """The same for blocks whose cores have many rows, string by string.
+
+    The earliest holder of a string is found by an aggregation that combines before its shuffle;
+    strings with many rows are few, as each takes ``HOT`` of them, and are joined without a shuffle.
+    """
+    skip = F.explode(F.sequence(F.lit(0), F.octet_length("text") - LENGTH))
+    strings = rows.select("doc", "text_hash", "places", "text", skip.alias("skip")).select(
+        "doc", "text_hash", "places", "skip", F.substring("text", F.col("skip") + 1, F.lit(LENGTH)).alias("string")
+    )
+    firsts = strings.groupBy("string").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
+    firsts = written(firsts.where("first < last").select(F.col("string").alias("held"), "first", "n"), "suffix-strings")
+    common, rare = firsts.where(F.col("n") > HOT).drop("n"), firsts.where(F.col("n") <= HOT).drop("n")
+    common = small(common, common.count())
+    same = F.col("string") == F.col("held")
+    late = strings.join(common, same).unionByName(strings.join(common, same, "left_anti").join(rare, same))
+    late = late.where(F.col("doc") > F.col("first"))
+    return late.select("doc", "text_hash", F.transform("places", lambda place: place + F.col("skip")).alias("starts"))
 
 
 FINAL = f"doc_id long, {RESULT}"
@@ -423,11 +478,7 @@ def _second_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, packed, more in zip(*columns, strict=True):
             marks = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(text)).astype(bool)
             if more:
-                starts = {item["name"]: np.frombuffer(item["starts"], np.uint8) for item in more}
-                raw, found = segments([text])
-                names = _names(raw, found).view(np.int64)
-                for k in np.flatnonzero(np.isin(names, np.array(list(starts), np.int64))):
-                    marks[found.begin[k] + starts[int(names[k])]] = True
+                marks[more] = True
             rows.append(_result(text, marks))
         arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, _RESULT_TYPES, strict=True)]
         yield pa.RecordBatch.from_arrays([batch["doc_id"], *arrays], ["doc_id", *_RESULT_NAMES])
@@ -447,27 +498,27 @@ def removed(docs: DataFrame) -> DataFrame:
     shards = max(partitions, n_bytes // BYTES_PER_SHARD)
     blocks = rows.select("doc", "text_hash", "text").mapInArrow(_blocks(shards), BLOCK)
     found = blocks.repartition(partitions, "shard").sortWithinPartitions("shard").mapInArrow(_judge, FOUND)
-    shared = {"gone": F.col("verdict") == GONE}
-    shared |= {side: F.col("verdict").bitwiseAND(bit) > 0 for side, bit in (("before", BEFORE_SHARED), ("after", AFTER_SHARED))}
-    lists = [F.collect_list(F.when(which, F.col("name"))).alias(side) for side, which in shared.items()]
+    which = [F.col("verdict") == GONE, *(F.col("verdict").bitwiseAND(1 << block) > 0 for block in range(len(BLOCKS)))]
+    lists = [F.collect_list(F.when(own, F.col("name"))).alias(name) for name, own in zip(LISTS, which, strict=True)]
     found = found.groupBy("doc", "text_hash").agg(*lists)
     found = found.withColumnsRenamed({"doc": "at_doc", "text_hash": "at_hash"})
     matches = (F.col("doc") == F.col("at_doc")) & (F.col("text_hash") == F.col("at_hash"))
-    first = rows.join(found, matches, "left").select("doc_id", "doc", "text_hash", "text", *shared)
+    first = rows.join(found, matches, "left").select("doc_id", "doc", "text_hash", "text", *LISTS)
     first = written(first.mapInArrow(_first_cut, FIRST), "suffix-first")
 
     done = first.where("raw is null").select("doc_id", *_RESULT_NAMES)
     pending = first.where("raw is not null")
-    open_ = pending.select("doc", "text_hash", F.explode("open").alias("s"))
-    n_open = open_.agg(F.coalesce(F.sum(F.octet_length("s.text")), F.lit(0))).first()[0]
-    sorters = int(max(partitions, n_open // BYTES_PER_SHARD))
-    starts = (
-        open_.select(F.col("s.anchor").alias("anchor"), F.col("s.name").alias("name"), F.col("s.skip").alias("skip"), F.col("s.text").alias("text"), "doc", "text_hash")
-        .repartition(sorters, "anchor")
-        .select("name", "skip", "text", "doc", "text_hash")
-        .mapInArrow(_sort, SORTED)
-    )
-    per_doc = starts.groupBy("doc", "text_hash").agg(F.collect_list(F.struct("name", "starts")).alias("found"))
+    open_ = pending.select("doc", "text_hash", F.explode("open").alias("s")).select("doc", "text_hash", "s.*")
+    n_open = open_.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    hot = open_.groupBy(F.col("core").alias("hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("hot")
+    hot = written(hot, "suffix-hot")
+    n_hot = hot.count()
+    is_hot = F.col("core") == F.col("hot")
+    cold = open_.join(small(hot, n_hot), is_hot, "left_anti") if n_hot else open_
+    starts = _sorted_starts(cold, int(max(partitions, n_open // BYTES_PER_SORT)))
+    if n_hot:
+        starts = starts.unionByName(_hot_starts(open_.join(small(hot, n_hot), is_hot, "left_semi")))
+    per_doc = starts.groupBy("doc", "text_hash").agg(F.flatten(F.collect_list("starts")).alias("found"))
     per_doc = written(per_doc, "suffix-starts").withColumnsRenamed({"doc": "at_doc", "text_hash": "at_hash"})
     second = pending.join(per_doc, matches, "left").select("doc_id", "raw", "marks", "found").mapInArrow(_second_cut, FINAL)
     return done.unionByName(second)

@@ -109,6 +109,17 @@ def test_small_chunks_and_blocks(spark, monkeypatch):
     check(spark, [(i, words(random, 5) + shared[i : 150 + i] + words(random, 5)) for i in range(40)])
 
 
+@pytest.mark.parametrize("hot", [1, 30, 2_000])
+def test_hot_passages(spark, monkeypatch, hot):
+    """Passages around the length of a string, in many documents with different surroundings."""
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    random = np.random.default_rng(6)
+    long = words(random, 30)
+    rows = [(int(random.integers(0, 150)), words(random, 4) + long[:size] + words(random, 4) + "##" + long[:size]) for size in (30, 41, 49, 50, 53, 70) for _ in range(30)]
+    rows += [(None, long[:60]), (3, long[5:58]), (500, long)]
+    check(spark, rows)
+
+
 def test_empty_table_and_clashing_columns(spark):
     assert suffixes.removed(spark.createDataFrame([], SCHEMA)).count() == 0
     extra = spark.createDataFrame([(1, "a" * 60, 5, "k"), (2, "a" * 60, 5, "k")], SCHEMA + ", doc int, raw string")
