@@ -5,10 +5,10 @@ words are grouped into classes by rank; all other words, unseen ones included, a
 class within which counts decide. A fixed share of the probability stays with the smoothed
 counts alone, so every token has a positive probability and all of them sum to one.
 
-Training covers every training document once: the documents are dealt over rounds, in each
-round every task trains its own copy of the parameters on its part, by backpropagation cut
+Training covers every training document once: the documents are dealt over rounds, of
+which a larger corpus has more, and in each round every task trains its own copy of the parameters on its part, by backpropagation cut
 off at a window's start while the state is carried on, and the copies are averaged by
-Spark, part by part of the parameter vector. Scoring carries the state through all windows
+Spark, part by part of the parameter vector, as are the sums of squares that set their rates. Scoring carries the state through all windows
 of a document.
 
 Counts are exact for every word: those of frequent words are sent to the tasks (a bounded
@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame
 from rampline.llm.common import as_text, written
 
 END = b""  # no word is empty
-MODEL_WORDS = 2047
+MODEL_WORDS = 8191
 LOOKUP_WORDS = 200_000
-CLASSES = 48
-EMBEDDING, HIDDEN = 16, 16
+CLASSES = 64
+EMBEDDING, HIDDEN = 32, 32
 STREAMS, WINDOW = 512, 16
-ROUNDS = 2
+TOKENS_OF_TWO_ROUNDS = 50_000_000  # twice as many take one round more
 TOKENS_PER_COPY = 500_000
 TOKENS_AT_ONCE = 1_000_000  # learned from, in parallel streams
 TOKENS_SCORED_AT_ONCE = 6_000_000  # many, so that a very long document has others beside it
@@ -238,10 +238,10 @@ def gradient(p: dict, shape: Shape, classes: np.ndarray, words, targets, fresh,
 class Learner:
     """One copy of the parameters, trained on whatever documents it is given."""
 
-    def __init__(self, flat: np.ndarray, shape: Shape) -> None:
+    def __init__(self, flat: np.ndarray, shape: Shape, squares: np.ndarray | None = None) -> None:
         self.flat, self.shape, self.classes = flat.copy(), shape, shape.class_of()
         self.p = views(self.flat, shape)
-        self.seen, self.squares = 0, np.full_like(flat, 1e-8)
+        self.seen, self.squares = 0, np.full_like(flat, 1e-8) if squares is None else squares.copy()
 
     def learn(self, stream: np.ndarray, end: int) -> None:
         """From the documents in ``stream``, each closed by ``end``, cut into parallel streams."""
@@ -266,9 +266,9 @@ class Learner:
                 self.flat -= np.float32(RATE) * step / np.sqrt(self.squares)
 
 
-def _learn(flat: np.ndarray, shape: Shape, end: int):
+def _learn(flat: np.ndarray, squares: np.ndarray, shape: Shape, end: int):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner, held, size = Learner(flat, shape), [], 0
+        learner, held, size = Learner(flat, shape, squares), [], 0
         for batch in batches:
             for ids in batch["ids"]:
                 own = np.frombuffer(ids.as_buffer(), "<u2").astype(np.int64)
@@ -280,7 +280,8 @@ def _learn(flat: np.ndarray, shape: Shape, end: int):
         if held:
             learner.learn(np.concatenate(held), end)
         if learner.seen:
-            whole = (learner.flat.astype(np.float64) * learner.seen).astype(np.float32)
+            whole = np.concatenate([learner.flat, learner.squares])
+            whole = (whole.astype(np.float64) * learner.seen).astype(np.float32)
             parts = [whole[at : at + PART].tobytes() for at in range(0, len(whole), PART)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(parts)), pa.int32()), pa.array([learner.seen] * len(parts), pa.int64()), pa.array(parts, pa.binary())],
@@ -303,19 +304,26 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(mean, pa.binary())], ["part", "mean"])
 
 
+def rounds_for(n_tokens: int) -> int:
+    """How often copies are averaged: once more for each doubling of the corpus, at least twice."""
+    return 2 + max(0, (int(n_tokens) // TOKENS_OF_TWO_ROUNDS).bit_length() - 1)
+
+
 def trained(ids: DataFrame, shape: Shape, end: int, n_tokens: int) -> np.ndarray:
     """Parameters after all rounds over the rows (round, ids)."""
-    flat = initial(shape)
-    copies = max(1, n_tokens // (ROUNDS * TOKENS_PER_COPY))
-    for number in range(ROUNDS):
+    flat, rounds = initial(shape), rounds_for(n_tokens)
+    squares = np.full_like(flat, 1e-8)
+    copies = max(1, n_tokens // (rounds * TOKENS_PER_COPY))
+    for number in range(rounds):
         mine = ids.where(F.col("round") == number).select("ids").coalesce(copies)
-        sums = mine.mapInArrow(_learn(flat, shape, end), "part int, seen long, sums binary")
+        sums = mine.mapInArrow(_learn(flat, squares, shape, end), "part int, seen long, sums binary")
         partitions = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # one vector of bounded size comes back, however many copies there were
         found = sums.repartition(partitions, "part").mapInArrow(_average, "part int, mean binary").toArrow()
         if found.num_rows:
             found = found.sort_by("part")
-            flat = np.concatenate([np.frombuffer(m.as_buffer(), np.float32) for m in found["mean"]]).copy()
+            both = np.concatenate([np.frombuffer(m.as_buffer(), np.float32) for m in found["mean"]])
+            flat, squares = np.split(both, 2)
     return flat
 
 
@@ -467,7 +475,7 @@ def scored(docs: DataFrame) -> DataFrame:
     encoded = rows.mapInArrow(_encode(known, known_counts, n_model), ENCODED)
     encoded = written(encoded, "lm-ids")
 
-    to_learn = encoded.where(~F.col("held_out")).select(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)).alias("round"), "ids")
+    to_learn = encoded.where(~F.col("held_out")).select(F.pmod(F.xxhash64("row"), F.lit(rounds_for(n_tokens))).alias("round"), "ids")
     flat = trained(to_learn, shape, 0, n_tokens)
     scorer = Scorer(flat, shape, 0, n_tokens, n_distinct)
     whole = encoded.drop("words", "times").mapInArrow(_score(scorer), SCORED)

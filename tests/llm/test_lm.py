@@ -51,6 +51,15 @@ def test_scored(spark, monkeypatch, limits):
         assert sum(r.score for r in held) > 0.85 * sum(r.base_score for r in held)
 
 
+def test_rounds_follow_the_corpus(spark, monkeypatch):
+    assert [lm.rounds_for(n) for n in (0, 1, 49_999_999, 50_000_000, 100_000_000, 8_000_000_000)] == [2, 2, 2, 2, 3, 9]
+    monkeypatch.setattr(lm, "TOKENS_OF_TWO_ROUNDS", 1_000)
+    rows = corpus()
+    assert lm.rounds_for(sum(counts_of(rows).values())) > 4
+    held = [r for r in lm.scored(spark.createDataFrame(rows, SCHEMA)).collect() if r.held_out]
+    assert sum(r.score for r in held) > 0.85 * sum(r.base_score for r in held)
+
+
 def test_probabilities_sum_to_one():
     counts = np.array([50, 30, 20, 9, 5, 2, 0], float)
     shape = lm.shape_of(counts, 14.0)
