@@ -23,13 +23,15 @@ table gives an empty result. Columns other than id and text are not read.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
@@ -47,7 +49,8 @@ TOKENS_AT_ONCE = 1_000_000  # learned from, in parallel streams
 TOKENS_SCORED_AT_ONCE = 6_000_000  # many, so that a very long document has others beside it
 RATE = 0.1
 SHARE = 0.95  # of the network; the rest is that of the counts
-COUNTER_WORDS = 300_000
+COUNTED_AT_ONCE = 4_000_000
+BYTES_AT_ONCE = 8_000_000  # of texts, cut into words together
 PART = 16_384  # parameters averaged together
 
 
@@ -117,119 +120,225 @@ def initial(shape: Shape) -> np.ndarray:
     return flat
 
 
-def _run(p: dict, words: np.ndarray, fresh: np.ndarray, state: np.ndarray, trace: list | None = None) -> np.ndarray:
-    """States (steps x hidden x streams) of a window; ``trace`` takes what backpropagation needs.
+class Space:
+    """Arrays that each window fills anew: making them anew takes as long as much of what is computed in them."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *size: int) -> np.ndarray:
+        n, own = math.prod(size), self.held.get(name)
+        if own is None or len(own) < n:
+            own = self.held[name] = np.empty(n, np.float32)
+        return own[:n].reshape(size)
+
+
+def _taken(rows: np.ndarray, at: np.ndarray, out: np.ndarray) -> np.ndarray:
+    if rows.dtype != out.dtype:
+        rows = rows.astype(out.dtype)
+    return np.take(rows, at, 0, out=out, mode="clip")
+
+
+def _run(p: dict, words: np.ndarray, fresh: np.ndarray, state: np.ndarray, space: Space | None = None) -> np.ndarray:
+    """States (steps x hidden x streams) of a window; ``space`` holds what backpropagation needs.
 
     Streams lie along the last axis, so that the gates are contiguous. A gate is
-    (1 + tanh) / 2 of its input.
+    (1 + tanh) / 2 of its input, that is 1 / (1 + exp) of minus twice the input.
     """
-    h2 = HIDDEN * 2
-    embedded = p["embed"][words].transpose(0, 2, 1)
-    given = np.matmul(p["input"].T, embedded) + p["gates"][:, None]
+    h2, (steps, width), space = HIDDEN * 2, words.shape, space or Space()
+    embedded = _taken(p["embed"], words.ravel(), space("embedded", steps * width, EMBEDDING)).reshape(steps, width, EMBEDDING)
+    given = np.matmul(p["input"].T, embedded.transpose(0, 2, 1), out=space("given", steps, 3 * HIDDEN, width))
+    given += p["gates"][:, None]
     recurrent, keep = np.ascontiguousarray(p["state"].T), (~fresh).astype(np.float32)
-    states = np.empty((len(words), HIDDEN, words.shape[1]), np.float32)
-    for t in range(len(words)):
-        state = state * keep[t]
-        carried = recurrent @ state
-        gates = given[t, :h2] + carried[:h2]
-        np.tanh(gates, out=gates)
-        gates *= np.float32(0.5)
-        gates += np.float32(0.5)
-        update, reset = gates[:HIDDEN], gates[HIDDEN:]
-        new = reset * carried[h2:]
-        new += given[t, h2:]
-        np.tanh(new, out=new)
-        if trace is not None:
-            trace.append((state, gates, new, carried[h2:]))
-        state = state - new
-        state *= update
-        state += new
-        states[t] = state
+    before, gates, new, carried, states = (
+        space(name, steps, size, width)
+        for name, size in (("before", HIDDEN), ("gates", h2), ("new", HIDDEN), ("carried", 3 * HIDDEN), ("states", HIDDEN))
+    )
+    with np.errstate(over="ignore"):  # a gate of 1 / (1 + infinity) is shut
+        for t in range(steps):
+            np.multiply(state, keep[t], out=before[t])
+            np.matmul(recurrent, before[t], out=carried[t])
+            gate, fill, state = gates[t], new[t], states[t]
+            np.add(given[t, :h2], carried[t, :h2], out=gate)
+            _opened(gate)
+            np.multiply(gate[HIDDEN:], carried[t, h2:], out=fill)
+            fill += given[t, h2:]
+            _opened(fill)
+            fill *= 2
+            fill -= 1
+            np.subtract(before[t], fill, out=state)
+            state *= gate[:HIDDEN]
+            state += fill
     return states
 
 
+def _opened(x: np.ndarray) -> None:
+    x *= -2
+    np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+
+
 def _rows(states: np.ndarray) -> np.ndarray:
     """One row per step and stream."""
     return states.transpose(0, 2, 1).reshape(-1, HIDDEN)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    return x / x.sum(1, keepdims=True)
+class Biases(NamedTuple):
+    """Biases less a bound of their softmax's scores, and of which softmaxes that bound serves.
+
+    It does if the best score of any state is so near to it that its exponential is a normal number.
+    """
+
+    of_class: np.ndarray
+    class_serves: bool
+    of_word: np.ndarray
+    words_serve: list[bool]
+
+
+def biases(p: dict, shape: Shape, reach: float) -> Biases:
+    """For states whose numbers are not beyond ``reach``."""
+
+    def shifted(weights: np.ndarray, bias: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bool]]:
+        around = np.abs(weights).sum(1) * reach
+        most, least = np.maximum.reduceat(bias + around, starts[:-1]), np.maximum.reduceat(bias - around, starts[:-1])
+        return bias - np.repeat(most, np.diff(starts)), (most - least < 80).tolist()
+
+    of_class, (serves,) = shifted(p["to_class"].T, p["class_bias"], np.array([0, len(p["class_bias"])]))
+    return Biases(of_class, serves, *shifted(p["to_word"], p["word_bias"], shape.starts))
+
+
+def _reach(states: np.ndarray) -> float:
+    return max(states.max(initial=0), -states.min(initial=0))
 
 
-def _by_class(shape: Shape, classes: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
-    """Rows of each class of words, with the range of its words; a class of one is certain."""
-    order = np.argsort(classes, kind="stable")
-    cuts = np.searchsorted(classes[order], np.arange(len(shape.starts)))
-    for c in range(len(shape.starts) - 1):
-        rows = order[cuts[c] : cuts[c + 1]]
-        begin, end = int(shape.starts[c]), int(shape.starts[c + 1])
-        if len(rows) and end - begin > 1:
-            yield rows, begin, end
+def _exponentials(weights: np.ndarray, bias: np.ndarray, serves: bool, states: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Per column of the states what a softmax divides by its sum, none above one."""
+    x = np.matmul(weights, states, out=out)
+    x += bias[:, None]
+    if not serves:
+        x -= x.max(0)
+    return np.exp(x, out=x)
 
 
-def probabilities(p: dict, shape: Shape, classes: np.ndarray, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+def _by_class(shape: Shape, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int, int]]]:
+    """Rows by class, and of each class of words its range in these, its words' range and its number; a class of one is certain."""
+    order = np.argsort(classes.astype(np.uint16), kind="stable")  # a radix sort
+    cuts = np.cumsum(np.bincount(classes, minlength=len(shape.starts))).tolist()
+    starts = shape.starts.tolist()
+    ranges = zip([0, *cuts], cuts, starts, starts[1:], range(len(starts)))
+    return order, [r for r in ranges if r[1] > r[0] and r[3] - r[2] > 1]
+
+
+ROWS_AT_ONCE = 1024  # of scores for all classes, which a core's cache holds
+
+
+def probabilities(
+    p: dict, shape: Shape, classes: np.ndarray, states: np.ndarray, targets: np.ndarray, space: Space | None = None, bias: Biases | None = None
+) -> np.ndarray:
     """Of each target by the network; of the class alone for the class of all other words."""
-    kind = classes[targets]
-    chance = _softmax(states @ p["to_class"] + p["class_bias"])[np.arange(len(kind)), kind].astype(np.float64)
-    for rows, begin, end in _by_class(shape, kind):
-        inside = _softmax(states[rows] @ p["to_word"][begin:end].T + p["word_bias"][begin:end])
-        chance[rows] *= inside[np.arange(len(rows)), targets[rows] - begin]
+    kind, space = classes[targets], space or Space()
+    chance = np.empty(len(kind))
+    weights = np.ascontiguousarray(p["to_class"].T)
+    bias = bias or biases(p, shape, _reach(states))
+    for begin in range(0, len(kind), ROWS_AT_ONCE):
+        own = kind[begin : begin + ROWS_AT_ONCE]
+        out = space("scores", len(weights), len(own))
+        x = _exponentials(weights, bias.of_class, bias.class_serves, states[begin : begin + len(own)].T, out)
+        chance[begin : begin + len(own)] = x[own, np.arange(len(own))] / x.sum(0)
+    order, ranges = _by_class(shape, kind)
+    states = _taken(states, order, space("sorted", *states.shape))
+    within, aim = np.ones(len(kind)), targets[order]
+    for first, last, begin, end, c in ranges:
+        out = space("scores", end - begin, last - first)
+        x = _exponentials(p["to_word"][begin:end], bias.of_word[begin:end], bias.words_serve[c], states[first:last].T, out)
+        within[first:last] = x[aim[first:last] - begin, np.arange(last - first)] / x.sum(0)
+    chance[order] *= within
     return chance
 
 
-def gradient(p: dict, shape: Shape, classes: np.ndarray, words, targets, fresh, state) -> tuple[dict, np.ndarray]:
-    """Of the log loss of one window, as a mean over a full one, and the state that is carried on."""
-    trace: list = []
-    states = _run(p, words, fresh, state, trace)
-    g = {name: np.zeros_like(value) for name, value in p.items()}
-    flat, aim = _rows(states), targets.ravel()
-    kind, scale = classes[aim], np.float32(1 / (STREAMS * WINDOW))
-    error = _softmax(flat @ p["to_class"] + p["class_bias"])
-    error[np.arange(len(kind)), kind] -= 1
-    error *= scale
-    g["to_class"][:], g["class_bias"][:] = flat.T @ error, error.sum(0)
-    back = error @ p["to_class"].T
-    for rows, begin, end in _by_class(shape, kind):
-        own = flat[rows]
-        error = _softmax(own @ p["to_word"][begin:end].T + p["word_bias"][begin:end])
-        error[np.arange(len(rows)), aim[rows] - begin] -= 1
-        error *= scale
-        g["to_word"][begin:end], g["word_bias"][begin:end] = error.T @ own, error.sum(0)
-        back[rows] += error @ p["to_word"][begin:end]
-    back = np.ascontiguousarray(back.reshape(*words.shape, HIDDEN).transpose(0, 2, 1))
+def gradient(
+    p: dict, shape: Shape, classes: np.ndarray, words, targets, fresh, state, space: Space | None = None, g: dict | None = None
+) -> tuple[dict, np.ndarray]:
+    """Of the log loss of one window, as a mean over a full one, and the state that is carried on.
+
+    ``g`` is filled if given; it and the state hold until the next call with the same ``space``.
+    """
+    space = space or Space()
+    states = _run(p, words, fresh, state, space)
+    g = {name: np.empty_like(value) for name, value in p.items()} if g is None else g
+    for value in g.values():
+        value[:] = 0
+    steps, width = words.shape
+    kind, scale, each = classes[targets], np.float32(1 / (STREAMS * WINDOW)), np.arange(width)
+    back, weights = space("back", steps, HIDDEN, width), np.ascontiguousarray(p["to_class"].T)
+    bias = biases(p, shape, _reach(states))
+    for t in range(steps):
+        error = _exponentials(weights, bias.of_class, bias.class_serves, states[t], space("scores", len(weights), width))
+        error *= scale / error.sum(0)
+        error[kind[t], each] -= scale
+        g["to_class"] += states[t] @ error.T
+        g["class_bias"] += error.sum(1)
+        np.matmul(p["to_class"], error, out=back[t])
+    order, ranges = _by_class(shape, kind.ravel())
+    flat, aim = space("rows", steps, width, HIDDEN), targets.ravel()[order]
+    flat[:] = states.transpose(0, 2, 1)
+    flat = _taken(flat.reshape(-1, HIDDEN), order, space("sorted", steps * width, HIDDEN))
+    inside = space("inside", steps * width, HIDDEN)
+    inside[:] = 0
+    for first, last, begin, end, c in ranges:
+        own, weights = flat[first:last], p["to_word"][begin:end]
+        out = space("scores", end - begin, last - first)
+        error = _exponentials(weights, bias.of_word[begin:end], bias.words_serve[c], own.T, out)
+        error *= scale / error.sum(0)
+        error[aim[first:last] - begin, np.arange(last - first)] -= scale
+        g["to_word"][begin:end], g["word_bias"][begin:end] = error @ own, error.sum(1)
+        np.matmul(error.T, weights, out=inside[first:last])
+    flat = space("rows", steps * width, HIDDEN)
+    flat[order] = inside
+    back += flat.reshape(steps, width, HIDDEN).transpose(0, 2, 1)
 
     h2, keep = 2 * HIDDEN, (~fresh).astype(np.float32)
-    given = np.empty((len(words), 3 * HIDDEN, words.shape[1]), np.float32)
-    through = np.empty_like(given)
-    before = np.stack([step[0] for step in trace])
-    carry = np.zeros_like(state)
-    for t in range(len(words) - 1, -1, -1):
-        old, gates, new, carried = trace[t]
-        update, reset = gates[:HIDDEN], gates[HIDDEN:]
-        d = back[t] + carry
-        slope = gates * (1 - gates)  # half of a gate's derivative
+    before, gates, new, carried = (
+        space(name, steps, size, width)
+        for name, size in (("before", HIDDEN), ("gates", h2), ("new", HIDDEN), ("carried", 3 * HIDDEN))
+    )
+    given, through = space("given", steps, 3 * HIDDEN, width), space("through", steps, 3 * HIDDEN, width)
+    slope, d, kept, d_new = (space(name, size, width) for name, size in (("slope", h2), ("d", HIDDEN), ("kept", HIDDEN), ("d_new", HIDDEN)))
+    carry = space("carry", HIDDEN, width)
+    carry[:] = 0
+    for t in range(steps - 1, -1, -1):
+        update, reset, own = gates[t, :HIDDEN], gates[t, HIDDEN:], given[t]
+        np.add(back[t], carry, out=d)
+        np.multiply(d, update, out=kept)
+        np.multiply(new[t], new[t], out=d_new)
+        np.subtract(1, d_new, out=d_new)
+        d_new *= d - kept
+        np.subtract(1, gates[t], out=slope)  # half of a gate's derivative
+        slope *= gates[t]
         slope *= 2
-        kept = d * update
-        d_new = d - kept
-        d_new *= 1 - new * new
-        given[t, :HIDDEN] = d * (old - new)
-        given[t, HIDDEN:h2] = d_new * carried
-        given[t, :h2] *= slope
-        given[t, h2:] = d_new
-        through[t, :h2] = given[t, :h2]
+        np.subtract(before[t], new[t], out=own[:HIDDEN])
+        own[:HIDDEN] *= d
+        np.multiply(d_new, carried[t, h2:], out=own[HIDDEN:h2])
+        own[:h2] *= slope
+        own[h2:] = d_new
+        through[t, :h2] = own[:h2]
         np.multiply(d_new, reset, out=through[t, h2:])
-        kept += p["state"] @ through[t]
-        carry = kept * keep[t]
-    g["state"][:] = np.tensordot(before, through, ([0, 2], [0, 2]))
-    flat_given, inputs = given.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN), words.ravel()
-    g["gates"][:] = flat_given.sum(0)
-    g["input"][:] = p["embed"][inputs].T @ flat_given
-    order = np.argsort(inputs, kind="stable")
-    found, starts = np.unique(inputs[order], return_index=True)
-    g["embed"][found] = np.add.reduceat((flat_given @ p["input"].T)[order], starts, axis=0)
-    return g, states[-1]
+        np.matmul(p["state"], through[t], out=carry)
+        carry += kept
+        carry *= keep[t]
+        g["state"] += before[t] @ through[t].T
+    embedded = space("embedded", steps, width, EMBEDDING)
+    g["gates"][:] = given.sum((0, 2))
+    g["input"][:] = np.matmul(embedded.transpose(0, 2, 1), given.transpose(0, 2, 1)).sum(0)
+    inputs = words.ravel()
+    order = np.argsort(inputs.astype(np.uint16), kind="stable")
+    inputs = inputs[order]
+    starts = np.flatnonzero(np.diff(inputs, prepend=-1))
+    each = np.matmul(given.transpose(0, 2, 1), p["input"].T, out=space("rows", steps, width, EMBEDDING)).reshape(-1, EMBEDDING)
+    each = _taken(each, order, space("sorted", steps * width, EMBEDDING))
+    g["embed"][inputs[starts]] = np.add.reduceat(each, starts, axis=0)
+    return g, states[-1].copy()
 
 
 # ---- learning -------------------------------------------------------------------------
@@ -242,6 +351,8 @@ class Learner:
         self.flat, self.shape, self.classes = flat.copy(), shape, shape.class_of()
         self.p = views(self.flat, shape)
         self.seen, self.squares = 0, np.full_like(flat, 1e-8) if squares is None else squares.copy()
+        self.step, self.space = np.empty_like(self.flat), Space()
+        self.g = views(self.step, shape)
 
     def learn(self, stream: np.ndarray, end: int) -> None:
         """From the documents in ``stream``, each closed by ``end``, cut into parallel streams."""
@@ -260,10 +371,18 @@ class Learner:
             state = np.zeros((HIDDEN, width), np.float32)
             for t in range(0, size, WINDOW):
                 words = given[t : t + WINDOW]
-                g, state = gradient(self.p, self.shape, self.classes, words, aim[t : t + WINDOW], words == end, state)
-                step = np.concatenate([v.ravel() for v in g.values()])
-                self.squares += step * step
-                self.flat -= np.float32(RATE) * step / np.sqrt(self.squares)
+                own = words, aim[t : t + WINDOW], words == end, state
+                _, state = gradient(self.p, self.shape, self.classes, *own, self.space, self.g)
+                self._move()
+
+    def _move(self) -> None:
+        """One step down the gradient, some parameters at a time, which a core's cache holds."""
+        for begin in range(0, len(self.flat), PART):
+            flat, squares, step = (own[begin : begin + PART] for own in (self.flat, self.squares, self.step))
+            squares += step * step
+            step *= np.float32(RATE)
+            step /= np.sqrt(squares)
+            flat -= step
 
 
 def _learn(flat: np.ndarray, squares: np.ndarray, shape: Shape, end: int):
@@ -340,6 +459,7 @@ class Scorer:
         by_counts[-1] = 1 / whole
         self.by_counts = by_counts
         self.within = 1 / (shape.counts[-1] + 0.5 * (others + 1))
+        self.space, self.bias = Space(), biases(self.p, shape, 1.0)  # states that begin at 0 stay within 1
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """log10 of the probability of each document, less the factors of words outside the model."""
@@ -352,37 +472,40 @@ class Scorer:
             used, lane = heapq.heappop(free)
             lanes[lane].append(at)
             heapq.heappush(free, (used + len(docs[at]), lane))
-        streams = [np.concatenate([docs[i] for i in lane]) for lane in lanes]
-        owners = [np.repeat(lane, [len(docs[i]) for i in lane]) for lane in lanes]
-        order = sorted(range(len(lanes)), key=lambda i: -len(streams[i]))
-        lengths = np.array([len(streams[i]) for i in order])
+        lengths = np.array([sum(len(docs[i]) for i in lane) for lane in lanes])
+        order = np.argsort(-lengths, kind="stable").tolist()
+        lengths = lengths[order]
+        ranked = [i for lane in order for i in lanes[lane]]
+        starts = np.cumsum(lengths) - lengths
+        tokens = np.concatenate([docs[i] for i in ranked])
+        owners = np.repeat(ranked, [len(docs[i]) for i in ranked])
+        before = np.concatenate([[self.end], tokens[:-1]]).astype(tokens.dtype)
+        before[starts[lengths > 0]] = self.end
         state = np.zeros((HIDDEN, len(lanes)), np.float32)
         for t in range(0, int(lengths[0]), WINDOW):
             active = int((lengths > t).sum())
-            steps = min(WINDOW, int(lengths[0]) - t)
-            aim = np.full((steps, active), self.end)
-            words = np.full((steps, active), self.end)
-            owner = np.full((steps, active), -1)
-            for column, lane in enumerate(order[:active]):
-                part = streams[lane][t : t + steps]
-                aim[: len(part), column] = part
-                owner[: len(part), column] = owners[lane][t : t + steps]
-                words[: len(part), column] = streams[lane][t - 1 : t - 1 + len(part)] if t else np.concatenate([[self.end], part[:-1]])
-            states = _run(self.p, words, words == self.end, state[:, :active])
-            state = states[-1]
-            real = np.flatnonzero(owner.ravel() >= 0)
-            target = aim.ravel()[real]
-            chance = probabilities(self.p, self.shape, self.classes, _rows(states)[real], target)
+            steps = np.arange(t, min(t + WINDOW, int(lengths[0])))[:, None]
+            real = steps < lengths[:active]
+            at = np.where(real, starts[:active] + steps, 0)
+            words = np.where(real, before[at], self.end)
+            states = _run(self.p, words, words == self.end, state[:, :active], self.space)
+            state = states[-1].copy()
+            real = real.ravel()
+            rows, at = _rows(states), at.ravel()
+            if not real.all():
+                rows, at = rows[real], at[real]
+            target = tokens[at].astype(np.int64)
+            chance = probabilities(self.p, self.shape, self.classes, rows, target, self.space, self.bias)
             chance[target == self.shape.n] *= self.within
             logs = np.log10(SHARE * chance + (1 - SHARE) * self.by_counts[target])
-            total += np.bincount(owner.ravel()[real], logs, len(docs))
+            total += np.bincount(owners[at], logs, len(docs))
         return total
 
 
 def _score(scorer: Scorer):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = [np.frombuffer(ids.as_buffer(), "<u2").astype(np.int64) for ids in batch["ids"]]
+            docs = [np.frombuffer(ids.as_buffer(), "<u2") for ids in batch["ids"]]
             found, begin, size = np.zeros(len(docs)), 0, 0
             for at, doc in enumerate(docs):
                 size += len(doc)
@@ -398,23 +521,50 @@ def _score(scorer: Scorer):
 # ---- counts ---------------------------------------------------------------------------
 
 
+def all_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts end to end, A-Z lower-cased, and how many each text has."""
+    held = [text or b"" for text in texts.cast(pa.binary()).to_pylist()]
+    chars = np.frombuffer(b"\n".join([*held, b""]).lower(), np.uint8)
+    inside = ~((chars == 32) | (chars - np.uint8(9) < 5))
+    edges = np.flatnonzero(np.diff(inside, prepend=False))  # the last character is no word's
+    begin, sizes = edges[::2], edges[1::2] - edges[::2]
+    ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)) + 1)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(chars[inside])])
+    return words, np.diff(np.searchsorted(begin, ends), prepend=0)
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of some megabytes of text; a longer text is whole."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        before = int(sizes[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sizes, before + BYTES_AT_ONCE, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words with their counts in this task, let go whenever there are many."""
 
-    def rows(counts: Counter) -> pa.RecordBatch:
+    def rows(words: list[pa.Array], ends: int) -> pa.RecordBatch:
+        counts = pa.chunked_array(words, pa.binary()).value_counts()
+        values, n = counts.field("values"), counts.field("counts")
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
+            [pa.concat_arrays([values, pa.array([END], pa.binary())]), pa.concat_arrays([n, pa.array([ends], pa.int64())])], ["word", "n"]
         )
 
-    counts: Counter = Counter()
+    held, n_words, ends = [], 0, 0
     for batch in batches:
-        for text in batch["text"]:
-            counts.update(tokens_of(text.as_py()))
-            counts[END] += 1
-            if len(counts) > COUNTER_WORDS:
-                yield rows(counts)
-                counts = Counter()
-    yield rows(counts)
+        for piece in _pieces(batch):
+            words, sizes = all_words(piece["text"])
+            held, n_words, ends = [*held, words], n_words + len(words), ends + len(sizes)
+            if n_words > COUNTED_AT_ONCE:
+                yield rows(held, ends)
+                held, n_words, ends = [], 0, 0
+    if ends:
+        yield rows(held, ends)
 
 
 ENCODED = (
@@ -431,26 +581,42 @@ def _encode(known: list[bytes], counts: np.ndarray, n_model: int):
         rank = {word: at for at, word in enumerate(known)}
         logs = np.append(np.log10(counts + 0.5), 0.0)
         seen = np.append(counts > 0, False)
-        for batch in batches:
-            columns: list[list] = [[] for _ in range(7)]
-            for text in batch["text"]:
-                tokens = tokens_of(text.as_py())
-                tokens.append(END)
-                at = np.fromiter(map(rank.get, tokens, repeat(len(known))), np.int64, len(tokens))
-                other = Counter(tokens[i] for i in np.flatnonzero(at == len(known)))
-                row = (
-                    len(tokens), int(seen[at].sum()), float(logs[at].sum()), float(logs[at[at >= n_model]].sum()),
-                    np.minimum(at, n_model).astype("<u2").tobytes(), list(other), list(other.values()),
-                )
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()))
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["row"], batch["doc_id"], batch["held_out"], *arrays],
+
+        def encoded(piece: pa.RecordBatch) -> pa.RecordBatch:
+            words, sizes = all_words(piece["text"])
+            words = words.dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            ranks = np.fromiter(map(rank.get, distinct, repeat(len(known))), np.int64, len(distinct))
+            which = words.indices.to_numpy()
+            at = ranks[which]
+            # the words that are not known, by document
+            other = np.flatnonzero(at == len(known))
+            pairs = np.repeat(np.arange(len(sizes)), sizes)[other] * max(1, len(distinct)) + which[other]
+            pairs, times = np.unique(pairs, return_counts=True)
+            doc, word = np.divmod(pairs, max(1, len(distinct)))
+            cuts = pa.array(np.searchsorted(doc, np.arange(len(sizes) + 1)).astype(np.int32))
+            # the token that closes a document is the first of the known
+            at = np.insert(at, np.cumsum(sizes), 0)
+            starts = np.concatenate([[0], np.cumsum(sizes + 1)])
+            own, first = logs[at], starts[:-1]
+            ids, bytes_ = np.minimum(at, n_model).astype("<u2"), (2 * starts).astype(np.int32)
+            arrays = [
+                pa.array(sizes + 1),
+                pa.array(np.add.reduceat(seen[at].astype(np.int64), first)),
+                pa.array(np.add.reduceat(own, first)),
+                pa.array(np.add.reduceat(np.where(at >= n_model, own, 0.0), first)),
+                pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bytes_), pa.py_buffer(ids)]),
+                pa.ListArray.from_arrays(cuts, words.dictionary.take(pa.array(word))),
+                pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int32))),
+            ]
+            return pa.RecordBatch.from_arrays(
+                [piece["row"], piece["doc_id"], piece["held_out"], *arrays],
                 ["row", "doc_id", "held_out", "n_tokens", "n_known", "known_logs", "class_logs", "ids", "words", "times"],
             )
 
+        for batch in batches:
+            yield from map(encoded, _pieces(batch))
+
     return encode
 
 

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rampline.llm import lm
@@ -114,3 +115,54 @@ def test_empty_tables(spark):
     held = [d for d in range(200) if zlib.crc32(str(d).encode()) % 5 == 1][:3]
     got = lm.scored(spark.createDataFrame([(d, "a b") for d in held], SCHEMA + "").withColumnRenamed("x", "y")).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0)] * 3
+
+
+def test_words_are_cut_without_python_objects():
+    texts = ["A b\x0bc  d", None, "", " \n", "äÖ B\tb A zz zz", "x\x00y \x1cz", "É"]
+    words, sizes = lm.all_words(pa.array(texts))
+    assert words.to_pylist() == [w for text in texts for w in lm.tokens_of(text)]
+    assert sizes.tolist() == [len(lm.tokens_of(text)) for text in texts]
+    assert lm.all_words(pa.array([], pa.string()))[1].tolist() == []
+
+
+def test_pieces_are_all_rows(monkeypatch):
+    monkeypatch.setattr(lm, "BYTES_AT_ONCE", 5)
+    batch = pa.RecordBatch.from_pydict({"text": ["abc", "de", "f", None, "a text beyond the limit", "", "ghij"]})
+    pieces = list(lm._pieces(batch))
+    assert [text for piece in pieces for text in piece["text"].to_pylist()] == batch["text"].to_pylist()
+    assert len(pieces) > 2
+    assert all(piece.num_rows == 1 or sum(len(t or "") for t in piece["text"].to_pylist()) <= 5 for piece in pieces)
+
+
+@pytest.mark.parametrize("spread", [1, 400])
+def test_scores_far_apart_keep_their_softmax(spread):
+    shape = lm.shape_of(np.array([9.0, 5, 4, 3, 2, 2, 2, 1]), 3.0)
+    flat = lm.initial(shape) + np.random.default_rng(4).normal(0, 0.3, len(lm.initial(shape))).astype(np.float32)
+    p = lm.views(flat, shape)
+    p["to_class"] *= spread
+    p["to_word"] *= spread
+    assert all(lm.biases(p, shape, 1.0).words_serve) == (spread == 1)
+    random = np.random.default_rng(5)
+    states, targets = np.tanh(random.normal(size=(50, lm.HIDDEN))).astype(np.float32), random.integers(0, 9, 50)
+
+    def softmax(x):
+        x = np.exp(x - x.max(1, keepdims=True))
+        return x / x.sum(1, keepdims=True)
+
+    kind = shape.class_of()[targets]
+    want = softmax(states.astype(float) @ p["to_class"] + p["class_bias"])[np.arange(50), kind]
+    for row, (target, c) in enumerate(zip(targets, kind)):
+        if c < len(shape.starts) - 1:
+            begin, end = shape.starts[c], shape.starts[c + 1]
+            want[row] *= softmax(states[row : row + 1].astype(float) @ p["to_word"][begin:end].T + p["word_bias"][begin:end])[0, target - begin]
+    assert lm.probabilities(p, shape, shape.class_of(), states, targets) == pytest.approx(want, rel=1e-3, abs=1e-30)
+
+
+def test_a_learner_makes_its_large_arrays_once():
+    shape = lm.shape_of(np.array([9.0, 5, 4, 3, 2]), 3.0)
+    learner = lm.Learner(lm.initial(shape), shape)
+    stream = np.append(np.random.default_rng(6).integers(1, 6, 4 * lm.STREAMS * lm.WINDOW - 1), 0)
+    learner.learn(stream, 0)
+    held = {name: id(own) for name, own in learner.space.held.items()}
+    learner.learn(stream, 0)
+    assert {name: id(own) for name, own in learner.space.held.items()} == held
