@@ -48,7 +48,8 @@ BLOCK_BYTES = 4_000_000
 BLOCKS_PER_BUCKET = 8
 BYTES_PER_SHARD = 24_000_000
 HOT = 2_000
-PHRASES_AT_ONCE = 60_000  # of one automaton, besides those of its last core
+PHRASES_AT_ONCE = 60_000  # compared together, besides those of the last core
+PHRASES_COMPILED = 1_000  # of one automaton, which a core's cache holds, besides those of its last core
 
 
 # ---- words, cores, segments -----------------------------------------------------------
@@ -335,10 +336,23 @@ def compiled(phrases: Iterator[tuple[int, ...]]):
     return automaton
 
 
-def located(contents: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _whole_cores(cores: np.ndarray, at_once: int) -> list[int]:
+    """Where to cut a row of cores, equal ones in a row, into parts of about so many."""
+    cuts, new = [0], np.flatnonzero(np.diff(cores)) + 1
+    while cuts[-1] < len(cores):
+        at = np.searchsorted(new, cuts[-1] + at_once)
+        cuts.append(int(new[at]) if at < len(new) else len(cores))
+    return cuts
+
+
+def located(
+    contents: list[bytes], weights: np.ndarray, cores: np.ndarray | None = None, compiled_at_once: int = PHRASES_COMPILED
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Every occurrence of every phrase that the texts, occurring so often each, hold more than once.
 
-    Returned are the phrases' numbers, the texts, and the places in these.
+    Returned are the phrases' numbers, the texts, and the places in these. Texts of one core, given
+    in a row, share no phrase with others, so an automaton is made for some cores at a time. Texts
+    without a phrase to look for are not streamed.
     """
     numbers: dict[bytes, int] = {}
     texts = [tuple([numbers.setdefault(word, len(numbers)) for word in content.split()]) for content in contents]
@@ -350,14 +364,20 @@ def located(contents: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.
     _, first, at = np.unique(hashes, return_index=True, return_inverse=True)
     again = np.bincount(at, weights[of[starts]]) > 1
     base = np.cumsum(sizes) - sizes
-    places = [(int(of[k]), int(k - base[of[k]])) for k in starts[first[again]].tolist()]
-    automaton = compiled(texts[text][begin : begin + LENGTH] for text, begin in places)
-    if automaton is None:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    hits = [
-        (number, k, end - (LENGTH - 1)) for k, text in enumerate(texts) for end, number in automaton.iter(text)
-    ]
+    # phrases by the text that has them first, so that those of a core are in a row
+    firsts = np.sort(first[again])
+    places = [(int(of[k]), int(k - base[of[k]])) for k in starts[firsts].tolist()]
+    holds = np.zeros(len(texts), bool)
+    holds[of[starts[again[at]]]] = True
+    core = np.zeros(len(texts), np.int64) if cores is None else np.cumsum(np.diff(cores, prepend=cores[:1]) != 0)
+    cuts = _whole_cores(core[of[starts[firsts]]], compiled_at_once)
+    hits = []
+    for begin, end in zip(cuts, cuts[1:]):
+        automaton = compiled(texts[text][at : at + LENGTH] for text, at in places[begin:end])
+        own = core[[places[begin][0], places[end - 1][0]]]
+        low, high = np.searchsorted(core, own[0]), np.searchsorted(core, own[1], "right")
+        for k in (low + np.flatnonzero(holds[low:high])).tolist():
+            hits += [(begin + number, k, stop - (LENGTH - 1)) for stop, number in automaton.iter(texts[k])]
     return tuple(np.array(hits, np.int64).reshape(-1, 3).T)
 
 
@@ -379,7 +399,7 @@ def _located(at_once: int):
         new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
         first = np.flatnonzero(new)
         contents = table["content"].take(pa.array(first)).cast(pa.binary()).to_pylist()
-        phrase, text, offset = located(contents, np.add.reduceat(n.astype(np.int64), first))
+        phrase, text, offset = located(contents, np.add.reduceat(n.astype(np.int64), first), key[first])
         begin = at[first].astype(np.int64)
         order = np.lexsort((begin[text] + offset, text_hash[first][text], doc[first][text], phrase))
         phrase, text, offset = phrase[order], text[order], offset[order]

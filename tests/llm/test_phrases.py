@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import pyspark.sql.functions as F
 
@@ -96,3 +97,31 @@ def test_empty_table_and_clashing_columns(spark):
     assert phrases.digests(spark.createDataFrame([], SCHEMA)).count() == 0
     extra = spark.createDataFrame([(1, "a b", 5, "k", 1)], SCHEMA + ", block int, key string, doc int")
     assert [tuple(r)[:3] for r in phrases.digests(extra).collect()] == [(1, 2, 0)]
+
+
+@pytest.mark.parametrize("compiled_at_once", [1, 3, 1_000])
+def test_automata_of_some_cores_find_all(monkeypatch, compiled_at_once):
+    random = np.random.default_rng(8)
+    sizes, contents, cores = [], [], []
+    for core in range(12):
+        shared = [b"%d-%d" % (core, w) for w in range(30)]
+        for _ in range(1 if core == 5 else int(random.integers(2, 6))):
+            begin = int(random.integers(0, 11))
+            contents.append(b" ".join(shared[begin : begin + 20 + int(random.integers(0, 30 - begin - 19))]))
+            cores.append(core * 7)
+    plain = phrases.compiled
+    monkeypatch.setattr(phrases, "compiled", lambda found: plain(sizes.append(len(own := list(found))) or own))
+    weights = np.ones(len(contents), np.int64)
+    number, text, offset = phrases.located(contents, weights, np.array(cores), compiled_at_once)
+    places = {}
+    for k, content in enumerate(contents):
+        words = content.split()
+        for at in range(len(words) - phrases.LENGTH + 1):
+            places.setdefault(tuple(words[at : at + phrases.LENGTH]), []).append((k, at))
+    want = sorted(sorted(found) for found in places.values() if len(found) > 1)
+    got = {}
+    for p, k, at in zip(number.tolist(), text.tolist(), offset.tolist()):
+        got.setdefault(p, []).append((k, at))
+    assert sorted(map(sorted, got.values())) == want
+    assert sum(sizes) == len(want)
+    assert len(sizes) > 3 if compiled_at_once < 1_000 else len(sizes) == 1
