@@ -139,55 +139,104 @@ def _taken(rows: np.ndarray, at: np.ndarray, out: np.ndarray) -> np.ndarray:
     return np.take(rows, at, 0, out=out, mode="clip")
 
 
-def _run(p: dict, words: np.ndarray, fresh: np.ndarray, state: np.ndarray, space: Space | None = None) -> np.ndarray:
-    """States (steps x hidden x streams) of a window; ``space`` holds what backpropagation needs.
+MULTIPLIED_AT_ONCE = 1_000_000  # by the BLAS without packing the matrices first
 
-    Streams lie along the last axis, so that the gates are contiguous. A gate is
-    (1 + tanh) / 2 of its input, that is 1 / (1 + exp) of minus twice the input.
-    """
-    h2, (steps, width), space = HIDDEN * 2, words.shape, space or Space()
-    embedded = _taken(p["embed"], words.ravel(), space("embedded", steps * width, EMBEDDING)).reshape(steps, width, EMBEDDING)
-    given = np.matmul(p["input"].T, embedded.transpose(0, 2, 1), out=space("given", steps, 3 * HIDDEN, width))
-    given += p["gates"][:, None]
-    recurrent, keep = np.ascontiguousarray(p["state"].T), (~fresh).astype(np.float32)
-    before, gates, new, carried, states = (
-        space(name, steps, size, width)
-        for name, size in (("before", HIDDEN), ("gates", h2), ("new", HIDDEN), ("carried", 3 * HIDDEN), ("states", HIDDEN))
-    )
-    with np.errstate(over="ignore"):  # a gate of 1 / (1 + infinity) is shut
-        for t in range(steps):
-            np.multiply(state, keep[t], out=before[t])
-            np.matmul(recurrent, before[t], out=carried[t])
-            gate, fill, state = gates[t], new[t], states[t]
-            np.add(given[t, :h2], carried[t, :h2], out=gate)
-            _opened(gate)
-            np.multiply(gate[HIDDEN:], carried[t, h2:], out=fill)
-            fill += given[t, h2:]
-            _opened(fill)
-            fill *= 2
-            fill -= 1
-            np.subtract(before[t], fill, out=state)
-            state *= gate[:HIDDEN]
-            state += fill
-    return states
+
+def _in_pieces(rows: np.ndarray, width: int) -> tuple[int, int]:
+    """How many rows to multiply at once for a result so wide, and how many rows these pieces cover."""
+    step = max(1, min(len(rows), MULTIPLIED_AT_ONCE // (rows.shape[1] * width)))
+    return step, len(rows) // step * step
+
+
+def _product(rows: np.ndarray, weights: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """rows @ weights."""
+    step, whole = _in_pieces(rows, weights.shape[1])
+    np.matmul(rows[:whole].reshape(-1, step, rows.shape[1]), weights, out=out[:whole].reshape(-1, step, weights.shape[1]))
+    if whole < len(rows):
+        np.matmul(rows[whole:], weights, out=out[whole:])
+    return out
+
+
+def _summed(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """rows.T @ others."""
+    step, whole = _in_pieces(rows, others.shape[1])
+    pieces = rows[:whole].reshape(-1, step, rows.shape[1]).transpose(0, 2, 1)
+    total = np.matmul(pieces, others[:whole].reshape(-1, step, others.shape[1])).sum(0)
+    return total if whole == len(rows) else total + rows[whole:].T @ others[whole:]
+
+
+def _by_gate(weights: np.ndarray) -> np.ndarray:
+    """The weights of each gate, which lie side by side, as a matrix of its own."""
+    return np.ascontiguousarray(weights.reshape(len(weights), 3, HIDDEN).transpose(1, 0, 2))
+
+
+def inputs_of(p: dict, words: np.ndarray | slice) -> np.ndarray:
+    """What each of these words adds to the gates (gates x words x hidden)."""
+    embedded, gates = p["embed"][words], p["gates"].reshape(3, 1, HIDDEN)
+    table = np.empty((3, len(embedded), HIDDEN), np.float32)
+    for weights, own in zip(_by_gate(p["input"]), table, strict=True):
+        _product(embedded, weights, own)
+    table += gates
+    return table
+
+
+def _recurrent(p: dict) -> np.ndarray:
+    """Weights of the state by gate; those of the new state by half, as its gate is twice as open as below."""
+    recurrent = _by_gate(p["state"])
+    recurrent[2] *= 0.5
+    return recurrent
 
 
-def _opened(x: np.ndarray) -> None:
-    x *= -2
-    np.exp(x, out=x)
-    x += 1
-    np.reciprocal(x, out=x)
+def _run(
+    p: dict, words: np.ndarray, fresh: np.ndarray, state: np.ndarray, space: Space | None = None, table: np.ndarray | None = None
+) -> np.ndarray:
+    """States (steps x streams x hidden) of a window, which begins with ``state`` (hidden x streams).
+
+    ``space`` holds what backpropagation needs. Every gate has arrays of its own, so that they are
+    contiguous. A gate is (1 + tanh) / 2 of its input; what is held is twice that, 1 + tanh.
+    ``table`` are the inputs of all words, if known; else those of the window's words are made, each once.
+    """
+    (steps, width), space, place = words.shape, space or Space(), words
+    if table is None:
+        own = np.flatnonzero(np.bincount(words.ravel()))
+        table, numbers = inputs_of(p, own), np.empty(len(p["embed"]), np.int64)
+        numbers[own] = np.arange(len(own))
+        place = numbers[words]
+    place = place[:, None, :] + np.arange(3)[:, None] * table.shape[1]
+    table, recurrent = table.reshape(-1, HIDDEN), _recurrent(p)
+    given, carried = (space(name, 3, width, HIDDEN) for name in ("given", "carried"))
+    gates = space("gates", steps, 2, width, HIDDEN)
+    before, new, drawn, states = (space(name, steps, width, HIDDEN) for name in ("before", "new", "drawn", "states"))
+    state = state.T
+    for t in range(steps):
+        before[t] = state
+        before[t, fresh[t]] = 0
+        _taken(table, place[t], given)
+        np.matmul(before[t], recurrent, out=carried)
+        gate, fill, state = gates[t], new[t], states[t]
+        np.add(given[:2], carried[:2], out=gate)
+        np.tanh(gate, out=gate)
+        gate += 1
+        np.multiply(gate[1], carried[2], out=drawn[t])
+        np.add(drawn[t], given[2], out=fill)
+        np.tanh(fill, out=fill)
+        np.subtract(before[t], fill, out=state)
+        state *= gate[0]
+        state *= 0.5
+        state += fill
+    return states
 
 
 def _rows(states: np.ndarray) -> np.ndarray:
     """One row per step and stream."""
-    return states.transpose(0, 2, 1).reshape(-1, HIDDEN)
+    return states.reshape(-1, HIDDEN)
 
 
 class Biases(NamedTuple):
-    """Biases less a bound of their softmax's scores, and of which softmaxes that bound serves.
+    """Exponentials of biases, at most one in each softmax, and of which softmaxes they serve.
 
-    It does if the best score of any state is so near to it that its exponential is a normal number.
+    They do if no score of any state is so large that products with them leave the normal numbers;
+    where they do not, they are one, and a softmax adds its biases to its scores.
     """
 
     of_class: np.ndarray
@@ -196,41 +245,73 @@ class Biases(NamedTuple):
     words_serve: list[bool]
 
 
-def biases(p: dict, shape: Shape, reach: float) -> Biases:
+def biases(p: dict, shape: Shape, reach: float, space: Space | None = None) -> Biases:
     """For states whose numbers are not beyond ``reach``."""
 
-    def shifted(weights: np.ndarray, bias: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bool]]:
-        around = np.abs(weights).sum(1) * reach
-        most, least = np.maximum.reduceat(bias + around, starts[:-1]), np.maximum.reduceat(bias - around, starts[:-1])
-        return bias - np.repeat(most, np.diff(starts)), (most - least < 80).tolist()
+    space = space or Space()
+
+    def factors(weights: np.ndarray, bias: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bool]]:
+        absolute = np.abs(weights, out=space("absolute", *weights.shape))
+        around = absolute @ np.full(weights.shape[1], reach, np.float32)
+        begins, sizes = starts[:-1], np.diff(starts)
+        most = np.maximum.reduceat(bias, begins)
+        serves = np.maximum.reduceat(around, begins) + most - np.minimum.reduceat(bias, begins) < 60
+        below = np.where(np.repeat(serves, sizes), bias - np.repeat(most, sizes), 0)
+        return np.exp(below, dtype=np.float32, casting="same_kind"), serves.tolist()
 
-    of_class, (serves,) = shifted(p["to_class"].T, p["class_bias"], np.array([0, len(p["class_bias"])]))
-    return Biases(of_class, serves, *shifted(p["to_word"], p["word_bias"], shape.starts))
+    of_class, (serves,) = factors(p["to_class"].T, p["class_bias"], np.array([0, len(p["class_bias"])]))
+    return Biases(of_class, serves, *factors(p["to_word"], p["word_bias"], shape.starts))
 
 
 def _reach(states: np.ndarray) -> float:
     return max(states.max(initial=0), -states.min(initial=0))
 
 
-def _exponentials(weights: np.ndarray, bias: np.ndarray, serves: bool, states: np.ndarray, out: np.ndarray) -> np.ndarray:
-    """Per column of the states what a softmax divides by its sum, none above one."""
-    x = np.matmul(weights, states, out=out)
-    x += bias[:, None]
+def _exponentials(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray, serves: bool, out: np.ndarray) -> np.ndarray:
+    """Per row what a softmax, times the factors of its biases, divides by its sum."""
+    x = _product(rows, weights, out)
     if not serves:
-        x -= x.max(0)
+        x += bias
+        x -= x.max(1, keepdims=True)
     return np.exp(x, out=x)
 
 
-def _by_class(shape: Shape, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int, int]]]:
-    """Rows by class, and of each class of words its range in these, its words' range and its number; a class of one is certain."""
+def _by_class(shape: Shape, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by class, and how many each class of words has; last come the rows of all other words."""
     order = np.argsort(classes.astype(np.uint16), kind="stable")  # a radix sort
-    cuts = np.cumsum(np.bincount(classes, minlength=len(shape.starts))).tolist()
-    starts = shape.starts.tolist()
-    ranges = zip([0, *cuts], cuts, starts, starts[1:], range(len(starts)))
-    return order, [r for r in ranges if r[1] > r[0] and r[3] - r[2] > 1]
+    return order, np.bincount(classes, minlength=len(shape.starts))[:-1]
+
 
+class Within(NamedTuple):
+    """Softmaxes within the classes of words, for rows by class."""
 
-ROWS_AT_ONCE = 1024  # of scores for all classes, which a core's cache holds
+    exponentials: np.ndarray  # rows end to end
+    blocks: list[tuple[np.ndarray, int, int, int, int]]  # of one class each, with its rows and its words
+    totals: np.ndarray  # by row
+    aims: np.ndarray  # where each row's target lies among the exponentials
+    factors: np.ndarray  # of the targets
+
+
+def _within(p: dict, shape: Shape, bias: Biases, rows: np.ndarray, targets: np.ndarray, n_rows: np.ndarray, space: Space) -> Within:
+    widths, ends = np.diff(shape.starts), np.cumsum(n_rows)
+    upto = np.cumsum(n_rows * widths)
+    n, x = int(ends[-1]), space("within", int(upto[-1]))
+    totals, blocks, first, at = np.empty(n, np.float32), [], 0, 0
+    for last, to, begin, end, serves in zip(ends.tolist(), upto.tolist(), shape.starts.tolist(), shape.starts[1:].tolist(), bias.words_serve):
+        if last > first:
+            block = x[at:to].reshape(last - first, end - begin)
+            _exponentials(rows[first:last], p["to_word"][begin:end].T, p["word_bias"][begin:end], serves, block)
+            np.matmul(block, bias.of_word[begin:end], out=totals[first:last])
+            blocks.append((block, first, last, begin, end))
+            first, at = last, to
+    # of row r of a class: its block's begin, the block's rows before r, and the target's number in the class
+    before = upto - ends * widths - shape.starts[:-1]
+    targets = targets[:n]
+    aims = np.repeat(before, n_rows) + np.arange(n) * np.repeat(widths, n_rows) + targets
+    return Within(x, blocks, totals, aims, bias.of_word[targets])
+
+
+ROWS_AT_ONCE = 512  # of scores for all classes, which a core's cache holds
 
 
 def probabilities(
@@ -239,21 +320,18 @@ def probabilities(
     """Of each target by the network; of the class alone for the class of all other words."""
     kind, space = classes[targets], space or Space()
     chance = np.empty(len(kind))
-    weights = np.ascontiguousarray(p["to_class"].T)
     bias = bias or biases(p, shape, _reach(states))
+    n_classes = len(bias.of_class)
     for begin in range(0, len(kind), ROWS_AT_ONCE):
         own = kind[begin : begin + ROWS_AT_ONCE]
-        out = space("scores", len(weights), len(own))
-        x = _exponentials(weights, bias.of_class, bias.class_serves, states[begin : begin + len(own)].T, out)
-        chance[begin : begin + len(own)] = x[own, np.arange(len(own))] / x.sum(0)
-    order, ranges = _by_class(shape, kind)
+        out = space("scores", len(own), n_classes)
+        x = _exponentials(states[begin : begin + len(own)], p["to_class"], p["class_bias"], bias.class_serves, out)
+        chance[begin : begin + len(own)] = x.ravel()[np.arange(0, x.size, n_classes) + own] / (x @ bias.of_class)
+    chance *= bias.of_class[kind]
+    order, n_rows = _by_class(shape, kind)
     states = _taken(states, order, space("sorted", *states.shape))
-    within, aim = np.ones(len(kind)), targets[order]
-    for first, last, begin, end, c in ranges:
-        out = space("scores", end - begin, last - first)
-        x = _exponentials(p["to_word"][begin:end], bias.of_word[begin:end], bias.words_serve[c], states[first:last].T, out)
-        within[first:last] = x[aim[first:last] - begin, np.arange(last - first)] / x.sum(0)
-    chance[order] *= within
+    own = _within(p, shape, bias, states, targets[order], n_rows, space)
+    chance[order[: len(own.aims)]] *= own.exponentials[own.aims] * own.factors / own.totals
     return chance
 
 
@@ -270,75 +348,92 @@ def gradient(
     for value in g.values():
         value[:] = 0
     steps, width = words.shape
-    kind, scale, each = classes[targets], np.float32(1 / (STREAMS * WINDOW)), np.arange(width)
-    back, weights = space("back", steps, HIDDEN, width), np.ascontiguousarray(p["to_class"].T)
-    bias = biases(p, shape, _reach(states))
+    kind, scale = classes[targets], np.float32(1 / (STREAMS * WINDOW))
+    back, bias = space("back", steps, width, HIDDEN), biases(p, shape, max(1.0, _reach(state)), space)  # no state goes beyond 1 unless it began there
+    weights = np.ascontiguousarray((p["to_class"] * bias.of_class).T)
+    ones, each_row = np.ones(width, np.float32), np.arange(width) * len(bias.of_class)
     for t in range(steps):
-        error = _exponentials(weights, bias.of_class, bias.class_serves, states[t], space("scores", len(weights), width))
-        error *= scale / error.sum(0)
-        error[kind[t], each] -= scale
-        g["to_class"] += states[t] @ error.T
-        g["class_bias"] += error.sum(1)
-        np.matmul(p["to_class"], error, out=back[t])
-    order, ranges = _by_class(shape, kind.ravel())
-    flat, aim = space("rows", steps, width, HIDDEN), targets.ravel()[order]
-    flat[:] = states.transpose(0, 2, 1)
-    flat = _taken(flat.reshape(-1, HIDDEN), order, space("sorted", steps * width, HIDDEN))
+        out = space("scores", width, len(bias.of_class))
+        x = _exponentials(states[t], p["to_class"], p["class_bias"], bias.class_serves, out)
+        # the softmax less one at the target, divided by the factors
+        total = x @ bias.of_class
+        x.ravel()[each_row + kind[t]] -= total / bias.of_class[kind[t]]
+        x *= (scale / total)[:, None]
+        g["to_class"] += _summed(states[t], x)
+        g["class_bias"] += ones @ x
+        _product(x, weights, back[t])
+    g["to_class"] *= bias.of_class
+    g["class_bias"] *= bias.of_class
+    order, n_rows = _by_class(shape, kind.ravel())
+    rows = _taken(_rows(states), order, space("sorted", steps * width, HIDDEN))
+    own = _within(p, shape, bias, rows, targets.ravel()[order], n_rows, space)
+    own.exponentials[own.aims] -= own.totals / own.factors
+    n, share = len(own.aims), (scale / own.totals)[:, None]
+    rows[:n] *= share
     inside = space("inside", steps * width, HIDDEN)
-    inside[:] = 0
-    for first, last, begin, end, c in ranges:
-        own, weights = flat[first:last], p["to_word"][begin:end]
-        out = space("scores", end - begin, last - first)
-        error = _exponentials(weights, bias.of_word[begin:end], bias.words_serve[c], own.T, out)
-        error *= scale / error.sum(0)
-        error[aim[first:last] - begin, np.arange(last - first)] -= scale
-        g["to_word"][begin:end], g["word_bias"][begin:end] = error @ own, error.sum(1)
-        np.matmul(error.T, weights, out=inside[first:last])
-    flat = space("rows", steps * width, HIDDEN)
-    flat[order] = inside
-    back += flat.reshape(steps, width, HIDDEN).transpose(0, 2, 1)
-
-    h2, keep = 2 * HIDDEN, (~fresh).astype(np.float32)
-    before, gates, new, carried = (
-        space(name, steps, size, width)
-        for name, size in (("before", HIDDEN), ("gates", h2), ("new", HIDDEN), ("carried", 3 * HIDDEN))
-    )
-    given, through = space("given", steps, 3 * HIDDEN, width), space("through", steps, 3 * HIDDEN, width)
-    slope, d, kept, d_new = (space(name, size, width) for name, size in (("slope", h2), ("d", HIDDEN), ("kept", HIDDEN), ("d_new", HIDDEN)))
-    carry = space("carry", HIDDEN, width)
+    inside[n:] = 0
+    weights = np.multiply(p["to_word"], bias.of_word[:, None], out=space("weights", *p["to_word"].shape))
+    for error, first, last, begin, end in own.blocks:
+        np.matmul(error.T, rows[first:last], out=g["to_word"][begin:end])
+        np.matmul(share[first:last, 0], error, out=g["word_bias"][begin:end])
+        np.matmul(error, weights[begin:end], out=inside[first:last])
+    inside[:n] *= share
+    g["to_word"] *= bias.of_word[:, None]
+    g["word_bias"] *= bias.of_word
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    back += _taken(inside, place, space("rows", steps * width, HIDDEN)).reshape(back.shape)
+
+    gates = space("gates", steps, 2, width, HIDDEN)
+    before, new, drawn = (space(name, steps, width, HIDDEN) for name in ("before", "new", "drawn"))
+    # by what is recurrent of the new state, by the two gates, and by all of the new state
+    pull = space("pull", 4, width, HIDDEN)
+    slope, through = space("slope", 2, width, HIDDEN), space("through", 3, width, HIDDEN)
+    d, kept, carry = (space(name, width, HIDDEN) for name in ("d", "kept", "carry"))
+    recurrent = np.ascontiguousarray(_recurrent(p)[[2, 0, 1]].transpose(0, 2, 1))
+    entering = np.ascontiguousarray(_by_gate(p["input"]).transpose(0, 2, 1))
+    embedded = _taken(p["embed"], words.ravel(), space("embedded", steps * width, EMBEDDING)).reshape(steps, width, EMBEDDING)
+    g_state, g_input, g_gates = np.zeros((3, HIDDEN, HIDDEN)), np.zeros((3, EMBEDDING, HIDDEN)), np.zeros((3, HIDDEN))
+    each, added = space("rows", steps, width, EMBEDDING), space("added", 3, width, EMBEDDING)
     carry[:] = 0
     for t in range(steps - 1, -1, -1):
-        update, reset, own = gates[t, :HIDDEN], gates[t, HIDDEN:], given[t]
+        update, reset = gates[t]
         np.add(back[t], carry, out=d)
         np.multiply(d, update, out=kept)
-        np.multiply(new[t], new[t], out=d_new)
-        np.subtract(1, d_new, out=d_new)
-        d_new *= d - kept
-        np.subtract(1, gates[t], out=slope)  # half of a gate's derivative
-        slope *= gates[t]
-        slope *= 2
-        np.subtract(before[t], new[t], out=own[:HIDDEN])
-        own[:HIDDEN] *= d
-        np.multiply(d_new, carried[t, h2:], out=own[HIDDEN:h2])
-        own[:h2] *= slope
-        own[h2:] = d_new
-        through[t, :h2] = own[:h2]
-        np.multiply(d_new, reset, out=through[t, h2:])
-        np.matmul(p["state"], through[t], out=carry)
+        kept *= 0.5
+        np.subtract(2, gates[t], out=slope)
+        np.multiply(new[t], new[t], out=pull[3])
+        np.subtract(1, pull[3], out=pull[3])
+        np.subtract(states[t], new[t], out=pull[1])
+        pull[1] *= d
+        d -= kept
+        pull[3] *= d
+        np.multiply(pull[3], drawn[t], out=pull[2])
+        pull[1:3] *= slope
+        np.multiply(pull[3], reset, out=pull[0])
+        np.matmul(pull[:3], recurrent, out=through)
+        np.add(through[0], through[1], out=carry)
+        carry += through[2]
         carry += kept
-        carry *= keep[t]
-        g["state"] += before[t] @ through[t].T
-    embedded = space("embedded", steps, width, EMBEDDING)
-    g["gates"][:] = given.sum((0, 2))
-    g["input"][:] = np.matmul(embedded.transpose(0, 2, 1), given.transpose(0, 2, 1)).sum(0)
+        carry[fresh[t]] = 0
+        np.matmul(pull[1:], entering, out=added)
+        np.add(added[0], added[1], out=each[t])
+        each[t] += added[2]
+        g_state += np.matmul(before[t].T, pull[:3])
+        g_input += np.matmul(embedded[t].T, pull[1:])
+        g_gates += ones @ pull[1:]
+    g_state[0] *= 0.5  # its gate was twice as open
+    g["state"][:] = g_state[[1, 2, 0]].transpose(1, 0, 2).reshape(HIDDEN, -1)
+    g["input"][:] = g_input.transpose(1, 0, 2).reshape(EMBEDDING, -1)
+    g["gates"][:] = g_gates.ravel()
     inputs = words.ravel()
     order = np.argsort(inputs.astype(np.uint16), kind="stable")
     inputs = inputs[order]
     starts = np.flatnonzero(np.diff(inputs, prepend=-1))
-    each = np.matmul(given.transpose(0, 2, 1), p["input"].T, out=space("rows", steps, width, EMBEDDING)).reshape(-1, EMBEDDING)
-    each = _taken(each, order, space("sorted", steps * width, EMBEDDING))
-    g["embed"][inputs[starts]] = np.add.reduceat(each, starts, axis=0)
-    return g, states[-1].copy()
+    each = _taken(each.reshape(-1, EMBEDDING), order, space("sorted", steps * width, EMBEDDING))
+    # two numbers at a time
+    g["embed"][inputs[starts]] = np.add.reduceat(each.view(np.complex64), starts, axis=0).view(np.float32)
+    return g, states[-1].copy().T
 
 
 # ---- learning -------------------------------------------------------------------------
@@ -360,20 +455,16 @@ class Learner:
         steps = len(stream) // streams
         before = np.concatenate([[end], stream[:-1]])
         self.seen += len(stream)
-        # what does not fill the last row of the streams is learned from as one more stream
-        bodies = [(streams, 0), (1, streams * steps)]
-        for width, begin in bodies:
-            size = (len(stream) - begin) // width if width > 1 or begin else steps
-            if not size:
-                continue
-            aim = stream[begin : begin + width * size].reshape(width, size).T
-            given = before[begin : begin + width * size].reshape(width, size).T
-            state = np.zeros((HIDDEN, width), np.float32)
-            for t in range(0, size, WINDOW):
-                words = given[t : t + WINDOW]
-                own = words, aim[t : t + WINDOW], words == end, state
-                _, state = gradient(self.p, self.shape, self.classes, *own, self.space, self.g)
-                self._move()
+        # the first streams have one token more each, where the tokens do not fill the last row
+        more = len(stream) - streams * steps
+        begins = np.arange(streams) * steps + np.minimum(np.arange(streams), more)
+        state = np.zeros((HIDDEN, streams), np.float32)
+        windows = [(np.arange(t, min(t + WINDOW, steps)), streams) for t in range(0, steps, WINDOW)]
+        for rows, width in [*windows, (np.array([steps]), more)] if more else windows:
+            at = begins[:width] + rows[:, None]
+            words, aim = before[at], stream[at]
+            _, state = gradient(self.p, self.shape, self.classes, words, aim, words == end, state[:, :width], self.space, self.g)
+            self._move()
 
     def _move(self) -> None:
         """One step down the gradient, some parameters at a time, which a core's cache holds."""
@@ -460,6 +551,7 @@ class Scorer:
         self.by_counts = by_counts
         self.within = 1 / (shape.counts[-1] + 0.5 * (others + 1))
         self.space, self.bias = Space(), biases(self.p, shape, 1.0)  # states that begin at 0 stay within 1
+        self.table = inputs_of(self.p, slice(None))
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """log10 of the probability of each document, less the factors of words outside the model."""
@@ -488,8 +580,8 @@ class Scorer:
             real = steps < lengths[:active]
             at = np.where(real, starts[:active] + steps, 0)
             words = np.where(real, before[at], self.end)
-            states = _run(self.p, words, words == self.end, state[:, :active], self.space)
-            state = states[-1].copy()
+            states = _run(self.p, words, words == self.end, state[:, :active], self.space, self.table)
+            state = states[-1].copy().T
             real = real.ravel()
             rows, at = _rows(states), at.ravel()
             if not real.all():
@@ -503,17 +595,27 @@ class Scorer:
 
 
 def _score(scorer: Scorer):
+    def scored(held: list[pa.RecordBatch], docs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found = scorer.score(docs)
+        for batch in held:
+            own, found = found[: batch.num_rows], found[batch.num_rows :]
+            yield batch.append_column("network", pa.array(own))
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, docs, size = [], [], 0
         for batch in batches:
-            docs = [np.frombuffer(ids.as_buffer(), "<u2") for ids in batch["ids"]]
-            found, begin, size = np.zeros(len(docs)), 0, 0
-            for at, doc in enumerate(docs):
-                size += len(doc)
-                if size >= TOKENS_SCORED_AT_ONCE or at == len(docs) - 1:
-                    found[begin : at + 1] = scorer.score(docs[begin : at + 1])
-                    begin, size = at + 1, 0
-            carried = batch.drop_columns(["ids"])
-            yield carried.append_column("network", pa.array(found))
+            begin = 0
+            for at, ids in enumerate(batch["ids"], 1):
+                docs.append(np.frombuffer(ids.as_buffer(), "<u2"))
+                size += len(docs[-1])
+                if size >= TOKENS_SCORED_AT_ONCE or at == batch.num_rows:
+                    held.append(batch.drop_columns(["ids"]).slice(begin, at - begin))
+                    begin = at
+                if size >= TOKENS_SCORED_AT_ONCE:
+                    yield from scored(held, docs)
+                    held, docs, size = [], [], 0
+        if docs:
+            yield from scored(held, docs)
 
     return score
 

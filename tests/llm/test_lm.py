@@ -166,3 +166,98 @@ def test_a_learner_makes_its_large_arrays_once():
     held = {name: id(own) for name, own in learner.space.held.items()}
     learner.learn(stream, 0)
     assert {name: id(own) for name, own in learner.space.held.items()} == held
+
+
+def test_small_batches_are_scored_together():
+    class Counted:
+        def __init__(self):
+            self.calls = []
+
+        def score(self, docs):
+            self.calls.append(len(docs))
+            return np.array([float(doc.sum()) for doc in docs])
+
+    def batches(sizes):
+        n = 0
+        for size in sizes:
+            ids = [np.full(3, n + i, "<u2").tobytes() for i in range(size)]
+            yield pa.RecordBatch.from_pydict({"row": list(range(n, n + size)), "ids": pa.array(ids, pa.binary())})
+            n += size
+
+    for most, calls in ((1_000_000, [17]), (12, [4, 4, 4, 4, 1])):
+        scorer = Counted()
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lm, "TOKENS_SCORED_AT_ONCE", most)
+            got = [(row, score) for b in lm._score(scorer)(batches([10, 1, 0, 6])) for row, score in zip(*b.to_pydict().values())]
+        assert got == [(row, 3.0 * row) for row in range(17)]
+        assert scorer.calls == calls
+
+
+@pytest.mark.parametrize("more", [0, 1, 100])
+def test_the_last_tokens_are_one_step(monkeypatch, more):
+    """Tokens that do not fill the last row of the streams are learned from at once, each once."""
+    seen, gradient = [], lm.gradient
+
+    def noted(p, shape, classes, words, aim, *rest):
+        seen.append(np.array(aim))
+        return gradient(p, shape, classes, words, aim, *rest)
+
+    monkeypatch.setattr(lm, "gradient", noted)
+    monkeypatch.setattr(lm, "STREAMS", 128)
+    shape = lm.shape_of(np.array([9.0, 5, 4, 3, 2]), 3.0)
+    stream = np.append(np.random.default_rng(7).integers(1, 6, 2 * 128 * lm.WINDOW + more - 1), 0)
+    lm.Learner(lm.initial(shape), shape).learn(stream, 0)
+    assert len(seen) == (3 if more else 2)
+    assert np.bincount(np.concatenate([s.ravel() for s in seen])).tolist() == np.bincount(stream).tolist()
+
+
+def test_a_word_of_a_window_enters_the_gates_once(monkeypatch):
+    """However often a window holds a word, its inputs are computed once."""
+    shape = lm.shape_of(np.array([9.0, 5, 4, 3, 2]), 3.0)
+    flat = lm.initial(shape) + np.random.default_rng(8).normal(0, 0.3, len(lm.initial(shape))).astype(np.float32)
+    p, made = lm.views(flat, shape), []
+    inputs_of = lm.inputs_of
+    monkeypatch.setattr(lm, "inputs_of", lambda p, words: made.append(words) or inputs_of(p, words))
+    words = np.random.default_rng(9).choice([0, 2, 5], (7, 40))
+    state = np.zeros((lm.HIDDEN, 40), np.float32)
+    states = lm._run(p, words, words == 0, state).copy()
+    assert [list(own) for own in made] == [[0, 2, 5]]
+    # plain formulas
+    want, h = np.zeros((40, lm.HIDDEN)), lm.HIDDEN
+    for t in range(7):
+        want = want * (words[t] != 0)[:, None]
+        given, carried = p["embed"][words[t]] @ p["input"] + p["gates"], want @ p["state"]
+        update, reset = ((1 + np.tanh((given + carried)[:, s : s + h])) / 2 for s in (0, h))
+        new = np.tanh(given[:, 2 * h :] + reset * carried[:, 2 * h :])
+        want = new + update * (want - new)
+        assert states[t] == pytest.approx(want, abs=1e-5)
+
+
+def test_products_in_pieces(monkeypatch):
+    random = np.random.default_rng(10)
+    rows, weights, others = (random.normal(size=size).astype(np.float32) for size in ((53, 4), (4, 6), (53, 6)))
+    for most in (1, 24 * 10, 1_000_000):
+        monkeypatch.setattr(lm, "MULTIPLIED_AT_ONCE", most)
+        assert lm._product(rows, weights, np.empty((53, 6), np.float32)) == pytest.approx(rows @ weights, abs=1e-5)
+        assert lm._summed(rows, others) == pytest.approx(rows.T @ others, abs=1e-4)
+
+
+@pytest.mark.parametrize("spread", [1, 400])
+def test_gradients_with_and_without_factors_agree(spread):
+    """Scores far apart take the other way through the softmax, with the same formulas."""
+    shape = lm.shape_of(np.array([9.0, 5, 4, 3, 2, 2, 2, 1]), 3.0)
+    flat = lm.initial(shape) + np.random.default_rng(11).normal(0, 0.3, len(lm.initial(shape))).astype(np.float32)
+    p, random = lm.views(flat, shape), np.random.default_rng(12)
+    p["to_class"] *= spread
+    p["to_word"] *= spread
+    words, targets = random.integers(0, 9, (2, 5, 30))
+    state = np.zeros((lm.HIDDEN, 30), np.float32)
+    g, _ = lm.gradient(p, shape, shape.class_of(), words, targets, words == 0, state)
+    states = lm._rows(lm._run(p, words, words == 0, state)).astype(float)
+    scores = states @ p["to_class"] + p["class_bias"]
+    share = np.exp(scores - scores.max(1, keepdims=True))
+    share /= share.sum(1, keepdims=True)
+    share[np.arange(len(share)), shape.class_of()[targets.ravel()]] -= 1
+    share /= lm.STREAMS * lm.WINDOW
+    assert g["to_class"] == pytest.approx(states.T @ share, rel=1e-3, abs=1e-7)
+    assert g["class_bias"] == pytest.approx(share.sum(0), rel=1e-3, abs=1e-7)
