@@ -26,7 +26,6 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -192,12 +191,13 @@ def _run(
 ) -> np.ndarray:
     """States (steps x streams x hidden) of a window, which begins with ``state`` (hidden x streams).
 
-    ``space`` holds what backpropagation needs. Every gate has arrays of its own, so that they are
+    ``space`` holds what backpropagation needs, if ``table`` is not given. Every gate has arrays of its own, so that they are
     contiguous. A gate is (1 + tanh) / 2 of its input; what is held is twice that, 1 + tanh.
     ``table`` are the inputs of all words, if known; else those of the window's words are made, each once.
     """
-    (steps, width), space, place = words.shape, space or Space(), words
+    (steps, width), space, place, kept = words.shape, space or Space(), words, 1
     if table is None:
+        kept = steps
         own = np.flatnonzero(np.bincount(words.ravel()))
         table, numbers = inputs_of(p, own), np.empty(len(p["embed"]), np.int64)
         numbers[own] = np.arange(len(own))
@@ -205,22 +205,23 @@ def _run(
     place = place[:, None, :] + np.arange(3)[:, None] * table.shape[1]
     table, recurrent = table.reshape(-1, HIDDEN), _recurrent(p)
     given, carried = (space(name, 3, width, HIDDEN) for name in ("given", "carried"))
-    gates = space("gates", steps, 2, width, HIDDEN)
-    before, new, drawn, states = (space(name, steps, width, HIDDEN) for name in ("before", "new", "drawn", "states"))
+    gates, states = space("gates", kept, 2, width, HIDDEN), space("states", steps, width, HIDDEN)
+    before, new, drawn = (space(name, kept, width, HIDDEN) for name in ("before", "new", "drawn"))
     state = state.T
     for t in range(steps):
-        before[t] = state
-        before[t, fresh[t]] = 0
+        last, gate, fill, taken = (own[t % kept] for own in (before, gates, new, drawn))
+        last[:] = state
+        last[fresh[t]] = 0
         _taken(table, place[t], given)
-        np.matmul(before[t], recurrent, out=carried)
-        gate, fill, state = gates[t], new[t], states[t]
+        np.matmul(last, recurrent, out=carried)
         np.add(given[:2], carried[:2], out=gate)
         np.tanh(gate, out=gate)
         gate += 1
-        np.multiply(gate[1], carried[2], out=drawn[t])
-        np.add(drawn[t], given[2], out=fill)
+        np.multiply(gate[1], carried[2], out=taken)
+        np.add(taken, given[2], out=fill)
         np.tanh(fill, out=fill)
-        np.subtract(before[t], fill, out=state)
+        state = states[t]
+        np.subtract(last, fill, out=state)
         state *= gate[0]
         state *= 0.5
         state += fill
@@ -455,16 +456,20 @@ class Learner:
         steps = len(stream) // streams
         before = np.concatenate([[end], stream[:-1]])
         self.seen += len(stream)
-        # the first streams have one token more each, where the tokens do not fill the last row
-        more = len(stream) - streams * steps
-        begins = np.arange(streams) * steps + np.minimum(np.arange(streams), more)
-        state = np.zeros((HIDDEN, streams), np.float32)
-        windows = [(np.arange(t, min(t + WINDOW, steps)), streams) for t in range(0, steps, WINDOW)]
-        for rows, width in [*windows, (np.array([steps]), more)] if more else windows:
-            at = begins[:width] + rows[:, None]
-            words, aim = before[at], stream[at]
-            _, state = gradient(self.p, self.shape, self.classes, words, aim, words == end, state[:, :width], self.space, self.g)
-            self._move()
+        # what does not fill the last row of the streams is learned from as one more stream
+        bodies = [(streams, 0), (1, streams * steps)]
+        for width, begin in bodies:
+            size = (len(stream) - begin) // width if width > 1 or begin else steps
+            if not size:
+                continue
+            aim = stream[begin : begin + width * size].reshape(width, size).T
+            given = before[begin : begin + width * size].reshape(width, size).T
+            state = np.zeros((HIDDEN, width), np.float32)
+            for t in range(0, size, WINDOW):
+                words = given[t : t + WINDOW]
+                own = words, aim[t : t + WINDOW], words == end, state
+                _, state = gradient(self.p, self.shape, self.classes, *own, self.space, self.g)
+                self._move()
 
     def _move(self) -> None:
         """One step down the gradient, some parameters at a time, which a core's cache holds."""
@@ -680,22 +685,22 @@ def _encode(known: list[bytes], counts: np.ndarray, n_model: int):
     """Ids of the model's words; logs of counts of known words; the words that are not known."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = {word: at for at, word in enumerate(known)}
+        vocabulary = pa.array(known, pa.binary())
         logs = np.append(np.log10(counts + 0.5), 0.0)
         seen = np.append(counts > 0, False)
 
         def encoded(piece: pa.RecordBatch) -> pa.RecordBatch:
             words, sizes = all_words(piece["text"])
             words = words.dictionary_encode()
-            distinct = words.dictionary.to_pylist()
-            ranks = np.fromiter(map(rank.get, distinct, repeat(len(known))), np.int64, len(distinct))
+            n_distinct = max(1, len(words.dictionary))
+            ranks = pc.fill_null(pc.index_in(words.dictionary, vocabulary), len(known)).to_numpy().astype(np.int64)
             which = words.indices.to_numpy()
             at = ranks[which]
             # the words that are not known, by document
             other = np.flatnonzero(at == len(known))
-            pairs = np.repeat(np.arange(len(sizes)), sizes)[other] * max(1, len(distinct)) + which[other]
+            pairs = np.repeat(np.arange(len(sizes)), sizes)[other] * n_distinct + which[other]
             pairs, times = np.unique(pairs, return_counts=True)
-            doc, word = np.divmod(pairs, max(1, len(distinct)))
+            doc, word = np.divmod(pairs, n_distinct)
             cuts = pa.array(np.searchsorted(doc, np.arange(len(sizes) + 1)).astype(np.int32))
             # the token that closes a document is the first of the known
             at = np.insert(at, np.cumsum(sizes), 0)
